@@ -226,6 +226,31 @@ def _gap_before(frame: DataFrame, keys: Sequence[str], distance: int, bucket_row
     )
 
 
+def thin_points(
+    points: DataFrame,
+    keys: Sequence[str],
+    distance: int,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """Greedy choice, from the top of each group, of points at least ``distance`` apart."""
+    buckets = points.groupBy(*keys, bucket_of("point", bucket_rows).alias("bucket")).agg(
+        F.sort_array(F.collect_set("point")).alias("points")
+    )
+    # groups that reach into a second bucket, with their empty buckets
+    spread = (
+        buckets.groupBy(*keys)
+        .agg(F.max("bucket").alias("__last"))
+        .filter("__last > 0")
+        .select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), "__last")).alias("bucket"))
+        .join(buckets, [*keys, "bucket"], "left")
+        .withColumn("points", F.coalesce("points", F.array().cast("array<int>")))
+    )
+    gaps = _gap_before(spread, keys, distance, bucket_rows)
+    start = F.col("bucket") * bucket_rows - F.coalesce("gap", F.lit(distance))
+    kept = keep_apart(F.col("points"), start, distance)["kept"]
+    return buckets.join(gaps, [*keys, "bucket"], "left").select(*keys, F.explode(kept).alias("point"))
+
+
 def page_buckets(heads: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One record per page and bucket of rows, from one record per page with ``n_rows``."""
     last = F.floor((F.col("n_rows") - 1) / bucket_rows).cast("long")

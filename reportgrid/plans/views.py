@@ -173,24 +173,32 @@ HEAD_2 = ["euro/000", "2025", "2024", "2025", "Eur", "%", "Eur", "%"]
 
 
 def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole-cent sums per customer, side (0: finished orders, 1: open ones) and line."""
+    """Whole-cent sums per customer, side (0: finished orders, 1: open ones) and line.
+
+    Lines 1 to 5 are the order priorities, line 9 is the total, present on both sides.
+    """
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     late = F.col("o_orderdate") >= F.lit("1998-07-01").cast("timestamp")
     side = F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)
+    line = F.substring("o_orderpriority", 1, 1).cast("int")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("doc_id"),
         side.alias("side"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("line"),
+        F.explode(F.array(line, F.lit(9))).alias("line"),
         F.when(late, cents).otherwise(0).alias("a25"),
         F.when(late, 0).otherwise(cents).alias("a24"),
     )
-    # one aggregation gives the lines and, by the grouping set without a line, the TOTAL line
+    empty_totals = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("doc_id"),
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("side"),
+        F.lit(9).alias("line"),
+        F.lit(0).cast("bigint").alias("a25"),
+        F.lit(0).cast("bigint").alias("a24"),
+    )
     return (
-        orders.groupingSets(
-            [["doc_id", "side", "line"], ["doc_id", "side"]], "doc_id", "side", "line"
-        )
+        orders.unionByName(empty_totals)
+        .groupBy("doc_id", "side", "line")
         .agg(F.sum("a25").alias("a25"), F.sum("a24").alias("a24"))
-        .withColumn("line", F.coalesce("line", F.lit(9)))
     )
 
 
