@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportgrid.functions.cells import let, positional_similarity
+from reportgrid.functions.cells import let, norm_row, positional_similarity
 from reportgrid.functions.headers import infer_header
 from reportgrid.operators.scans import BUCKET_ROWS, running
 from reportgrid.operators.titles import head_entry, title_at
@@ -103,14 +103,39 @@ def split_parts(
     )
 
 
+# Copies of each distinct header, so that parts sharing one header spread over many tasks.
+HEADER_SALTS = 16
+
+
 def with_headers(parts: DataFrame, tokens: Iterable[str], rules: Sequence[dict]) -> DataFrame:
-    """Adds ``header`` (null when the first two rows are none) and the part's first data row."""
-    row1, row2 = (
-        F.slice(F.get("head", F.lit(i)), F.col("lo") + 1, F.col("width")) for i in (0, 1)
+    """Adds ``header`` (null when the first two rows are none) and the part's first data row.
+
+    Reports repeat their headers, so each distinct pair of rows is read once and joined back.
+    """
+    cells = [F.slice(F.get("head", F.lit(i)), F.col("lo") + 1, F.col("width")) for i in (0, 1)]
+    keyed = parts.withColumns(
+        {
+            "__r1": norm_row(cells[0]),
+            "__r2": norm_row(cells[1]),
+            "__salt": F.pmod(F.xxhash64("doc_id", "page_num", "seq"), F.lit(HEADER_SALTS)),
+        }
+    )
+    pairs = (
+        keyed.select("__r1", "__r2")
+        .filter(F.col("__r1").isNotNull() & F.col("__r2").isNotNull())
+        .distinct()
     )
-    return parts.withColumn("header", infer_header(row1, row2, tokens, rules)).withColumn(
-        "first_data",
-        (F.col("body_start") + F.when(F.col("header").isNotNull(), 2).otherwise(0)).cast("int"),
+    known = pairs.withColumn("header", infer_header(F.col("__r1"), F.col("__r2"), tokens, rules))
+    spread = known.filter("header is not null").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HEADER_SALTS - 1).cast("long")))
+    )
+    return (
+        keyed.join(spread, ["__r1", "__r2", "__salt"], "left")
+        .drop("__r1", "__r2", "__salt")
+        .withColumn(
+            "first_data",
+            (F.col("body_start") + F.when(F.col("header").isNotNull(), 2).otherwise(0)).cast("int"),
+        )
     )
 
 

@@ -12,10 +12,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reportgrid.functions.cells import contains_keyword, empty_ratio, let, looks_like_header
-from reportgrid.operators.scans import BUCKET_ROWS, bucket_of, running, with_neighbours
+from reportgrid.operators.scans import (
+    BUCKET_ROWS,
+    bucket_of,
+    page_buckets,
+    running,
+    with_neighbours,
+)
 from reportgrid.operators.titles import drop_leading_rows
 
-SPARSE, PRIMARY, FALLBACK = 0, 1, 2
+# Kinds of split points: 0 for sparse runs, 1 and up for the keyword lists in turn.
+SPARSE = 0
+# Buckets composed in one step when points are thinned out over long groups.
+CHUNK = 1024
 
 
 def row_flags(
@@ -160,7 +169,6 @@ def _gap_before(frame: DataFrame, keys: Sequence[str], distance: int, bucket_row
     composed, first inside chunks of buckets, then over the chunks, so that no record ever
     holds more than one small array per chunk.
     """
-    chunk = 1024
     gaps = range(1, distance + 1)
     begin = F.col("bucket") * bucket_rows
 
@@ -185,7 +193,7 @@ def _gap_before(frame: DataFrame, keys: Sequence[str], distance: int, bucket_row
 
     steps = frame.select(
         *keys,
-        F.floor(F.col("bucket") / chunk).cast("long").alias("chunk"),
+        F.floor(F.col("bucket") / CHUNK).cast("long").alias("chunk"),
         F.struct("bucket", F.array(*[leave(g) for g in gaps]).alias("map")).alias("step"),
     )
     chunks = steps.groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list("step")).alias("steps"))
@@ -251,12 +259,6 @@ def thin_points(
     return buckets.join(gaps, [*keys, "bucket"], "left").select(*keys, F.explode(kept).alias("point"))
 
 
-def page_buckets(heads: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """One record per page and bucket of rows, from one record per page with ``n_rows``."""
-    last = F.floor((F.col("n_rows") - 1) / bucket_rows).cast("long")
-    return heads.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-
-
 def choose_points(
     candidates: DataFrame,
     heads: DataFrame,

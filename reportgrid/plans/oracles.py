@@ -522,7 +522,7 @@ def oracles() -> dict[str, str]:
               FROM rep GROUP BY id, n, gram"""),
         "overlap_removal": q(BLOCKS, """SELECT id, gram, string_agg(CAST(i AS VARCHAR), '|' ORDER BY i) AS starts
               FROM blk WHERE n = 2 GROUP BY id, gram"""),
-        "block_context": q(CELLS + """, b AS (SELECT id, (i - 1) * (i < 3)::INT + i // 2 * 0 AS z, i, r1,
+        "block_context": q(CELLS + """, b AS (SELECT id, i, r1,
                 CASE WHEN i IN (1, 2) THEN 1 WHEN i IN (4, 5) THEN 4 WHEN i IN (6, 7) THEN 6 END AS s FROM cells),
               f AS (SELECT id, s, count(*) FILTER (r1 = '') AS e, count(DISTINCT nullif(r1, '')) AS l FROM b
                 WHERE s IS NOT NULL GROUP BY id, s)""",

@@ -88,7 +88,7 @@ def find_parts(rows: DataFrame, starts: DataFrame, cfg: ReportConfig) -> DataFra
         cfg.drop_title_rows,
         max(2, max(cfg.slicer_header_rows) + 1),
     )
-    parts = part_ops.split_parts(tables, cfg.slicer_header_rows, cfg.slicer_thresholds)
+    parts = cut(part_ops.split_parts(tables, cfg.slicer_header_rows, cfg.slicer_thresholds))
     parts = cut(part_ops.with_headers(parts, cfg.header_tokens, cfg.rules()).drop("head"))
     parts = part_ops.with_fallback(parts, PAGE, bucket_rows=cfg.bucket_rows)
     return part_ops.stop_at_error(parts, PAGE, cfg.bucket_rows)
@@ -187,7 +187,7 @@ def part_rows(rows: DataFrame, parts: DataFrame, cfg: ReportConfig) -> DataFrame
         shaped, [*PAGE, "seq"], "row_idx", F.col("item_raw"), cfg.aggregation_keywords,
         bucket_rows=cfg.bucket_rows, bucket="bucket",
     )
-    return labelled.drop("lo", "width", "first_data", "table_end", "ordinal", "item_raw", "bucket")
+    return labelled.drop("first_data", "table_end", "ordinal", "item_raw", "bucket")
 
 
 def text_entries(cfg: ReportConfig) -> Column:
@@ -264,7 +264,7 @@ def run_report(
     cfg = cfg or ReportConfig()
     as_of = F.current_date() if as_of is None else as_of
     config = pages if isinstance(pages, DataFrame) else grid.page_config(spark, pages)
-    rows = grid.configured_rows(rows, config)
+    rows = grid.configured_rows(rows, config, cfg.bucket_rows)
 
     starts = cut(find_tables(rows, cfg))
     parts = cut(check_parts(find_parts(rows, starts, cfg), cfg))

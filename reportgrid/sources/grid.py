@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportgrid.operators.scans import BUCKET_ROWS, bucket_of, page_buckets
+
 # A literal page list up to this size is broadcast; a longer one is joined as Spark sees fit.
 MAX_BROADCAST_PAGES = 100_000
 
@@ -40,17 +42,27 @@ def fit_cells(cells: Column, width: Column) -> Column:
     )
 
 
-def configured_rows(rows: DataFrame, config: DataFrame) -> DataFrame:
+def configured_rows(
+    rows: DataFrame, config: DataFrame, bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
     """Rows of the configured pages, with ``page_pos`` and ``n_col`` and cells cut to width.
 
-    ``narrow`` marks rows with fewer cells than configured.
+    ``narrow`` marks rows with fewer cells than configured. A list that names documents is
+    joined by page and row bucket, so that the rows of one long page meet it in many tasks.
     """
     extra = [c for c in ("page_pos", "n_col") if c in rows.columns]
-    return (
-        rows.drop(*extra)
-        .join(config, _page_keys(config))
-        .withColumn("narrow", F.size("cells") < F.col("n_col"))
-        .withColumn("cells", fit_cells(F.col("cells"), F.col("n_col")))
+    rows = rows.drop(*extra)
+    if "doc_id" in config.columns:
+        extent = rows.groupBy("doc_id", "page_num").agg((F.max("row_idx") + 1).alias("n_rows"))
+        buckets = page_buckets(extent.join(config, ["doc_id", "page_num"]), bucket_rows)
+        joined = rows.withColumn("bucket", bucket_of("row_idx", bucket_rows)).join(
+            buckets.drop("n_rows"), ["doc_id", "page_num", "bucket"]
+        )
+        joined = joined.drop("bucket")
+    else:
+        joined = rows.join(config, "page_num")
+    return joined.withColumn("narrow", F.size("cells") < F.col("n_col")).withColumn(
+        "cells", fit_cells(F.col("cells"), F.col("n_col"))
     )
 
 
