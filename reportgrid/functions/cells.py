@@ -36,18 +36,23 @@ def is_empty(cell: Column) -> Column:
 
 
 def norm_row(cells: Column) -> Column:
-    return F.transform(cells, norm)
+    """All cells normalised; each is stripped once."""
+    return F.transform(
+        F.transform(cells, strip),
+        lambda t: F.when(t.isNull() | (F.lower(t) == "nan"), F.lit("")).otherwise(t),
+    )
 
 
-def filled(cells: Column) -> Column:
+def filled(cells: Column, normed: bool = False) -> Column:
     """The non-empty normalised cells of a row, in order."""
-    return F.filter(norm_row(cells), lambda c: c != "")
+    return F.filter(cells if normed else norm_row(cells), lambda c: c != "")
 
 
-def empty_ratio(cells: Column) -> Column:
-    """Share of empty cells; null for a row without cells."""
+def empty_ratio(cells: Column, normed: bool = False) -> Column:
+    """Share of empty cells; null for a row without cells. ``normed`` cells are taken as is."""
     width = F.size(cells)
-    return F.when(width > 0, F.size(F.filter(cells, is_empty)) / width)
+    empty = F.filter(cells if normed else norm_row(cells), lambda c: c == "")
+    return F.when(width > 0, F.size(empty) / width)
 
 
 def is_simple_numeric(text: Column) -> Column:
@@ -64,20 +69,21 @@ def looks_like_header(
     tokens: Iterable[str],
     max_unknown: int = 1,
     numeric_threshold: float = 0.5,
+    normed: bool = False,
 ) -> Column:
     """At most ``max_unknown`` words outside ``tokens`` and not mostly numbers."""
     known = F.array(*[F.lit(t) for t in known_tokens(tokens)]).cast("array<string>")
 
     def decide(values: Column) -> Column:
         numeric = F.size(F.filter(values, is_simple_numeric))
-        words = F.flatten(F.transform(values, lambda v: F.split(v, " ")))
+        words = F.split(F.array_join(values, " "), " ")
         return (
             (F.size(values) > 0)
             & (numeric <= F.size(values) * numeric_threshold)
             & (F.size(F.array_except(words, known)) <= max_unknown)
         )
 
-    return let(F.transform(filled(cells), F.lower), decide)
+    return let(F.transform(filled(cells, normed), F.lower), decide)
 
 
 def token_class(cell: Column) -> Column:

@@ -15,7 +15,13 @@ LABEL_BUCKET = 1 << 20
 
 
 def period_starts(
-    labels: DataFrame, keys: Sequence[str], label: str, first: str, year: int, as_of: Column
+    labels: DataFrame,
+    keys: Sequence[str],
+    label: str,
+    first: str,
+    year: int,
+    as_of: Column,
+    carry: bool = True,
 ) -> DataFrame:
     """The start date of each distinct label of a group.
 
@@ -29,6 +35,7 @@ def period_starts(
         last={"period_start": month_start(F.col(label), year)},
         inclusive=True,
         bucket_rows=LABEL_BUCKET,
+        carry=carry,
     )
     return dated.withColumn(
         "period_start", F.coalesce("period_start", F.trunc(as_of, "MM"))
@@ -100,6 +107,7 @@ def group_label(
     name: str = "item_agg_1",
     bucket_rows: int = BUCKET_ROWS,
     bucket: str | None = None,
+    carry: bool = True,
 ) -> DataFrame:
     """Adds the latest ``item`` at or above the row that is exactly one of the keywords."""
     return running(
@@ -110,4 +118,5 @@ def group_label(
         inclusive=True,
         bucket_rows=bucket_rows,
         bucket=bucket,
+        carry=carry,
     )

@@ -107,17 +107,24 @@ def split_parts(
 HEADER_SALTS = 16
 
 
-def with_headers(parts: DataFrame, tokens: Iterable[str], rules: Sequence[dict]) -> DataFrame:
-    """Adds ``header`` (null when the first two rows are none) and the part's first data row.
+def infer_headers(
+    df: DataFrame,
+    row1: Column,
+    row2: Column,
+    spread_by: Sequence[str],
+    tokens: Iterable[str],
+    rules: Sequence[dict],
+) -> DataFrame:
+    """Adds ``header`` for two header rows, null when they are none.
 
-    Reports repeat their headers, so each distinct pair of rows is read once and joined back.
+    Reports repeat their headers, so each distinct pair of rows is read once and joined back;
+    ``spread_by`` spreads the records that share one pair.
     """
-    cells = [F.slice(F.get("head", F.lit(i)), F.col("lo") + 1, F.col("width")) for i in (0, 1)]
-    keyed = parts.withColumns(
+    keyed = df.withColumns(
         {
-            "__r1": norm_row(cells[0]),
-            "__r2": norm_row(cells[1]),
-            "__salt": F.pmod(F.xxhash64("doc_id", "page_num", "seq"), F.lit(HEADER_SALTS)),
+            "__r1": norm_row(row1),
+            "__r2": norm_row(row2),
+            "__salt": F.pmod(F.xxhash64(*spread_by), F.lit(HEADER_SALTS)),
         }
     )
     pairs = (
@@ -126,17 +133,20 @@ def with_headers(parts: DataFrame, tokens: Iterable[str], rules: Sequence[dict])
         .distinct()
     )
     known = pairs.withColumn("header", infer_header(F.col("__r1"), F.col("__r2"), tokens, rules))
-    spread = known.filter("header is not null").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HEADER_SALTS - 1).cast("long")))
-    )
-    return (
-        keyed.join(spread, ["__r1", "__r2", "__salt"], "left")
-        .drop("__r1", "__r2", "__salt")
-        .withColumn(
-            "first_data",
-            (F.col("body_start") + F.when(F.col("header").isNotNull(), 2).otherwise(0)).cast("int"),
-        )
+    # no filter on the header here: it would move below the distinct and read every record
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(HEADER_SALTS - 1).cast("long"))
+    spread = known.withColumn("__salt", F.explode(salts))
+    return keyed.join(spread, ["__r1", "__r2", "__salt"], "left").drop("__r1", "__r2", "__salt")
+
+
+def with_headers(parts: DataFrame, tokens: Iterable[str], rules: Sequence[dict]) -> DataFrame:
+    """Adds ``header`` (null when the first two rows are none) and the part's first data row."""
+    row1, row2 = (
+        F.slice(F.get("head", F.lit(i)), F.col("lo") + 1, F.col("width")) for i in (0, 1)
     )
+    headed = infer_headers(parts, row1, row2, ["doc_id", "page_num", "seq"], tokens, rules)
+    below = F.when(F.col("header").isNotNull(), 2).otherwise(0)
+    return headed.withColumn("first_data", (F.col("body_start") + below).cast("int"))
 
 
 def with_fallback(
@@ -144,13 +154,19 @@ def with_fallback(
     keys: Sequence[str],
     item_column: str = "item_agg",
     bucket_rows: int = BUCKET_ROWS,
+    carry: bool = True,
 ) -> DataFrame:
     """Adds ``names`` and an ``error`` code; a part without header takes the last one of its page.
 
     The last header serves only when it has as many names as the part has columns.
     """
     known = running(
-        parts, keys, "seq", last={"last_names": F.col("header.names")}, bucket_rows=bucket_rows
+        parts,
+        keys,
+        "seq",
+        last={"last_names": F.col("header.names")},
+        bucket_rows=bucket_rows,
+        carry=carry,
     )
     names = F.coalesce(F.col("header.names"), F.col("last_names"))
     items = F.size(F.filter(F.col("names"), lambda n: n == item_column))
@@ -166,7 +182,9 @@ def with_fallback(
     )
 
 
-def stop_at_error(parts: DataFrame, keys: Sequence[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def stop_at_error(
+    parts: DataFrame, keys: Sequence[str], bucket_rows: int = BUCKET_ROWS, carry: bool = True
+) -> DataFrame:
     """Adds ``reached``: false for the parts of a page that come after its first error."""
     return (
         running(
@@ -175,6 +193,7 @@ def stop_at_error(parts: DataFrame, keys: Sequence[str], bucket_rows: int = BUCK
             "seq",
             last={"__failed": F.when(F.col("error").isNotNull(), F.lit(True))},
             bucket_rows=bucket_rows,
+            carry=carry,
         )
         .withColumn("reached", F.col("__failed").isNull())
         .drop("__failed")

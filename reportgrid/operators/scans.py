@@ -53,6 +53,42 @@ def with_neighbours(
     )
 
 
+def _carried(df, keys, pos, last, total, backward, b, own, walk_buckets) -> DataFrame:
+    """What each bucket of a long group must know from the buckets before it."""
+    rows = df.filter(own) if own else df
+    long_groups = rows.filter(F.col(b) > 0).select(*keys).distinct()
+    latest = F.min if backward else F.max
+    per_bucket = (
+        rows.join(long_groups, list(keys), "left_semi")
+        .groupBy(*keys, b)
+        .agg(
+            *[
+                latest(
+                    F.when(F.col(f"__m_{k}").isNotNull(), F.struct(F.col(pos), F.col(f"__m_{k}")))
+                )[f"__m_{k}"].alias(f"__s_{k}")
+                for k in last
+            ],
+            *[F.sum(f"__m_{k}").alias(f"__s_{k}") for k in total],
+        )
+    )
+    before = (
+        Window.partitionBy(*keys).orderBy(walk_buckets).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = per_bucket.select(
+        *keys,
+        b,
+        *[F.last(f"__s_{k}", ignorenulls=True).over(before).alias(f"__c_{k}") for k in last],
+        *[F.sum(f"__s_{k}").over(before).alias(f"__c_{k}") for k in total],
+    )
+    return carried
+
+
+def reaches(df: DataFrame, pos: str, bucket_rows: int = BUCKET_ROWS) -> bool:
+    """Does any position lie beyond the first bucket? One small aggregate decides."""
+    top = df.agg(F.max(pos)).first()[0]
+    return top is not None and top >= bucket_rows
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -64,12 +100,15 @@ def running(
     bucket_rows: int = BUCKET_ROWS,
     bucket: str | None = None,
     own: str | None = None,
+    carry: bool = True,
 ) -> DataFrame:
     """Adds running values along ``pos`` inside each group.
 
     ``last``: the latest non-null value before the row (``inclusive``: or at it).
     ``total``: the running sum. ``backward`` walks from the end of the group. ``bucket`` and
     ``own`` name columns made by :func:`with_neighbours` when the frame holds edge copies.
+    ``carry=False`` leaves the carry out of the plan; only for frames known (:func:`reaches`)
+    to hold no position beyond the first bucket.
     """
     last, total = last or {}, total or {}
     b = bucket or "__bucket"
@@ -86,39 +125,21 @@ def running(
         | {f"__i_{k}": F.sum(f"__m_{k}").over(inside) for k in total}
     )
 
-    rows = df.filter(own) if own else df
-    long_groups = rows.filter(F.col(b) > 0).select(*keys).distinct()
-    latest = F.min if backward else F.max
-    per_bucket = (
-        rows.join(long_groups, list(keys), "left_semi")
-        .groupBy(*keys, b)
-        .agg(
-            *[
-                latest(
-                    F.when(F.col(f"__m_{k}").isNotNull(), F.struct(F.col(pos), F.col(f"__m_{k}")))
-                )[f"__m_{k}"].alias(f"__s_{k}")
-                for k in last
-            ],
-            *[F.sum(f"__m_{k}").alias(f"__s_{k}") for k in total],
+    if carry:
+        carried = _carried(df, keys, pos, list(last), list(total), backward, b, own, walk_buckets)
+        out = out.join(carried, [*keys, b], "left").withColumns(
+            {k: F.coalesce(f"__i_{k}", f"__c_{k}") for k in last}
+            | {
+                k: F.coalesce(f"__i_{k}", F.lit(0)) + F.coalesce(f"__c_{k}", F.lit(0))
+                for k in total
+            }
         )
-    )
-    before = (
-        Window.partitionBy(*keys).orderBy(walk_buckets).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = per_bucket.select(
-        *keys,
-        b,
-        *[F.last(f"__s_{k}", ignorenulls=True).over(before).alias(f"__c_{k}") for k in last],
-        *[F.sum(f"__s_{k}").over(before).alias(f"__c_{k}") for k in total],
-    )
-    out = out.join(carried, [*keys, b], "left").withColumns(
-        {k: F.coalesce(f"__i_{k}", f"__c_{k}") for k in last}
-        | {
-            k: F.coalesce(F.col(f"__i_{k}"), F.lit(0)) + F.coalesce(F.col(f"__c_{k}"), F.lit(0))
-            for k in total
-        }
-    )
-    helpers = [f"__{p}_{k}" for p in "mic" for k in [*last, *total]]
+    else:
+        out = out.withColumns(
+            {k: F.col(f"__i_{k}") for k in last}
+            | {k: F.coalesce(f"__i_{k}", F.lit(0)) for k in total}
+        )
+    helpers = [f"__{p}_{k}" for p in ("mic" if carry else "mi") for k in [*last, *total]]
     return out.drop(*helpers, *([] if bucket else [b]))
 
 

@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reportgrid.functions import cells as C
 from reportgrid.functions.cells import contains_keyword, empty_ratio, let, looks_like_header
 from reportgrid.operators.scans import (
     BUCKET_ROWS,
@@ -34,13 +35,14 @@ def row_flags(
     keywords: Sequence[Iterable[str]] = (),
 ) -> DataFrame:
     """Per row: ``ratio`` of empty cells, ``header`` likeness and one flag per keyword list."""
-    cells = F.col("cells")
-    return rows.select(
+    cells, normed = F.col("cells"), F.col("__normed")
+    words = [contains_keyword(cells, w).alias(f"word{i}") for i, w in enumerate(keywords)]
+    return rows.select(*keys, "row_idx", C.norm_row(cells).alias("__normed"), *words).select(
         *keys,
         "row_idx",
-        empty_ratio(cells).alias("ratio"),
-        looks_like_header(cells, tokens).alias("header"),
-        *[contains_keyword(cells, words).alias(f"word{i}") for i, words in enumerate(keywords)],
+        empty_ratio(normed, normed=True).alias("ratio"),
+        looks_like_header(normed, tokens, normed=True).alias("header"),
+        *[f"word{i}" for i in range(len(keywords))],
     )
 
 
@@ -51,6 +53,7 @@ def with_prior(
     bucket_rows: int = BUCKET_ROWS,
     bucket: str | None = None,
     own: str | None = None,
+    carry: bool = True,
 ) -> DataFrame:
     """Adds the latest earlier dense row and the latest earlier data row (dense, no header)."""
     dense = F.col("ratio") < threshold
@@ -65,6 +68,7 @@ def with_prior(
         bucket_rows=bucket_rows,
         bucket=bucket,
         own=own,
+        carry=carry,
     )
 
 
@@ -92,6 +96,7 @@ def split_candidates(
     title_threshold: float = 0.5,
     max_scan: int | None = None,
     bucket_rows: int = BUCKET_ROWS,
+    carry: bool = True,
 ) -> DataFrame:
     """All split points: ``kind`` 0 for sparse runs, 1.. for the keyword lists, and ``hits``.
 
@@ -104,7 +109,7 @@ def split_candidates(
         flags = drop_leading_rows(
             flags, keys, leading_title_rows, F.col("ratio") >= title_threshold
         )
-    flags = with_prior(flags, keys, sparse_threshold, bucket_rows, "bucket", "own")
+    flags = with_prior(flags, keys, sparse_threshold, bucket_rows, "bucket", "own", carry)
 
     near = Window.partitionBy(*keys, "bucket").orderBy("row_idx")
     sparse = F.col("ratio") >= sparse_threshold
@@ -265,6 +270,7 @@ def choose_points(
     keys: Sequence[str],
     min_rows_per_table: int = 5,
     bucket_rows: int = BUCKET_ROWS,
+    carry: bool = True,
 ) -> DataFrame:
     """The split points that count, sorted, per page and bucket (``points``), and their ``kind``.
 
@@ -313,21 +319,19 @@ def choose_points(
             ),
         )
     )
-    long_and_thick = buckets.filter(
-        F.col("__thin") & (F.col("n_rows") > bucket_rows)
-    ).select(*keys, "bucket", "points")
-    gaps = _gap_before(long_and_thick, keys, min_rows_per_table, bucket_rows)
+    if carry:
+        long_and_thick = buckets.filter(
+            F.col("__thin") & (F.col("n_rows") > bucket_rows)
+        ).select(*keys, "bucket", "points")
+        gaps = _gap_before(long_and_thick, keys, min_rows_per_table, bucket_rows)
+        buckets = buckets.join(gaps, [*keys, "bucket"], "left")
+    else:
+        buckets = buckets.withColumn("gap", F.lit(None).cast("int"))
     start = F.col("bucket") * bucket_rows - F.coalesce("gap", F.lit(min_rows_per_table))
-    return (
-        buckets.join(gaps, [*keys, "bucket"], "left")
-        .withColumn(
-            "points",
-            F.when(
-                F.col("__thin"), keep_apart(F.col("points"), start, min_rows_per_table)["kept"]
-            ).otherwise(F.col("points")),
-        )
-        .drop("__found", "__kind", "__hits", "__mine", "__total", "__thin", "gap")
-    )
+    apart = keep_apart(F.col("points"), start, min_rows_per_table)["kept"]
+    return buckets.withColumn(
+        "points", F.when(F.col("__thin"), apart).otherwise(F.col("points"))
+    ).drop("__found", "__kind", "__hits", "__mine", "__total", "__thin", "gap")
 
 
 def table_starts(points: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -256,7 +256,7 @@ def sparse_runs(spark, sf_dir):
 
 
 def _doc_prior(spark, sf_dir) -> DataFrame:
-    flags = splits.row_flags(V.doc_rows(spark, sf_dir), ["doc_id"], V.DOC_TOKENS)
+    flags = cut(splits.row_flags(V.doc_rows(spark, sf_dir), ["doc_id"], V.DOC_TOKENS))
     return splits.with_prior(flags, ["doc_id"], 0.5)
 
 
@@ -281,34 +281,35 @@ def has_data_before(spark, sf_dir):
     )
 
 
-def _doc_candidates(spark, sf_dir) -> DataFrame:
+def _doc_candidates(rows: DataFrame) -> DataFrame:
     return splits.split_candidates(
-        V.doc_rows(spark, sf_dir), ["doc_id"], V.DOC_TOKENS, [V.DOC_WORDS, V.DOC_WORDS_NEXT]
+        rows, ["doc_id"], V.DOC_TOKENS, [V.DOC_WORDS, V.DOC_WORDS_NEXT]
     )
 
 
 @query
 def split_points_sparse(spark, sf_dir):
-    points = splits.split_candidates(V.doc_rows(spark, sf_dir), ["doc_id"], V.DOC_TOKENS, [])
+    points = splits.split_candidates(cut(V.doc_rows(spark, sf_dir)), ["doc_id"], V.DOC_TOKENS, [])
     return points.select("doc_id", "point")
 
 
 @query
 def split_points_keyword(spark, sf_dir):
     """Split points of both keyword lists, before any thinning."""
-    return _doc_candidates(spark, sf_dir).filter("kind > 0").select("doc_id", "kind", "point", "hits")
+    found = _doc_candidates(cut(V.doc_rows(spark, sf_dir)))
+    return found.filter("kind > 0").select("doc_id", "kind", "point", "hits")
 
 
-def _doc_points(spark, sf_dir) -> DataFrame:
-    rows = V.doc_rows(spark, sf_dir)
+def _doc_points(rows: DataFrame) -> DataFrame:
     heads = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("first_row", F.lit(0))
-    return splits.choose_points(_doc_candidates(spark, sf_dir), heads, ["doc_id"])
+    return splits.choose_points(cut(_doc_candidates(rows)), heads, ["doc_id"])
 
 
 @query
 def split_cascade(spark, sf_dir):
     """The points that count for each page, thinned where they come too thick."""
-    return _doc_points(spark, sf_dir).select("doc_id", "kind", F.explode("points").alias("point"))
+    points = _doc_points(cut(V.doc_rows(spark, sf_dir)))
+    return points.select("doc_id", "kind", F.explode("points").alias("point"))
 
 
 @query
@@ -316,15 +317,15 @@ def min_distance_points(spark, sf_dir):
     """Keyword rows at least five rows apart, from the top of each page."""
     rows = V.doc_rows(spark, sf_dir)
     hits = rows.filter(C.contains_keyword(F.col("cells"), V.DOC_WORDS))
-    points = splits.thin_points(hits.select("doc_id", F.col("row_idx").alias("point")), ["doc_id"], 5)
-    return points
+    points = cut(hits.select("doc_id", F.col("row_idx").alias("point")))
+    return splits.thin_points(points, ["doc_id"], 5)
 
 
 @query
 def split_tables(spark, sf_dir):
-    starts = splits.table_starts(_doc_points(spark, sf_dir), ["doc_id"])
-    rows = splits.assign_tables(V.doc_rows(spark, sf_dir), starts, ["doc_id"])
-    return rows.select(
+    rows = cut(V.doc_rows(spark, sf_dir))
+    starts = splits.table_starts(_doc_points(rows), ["doc_id"])
+    return splits.assign_tables(rows, starts, ["doc_id"]).select(
         "doc_id", "row_idx", "table_id", (F.col("row_idx") - F.col("table_start")).alias("new_idx")
     )
 
@@ -461,8 +462,11 @@ def naming_rules(spark, sf_dir):
 
 
 def _inferred(spark, sf_dir) -> DataFrame:
-    header = H.infer_header(F.col("row1"), F.col("row2"), CFG.header_tokens, CFG.rules())
-    return V.header_pairs(spark, sf_dir).select("id", header.alias("header"))
+    pairs = V.header_pairs(spark, sf_dir)
+    headed = P.infer_headers(
+        pairs, F.col("row1"), F.col("row2"), ["id"], CFG.header_tokens, CFG.rules()
+    )
+    return headed.select("id", "header")
 
 
 @query
@@ -479,7 +483,7 @@ def header_infer(spark, sf_dir):
 def header_fallback(spark, sf_dir):
     """Pairs as the parts of a page per customer: names taken from the part before."""
     orders = V.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey")
-    parts = _inferred(spark, sf_dir).join(orders, "id").select(
+    parts = cut(_inferred(spark, sf_dir)).join(orders, "id").select(
         F.col("o_custkey").alias("page_num"), F.col("id").alias("seq"), "header",
         F.when(F.col("id") % 9 == 0, 7).otherwise(8).alias("width"),
     )
@@ -656,7 +660,7 @@ def refined_parts(spark, sf_dir):
     """The named cells of every data row, one record per name."""
     rows, config = V.report_grid(spark, sf_dir)
     rows = grid.configured_rows(cut(rows), config)
-    starts = cut(report.find_tables(rows, CFG))
+    starts = cut(report.find_tables(rows, cut(report.find_pages(rows, CFG)), CFG))
     parts = report.add_periods(
         report.check_parts(report.find_parts(rows, starts, CFG), CFG), CFG, F.lit(AS_OF).cast("date")
     )

@@ -17,7 +17,7 @@ from reportgrid.config import ReportConfig
 from reportgrid.functions.months import period_desc
 from reportgrid.functions.numbers import null_sentinels, utc_naive
 from reportgrid.operators import enrich, parts as part_ops, quality, splits, titles, typing
-from reportgrid.operators.scans import bucket_of, running
+from reportgrid.operators.scans import bucket_of, reaches, running
 from reportgrid.sources import grid
 from reportgrid.sources.staging import cut
 
@@ -50,9 +50,9 @@ class ReportResult:
         ).crossJoin(self.errors.agg(F.count(F.lit(1)).alias("errors_rows")))
 
 
-def find_tables(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """One record per page and row bucket: titles and the table starts in the bucket."""
-    heads = titles.page_heads(
+def find_pages(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """One record per page: titles, number of rows, first row below the titles."""
+    return titles.page_heads(
         rows,
         PAGE,
         ["page_pos", "n_col"],
@@ -60,6 +60,12 @@ def find_tables(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
         cfg.title_empty_threshold,
         cfg.drop_title_rows,
     )
+
+
+def find_tables(
+    rows: DataFrame, heads: DataFrame, cfg: ReportConfig, long_pages: bool = True
+) -> DataFrame:
+    """One record per page and row bucket: titles and the table starts in the bucket."""
     candidates = splits.split_candidates(
         rows,
         PAGE,
@@ -71,8 +77,11 @@ def find_tables(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
         leading_title_rows=2 * cfg.max_title_rows if cfg.drop_title_rows else 0,
         title_threshold=cfg.title_empty_threshold,
         bucket_rows=cfg.bucket_rows,
+        carry=long_pages,
+    )
+    points = splits.choose_points(
+        candidates, heads, PAGE, cfg.min_rows_per_table, cfg.bucket_rows, long_pages
     )
-    points = splits.choose_points(candidates, heads, PAGE, cfg.min_rows_per_table, cfg.bucket_rows)
     return splits.table_starts(points, PAGE)
 
 
@@ -90,8 +99,9 @@ def find_parts(rows: DataFrame, starts: DataFrame, cfg: ReportConfig) -> DataFra
     )
     parts = cut(part_ops.split_parts(tables, cfg.slicer_header_rows, cfg.slicer_thresholds))
     parts = cut(part_ops.with_headers(parts, cfg.header_tokens, cfg.rules()).drop("head"))
-    parts = part_ops.with_fallback(parts, PAGE, bucket_rows=cfg.bucket_rows)
-    return part_ops.stop_at_error(parts, PAGE, cfg.bucket_rows)
+    many = reaches(parts, "seq", cfg.bucket_rows)
+    parts = part_ops.with_fallback(parts, PAGE, bucket_rows=cfg.bucket_rows, carry=many)
+    return part_ops.stop_at_error(parts, PAGE, cfg.bucket_rows, many)
 
 
 def check_parts(parts: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -111,6 +121,10 @@ def check_parts(parts: DataFrame, cfg: ReportConfig) -> DataFrame:
     parts = quality.with_checks(parts, F.concat(fixed, F.col("data_names")), cfg.bad_tokens)
     clean_rows = F.when(F.col("emitted") & ~F.col("is_problem"), F.col("n_data")).otherwise(0)
     shown = F.col("emitted").cast("long")
+    top = parts.agg(
+        F.coalesce(F.max("page_pos"), F.lit(0)).alias("page"),
+        F.coalesce(F.max("seq"), F.lit(0)).alias("part"),
+    ).first()
     pages = parts.groupBy("doc_id", "page_num", "page_pos").agg(
         F.sum(clean_rows).alias("__rows"), F.sum(shown).alias("__parts")
     )
@@ -120,6 +134,7 @@ def check_parts(parts: DataFrame, cfg: ReportConfig) -> DataFrame:
         "page_pos",
         total={"__row_base": F.col("__rows"), "__part_base": F.col("__parts")},
         bucket_rows=cfg.bucket_rows,
+        carry=top["page"] >= cfg.bucket_rows,
     ).drop("__rows", "__parts", "page_pos")
     parts = running(
         parts,
@@ -127,6 +142,7 @@ def check_parts(parts: DataFrame, cfg: ReportConfig) -> DataFrame:
         "seq",
         total={"__row_at": clean_rows, "__part_at": shown},
         bucket_rows=cfg.bucket_rows,
+        carry=top["part"] >= cfg.bucket_rows,
     )
     return (
         parts.join(pages, PAGE)
@@ -140,7 +156,10 @@ def add_periods(parts: DataFrame, cfg: ReportConfig, as_of: Column) -> DataFrame
     """Adds ``period_start`` to the parts that reach the fact table."""
     reaching = parts.filter(F.col("emitted") & ~F.col("is_problem") & (F.col("n_data") > 0))
     labels = reaching.groupBy("doc_id", "period_agg").agg(F.min("ordinal").alias("first"))
-    dated = enrich.period_starts(labels, ["doc_id"], "period_agg", "first", cfg.year_ref, as_of)
+    far = reaches(parts, "ordinal", enrich.LABEL_BUCKET)
+    dated = enrich.period_starts(
+        labels, ["doc_id"], "period_agg", "first", cfg.year_ref, as_of, carry=far
+    )
     dated = dated.select(
         F.col("doc_id").alias("__doc"), F.col("period_agg").alias("__label"), "period_start"
     )
@@ -148,7 +167,9 @@ def add_periods(parts: DataFrame, cfg: ReportConfig, as_of: Column) -> DataFrame
     return parts.join(dated, same, "left").drop("__doc", "__label")
 
 
-def part_rows(rows: DataFrame, parts: DataFrame, cfg: ReportConfig) -> DataFrame:
+def part_rows(
+    rows: DataFrame, parts: DataFrame, cfg: ReportConfig, long_pages: bool = True
+) -> DataFrame:
     """The data rows of the given parts, cells named in a map ``values``."""
     columns = [
         "lo", "width", "table_id", "part_id", "parent_id", "seq", "idx", "ordinal", "first_data",
@@ -185,7 +206,7 @@ def part_rows(rows: DataFrame, parts: DataFrame, cfg: ReportConfig) -> DataFrame
     )
     labelled = enrich.group_label(
         shaped, [*PAGE, "seq"], "row_idx", F.col("item_raw"), cfg.aggregation_keywords,
-        bucket_rows=cfg.bucket_rows, bucket="bucket",
+        bucket_rows=cfg.bucket_rows, bucket="bucket", carry=long_pages,
     )
     return labelled.drop("first_data", "table_end", "ordinal", "item_raw", "bucket")
 
@@ -266,12 +287,14 @@ def run_report(
     config = pages if isinstance(pages, DataFrame) else grid.page_config(spark, pages)
     rows = grid.configured_rows(rows, config, cfg.bucket_rows)
 
-    starts = cut(find_tables(rows, cfg))
+    heads = cut(find_pages(rows, cfg))
+    long_pages = reaches(heads, "n_rows", cfg.bucket_rows + 1)
+    starts = cut(find_tables(rows, heads, cfg, long_pages))
     parts = cut(check_parts(find_parts(rows, starts, cfg), cfg))
     parts = cut(add_periods(parts, cfg, as_of))
 
     clean = parts.filter(F.col("emitted") & ~F.col("is_problem"))
-    shaped = part_rows(rows, clean, cfg)
+    shaped = part_rows(rows, clean, cfg, long_pages)
     shaped = enrich.with_chapters(shaped, F.broadcast(enrich.page_map(spark, cfg.chapters)))
     if strict_columns:
         check_final_columns(parts, shaped.columns, cfg)
@@ -317,7 +340,7 @@ def run_report(
         facts=final_projection(shaped, cfg, decisions, keys),
         qc_summary=quality.qc_summary(emitted, ["doc_id"], cfg.preview_limit),
         errors=quality.flatten_errors([*frames, quality.qc_events(emitted, ["doc_id"])]),
-        quarantine=part_rows(rows, parts.filter("emitted and is_problem"), cfg),
+        quarantine=part_rows(rows, parts.filter("emitted and is_problem"), cfg, long_pages),
         lost_values=lost,
         decisions=decisions,
         parts=parts,

@@ -154,7 +154,7 @@ def plan_of(df):
 def test_plans_have_no_python_and_no_page_wide_windows(spark, sf_dir):
     rows, config = V.report_grid(spark, sf_dir)
     fitted = G.configured_rows(rows, config)
-    plan = plan_of(R.find_tables(fitted, ReportConfig()))
+    plan = plan_of(R.find_tables(fitted, R.find_pages(fitted, ReportConfig()), ReportConfig()))
     for node in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
     flags = [w for w in plan.splitlines() if " Window [" in w and "row_idx" in w]
