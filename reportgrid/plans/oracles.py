@@ -393,6 +393,28 @@ FACT_SELECT = """SELECT doc_id, CAST(doc_id % 80 AS INTEGER) AS page_num, ch.cap
   TIMESTAMP '2026-01-05 10:00:00' + to_seconds(doc_id % 10) AS timestamp_utc
 FROM shown LEFT JOIN chapter ch ON ch.page_num = doc_id % 80"""
 
+PART_NAMES = f"""CASE WHEN fault = 4 AND side = 1 OR fault = 6 AND side = 0 THEN []
+  WHEN side = 1 AND fault = 16 THEN {lst(['item_agg', 'item_agg_2', '2025_act', '2025_bdg', 'eur_vs_act', 'pct_vs_act', 'eur_vs_bdg', 'pct_vs_bdg'])}
+  WHEN side = 1 AND fault = 8 THEN list_concat(['euro/000_' || lower(period)], {lst(['2025_act', '2025_act', '2025_bdg', 'eur_vs_act', 'pct_vs_act', 'eur_vs_bdg', 'pct_vs_bdg'])})
+  WHEN side = 1 AND fault IN (10, 14) THEN list_concat({lst(['item_agg', '2025_act', '2024_act', '2025_bdg', 'eur_vs_act', 'pct_vs_act'])},
+    CASE fault WHEN 10 THEN ['eur_vs_bdg*', 'pct_vs_bdg*'] ELSE ['eur_delta', 'pct_delta'] END)
+  ELSE {lst(['item_agg', '2025_act', '2024_act', '2025_bdg', 'eur_vs_act', 'pct_vs_act', 'eur_vs_bdg', 'pct_vs_bdg'])} END"""
+
+# Where each part's data rows stand in its page, and what it is called.
+PARTS = FACTS + f""",
+sizes AS (SELECT doc_id, count(*) FILTER (side = 0) AS n0, count(*) FILTER (side = 1) AS n1 FROM labelled GROUP BY 1),
+sides AS (SELECT s.*, doc_id % 20 AS fault, doc_id % 2 = 1 AS wide, c_mktsegment, unnest([0, 1]) AS side
+  FROM sizes s JOIN customer c ON c.c_custkey = s.doc_id WHERE doc_id % 20 <> 12),
+period AS (SELECT *, CASE WHEN (doc_id % 7 = 0) = (side = 0) THEN 'YTD' ELSE 'December' END AS period,
+  CASE WHEN fault = 6 THEN 3 ELSE 5 END AS first0 FROM sides),
+part_list AS (SELECT doc_id, fault, side, period, CASE WHEN wide THEN 0 ELSE side END AS table_id,
+  CASE WHEN NOT wide THEN 1 ELSE 11 + side END AS part_id, CASE WHEN wide THEN 1 END AS parent_id,
+  CASE WHEN wide THEN 4 WHEN side = 0 THEN first0 ELSE first0 + n0 + CASE WHEN doc_id % 3 > 0 OR fault = 4 THEN 1 ELSE 0 END
+    + CASE WHEN fault = 4 THEN 0 ELSE 2 END END AS first_data,
+  CASE WHEN side = 0 THEN n0 ELSE n1 END AS n_data,
+  CASE WHEN wide THEN NULL WHEN side = 0 THEN upper(c_mktsegment) WHEN doc_id % 3 > 0 OR fault = 4 THEN 'ONCOLOGY' END AS page_subtitle_1,
+  {PART_NAMES} AS names FROM period)"""
+
 ERRORS = """errs AS (SELECT c_custkey AS doc_id, CAST(c_custkey % 80 AS INTEGER) AS page,
   CASE c_custkey % 20 WHEN 10 THEN 18 ELSE 8 END AS n_col,
   CASE c_custkey % 20 WHEN 12 THEN 'NARROW_GRID: the grid has fewer columns than configured'
@@ -499,7 +521,7 @@ def oracles() -> dict[str, str]:
         "split_tables": q(DOC_CHOSEN + """, cut AS (SELECT r.doc_id, r.row_idx, count(c.point) AS table_id,
               coalesce(max(c.point), 0) AS start FROM doc_rows r LEFT JOIN chosen c
               ON c.doc_id = r.doc_id AND c.point <= r.row_idx AND c.point > 0 GROUP BY ALL)""",
-              "SELECT doc_id, row_idx, table_id, row_idx - start AS new_idx FROM cut"),
+              "SELECT doc_id, row_idx, CAST(table_id AS INTEGER) AS table_id, row_idx - start AS new_idx FROM cut"),
         "side_by_side": q(PAIRS + f""", d AS (SELECT id, list_concat(row1, list_transform(row1, lambda c:
                 CASE WHEN id % 3 > 0 THEN c ELSE 'x' END)) AS h1, list_concat(row2, list_transform(range(8), lambda i:
                 CASE WHEN id % 5 > 0 OR i > 1 THEN row2[i + 1] ELSE 'y' END)) AS h2 FROM pairs),
@@ -562,12 +584,13 @@ def oracles() -> dict[str, str]:
               len(list_filter(cells, lambda x: regexp_matches(x, '[^\\p{L}\\p{N}\\p{M}_\\s]'))) AS bad_chars,
               len(list_filter(cells, lambda x: regexp_matches(x, '(?i)(^|[^\\p{L}\\p{N}\\p{M}_])(the|de|of|un)([^\\p{L}\\p{N}\\p{M}_]|$)')))
               AS bad_tokens FROM doc_rows"""),
-        "qc_summary": q(CHECKED, f"""SELECT id AS idx, CAST(page_num AS INTEGER) AS page, len(n) AS n_col, issues <> '' AS is_problem, issues,
-              len(dup) AS dup_n, len(num) AS numeric_n, len(bad) AS bad_chars_n, len(tok) AS bad_tokens_n,
+        "qc_summary": q(CHECKED, f"""SELECT id AS idx, CAST(page_num AS INTEGER) AS page, CAST(len(n) AS INTEGER) AS n_col, issues <> '' AS is_problem, issues,
+              CAST(len(dup) AS INTEGER) AS dup_n, CAST(len(num) AS INTEGER) AS numeric_n,
+              CAST(len(bad) AS INTEGER) AS bad_chars_n, CAST(len(tok) AS INTEGER) AS bad_tokens_n,
               {joined('dup[1:3]')} AS dup_cols, {joined('num[1:3]')} AS numeric_cols, {joined('bad[1:3]')} AS bad_chars_cols,
               {joined('tok[1:3]')} AS bad_token_cols FROM issued"""),
         "qc_events": q(CHECKED, " UNION ALL ".join(
-            f"""SELECT id, CAST(page_num AS INTEGER) AS page, len(n) AS n_col, '{text}: ' || {quoted(col)} AS e_des FROM issued WHERE len({col}) > 0"""
+            f"""SELECT id, CAST(page_num AS INTEGER) AS page, CAST(len(n) AS INTEGER) AS n_col, '{text}: ' || {quoted(col)} AS e_des FROM issued WHERE len({col}) > 0"""
             for col, text in (("dup", "DUPLICATE_COLS"), ("num", "NUMERIC_COLNAMES"), ("bad", "BAD_CHARS_IN_COLNAMES"),
                               ("tok", "BAD_TOKENS_IN_COLNAMES")))),
         "quarantine": q(CHECKED, """SELECT l_orderkey AS id, l_linenumber, l_quantity,
@@ -593,6 +616,23 @@ def oracles() -> dict[str, str]:
               FROM part LEFT JOIN chapter c ON c.page_num = p_size + 28"""),
         "report_facts": q(FACTS, FACT_SELECT),
         "report_errors": q(ERRORS, "SELECT * FROM errs WHERE e_des IS NOT NULL"),
+        "report_parts": q(PARTS, f"""SELECT doc_id, table_id, part_id, CAST(parent_id AS INTEGER) AS parent_id,
+              CAST(first_data AS INTEGER) AS first_data, CAST(n_data AS INTEGER) AS n_data,
+              page_subtitle_1, CASE WHEN len(names) > 0 THEN period END AS period_agg, {joined('names')} AS names,
+              CASE WHEN fault = 6 AND side = 0 THEN 'NO_HEADER' WHEN fault = 8 AND side = 1 THEN 'NO_ITEM_AGG' END AS error,
+              NOT (fault = 6 OR fault = 8 AND side = 1) AS emitted, fault IN (8, 10) AND side = 1 AS is_problem FROM part_list"""),
+        "refined_parts": q(PARTS + f""",
+              texts AS (SELECT *, row_number() OVER (PARTITION BY doc_id, side ORDER BY line) - 1 AS at,
+                CASE WHEN a25 IS NULL THEN [label, '', '', '', '', '', '', ''] ELSE
+                [label, {eu('a25')}, {eu('a24')}, {eu('(a25 + a24)')}, {eu('(a25 - a24)')},
+                 CASE WHEN fault = 2 AND line = 1 THEN 'n.a.%' ELSE (a25 % 97 - 48) || '%' END,
+                 CASE WHEN fault = 18 THEN 'n.s.' ELSE {eu('(-a24)')} END, (a24 % 89) || '%'] END AS plain FROM labelled),
+              cells AS (SELECT t.doc_id, t.at + p.first_data AS row_idx, p.table_id, p.part_id, t.grp AS item_agg_1, p.names,
+                CASE WHEN t.fault = 16 AND t.side = 1 THEN list_concat(list_concat([label, CASE WHEN line % 2 = 0 THEN 'HI' ELSE 'LO' END],
+                  plain[2:2]), plain[4:8]) ELSE plain END AS v
+                FROM texts t JOIN part_list p ON p.doc_id = t.doc_id AND p.side = t.side
+                WHERE NOT (t.fault = 6 OR t.fault = 8 AND t.side = 1))""",
+              "SELECT doc_id, CAST(row_idx AS INTEGER) AS row_idx, table_id, part_id, item_agg_1, unnest(names) AS name, unnest(v[1:len(names)]) AS value FROM cells"),
         "report_lost_values": q(FACTS, """SELECT doc_id, 'pct_vs_act' AS "column", ord AS index, 'n.a.%' AS or_val
               FROM shown WHERE fault = 2 AND line = 1"""),
         "run_report": q(FACTS + ", " + ERRORS, """SELECT (SELECT count(*) FROM shown) AS facts_rows, 24 AS facts_columns,

@@ -651,7 +651,6 @@ def report_parts(spark, sf_dir):
     return parts.select(
         "doc_id", "table_id", "part_id", "parent_id", "first_data", "n_data", "page_subtitle_1",
         "period_agg", joined(F.col("data_names")).alias("names"), "error", "emitted", "is_problem",
-        "ordinal", "idx",
     )
 
 
