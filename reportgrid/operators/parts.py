@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reportgrid.functions.cells import let, norm_row, positional_similarity
 from reportgrid.functions.headers import infer_header
-from reportgrid.operators.scans import BUCKET_ROWS, running
+from reportgrid.operators.scans import BUCKET_ROWS, bucket_of, running
 from reportgrid.operators.titles import head_entry, title_at
 
 NO_HEADER, HEADER_WIDTH, NO_ITEM, NARROW, MISSING = (
@@ -155,6 +155,7 @@ def with_fallback(
     item_column: str = "item_agg",
     bucket_rows: int = BUCKET_ROWS,
     carry: bool = True,
+    bucket: str | None = None,
 ) -> DataFrame:
     """Adds ``names`` and an ``error`` code; a part without header takes the last one of its page.
 
@@ -167,6 +168,7 @@ def with_fallback(
         last={"last_names": F.col("header.names")},
         bucket_rows=bucket_rows,
         carry=carry,
+        bucket=bucket,
     )
     names = F.coalesce(F.col("header.names"), F.col("last_names"))
     items = F.size(F.filter(F.col("names"), lambda n: n == item_column))
@@ -183,7 +185,11 @@ def with_fallback(
 
 
 def stop_at_error(
-    parts: DataFrame, keys: Sequence[str], bucket_rows: int = BUCKET_ROWS, carry: bool = True
+    parts: DataFrame,
+    keys: Sequence[str],
+    bucket_rows: int = BUCKET_ROWS,
+    carry: bool = True,
+    bucket: str | None = None,
 ) -> DataFrame:
     """Adds ``reached``: false for the parts of a page that come after its first error."""
     return (
@@ -194,6 +200,7 @@ def stop_at_error(
             last={"__failed": F.when(F.col("error").isNotNull(), F.lit(True))},
             bucket_rows=bucket_rows,
             carry=carry,
+            bucket=bucket,
         )
         .withColumn("reached", F.col("__failed").isNull())
         .drop("__failed")
@@ -221,10 +228,7 @@ def place_parts(parts: DataFrame, keys: Sequence[str], first: str, end: str, buc
     A part that reaches over several buckets is listed in each; a bucket lists at most two
     parts per row, so the lists stay short whatever the size of a page.
     """
-    reach = F.sequence(
-        F.floor(F.col(first) / bucket_rows).cast("long"),
-        F.floor((F.col(end) - 1) / bucket_rows).cast("long"),
-    )
+    reach = F.sequence(bucket_of(first, bucket_rows), bucket_of(F.col(end) - 1, bucket_rows))
     body = [c for c in parts.columns if c not in keys]
     return (
         parts.filter(F.col(first) < F.col(end))

@@ -19,12 +19,12 @@ BUCKET_ROWS = 1024
 
 def bucket_of(pos: Column | str, bucket_rows: int = BUCKET_ROWS) -> Column:
     pos = F.col(pos) if isinstance(pos, str) else pos
-    return F.floor(pos / F.lit(bucket_rows)).cast("long")
+    return F.call_function("div", pos, F.lit(bucket_rows))
 
 
 def page_buckets(heads: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One record per page and bucket of rows, from one record per page with ``n_rows``."""
-    last = F.floor((F.col("n_rows") - 1) / bucket_rows).cast("long")
+    last = bucket_of(F.col("n_rows") - 1, bucket_rows)
     return heads.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), last)))
 
 

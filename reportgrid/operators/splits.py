@@ -198,7 +198,7 @@ def _gap_before(frame: DataFrame, keys: Sequence[str], distance: int, bucket_row
 
     steps = frame.select(
         *keys,
-        F.floor(F.col("bucket") / CHUNK).cast("long").alias("chunk"),
+        bucket_of("bucket", CHUNK).alias("chunk"),
         F.struct("bucket", F.array(*[leave(g) for g in gaps]).alias("map")).alias("step"),
     )
     chunks = steps.groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list("step")).alias("steps"))
@@ -278,46 +278,29 @@ def choose_points(
     come too thick (more than one per ``min_rows_per_table`` rows) are thinned out from the top.
     ``heads`` has one record per page with ``n_rows`` and ``first_row``.
     """
+    per_kind = candidates.groupBy(*keys, "kind").agg(F.sum("hits").alias("hits"))
+    winners = per_kind.groupBy(*keys).agg(F.min(F.struct("kind", "hits")).alias("__win"))
+    pages = heads.join(winners, list(keys), "left").withColumns(
+        {
+            "kind": F.col("__win.kind"),
+            "__thin": F.coalesce(
+                (F.col("__win.kind") != SPARSE)
+                & (F.col("__win.hits") > (F.col("n_rows") - F.col("first_row")) / min_rows_per_table),
+                F.lit(False),
+            ),
+        }
+    )
     per_bucket = candidates.groupBy(*keys, bucket_of("point", bucket_rows).alias("bucket")).agg(
-        F.sort_array(F.collect_list(F.struct("kind", "point"))).alias("__found"),
-        F.min("kind").alias("__kind"),
-        F.collect_list(F.struct("kind", "hits")).alias("__hits"),
+        F.sort_array(F.collect_list(F.struct("kind", "point"))).alias("__found")
+    )
+    mine = F.filter(
+        F.coalesce("__found", F.array().cast("array<struct<kind:int,point:int>>")),
+        lambda f: f["kind"] == F.col("kind"),
     )
-    page = Window.partitionBy(*keys)
     buckets = (
-        page_buckets(heads, bucket_rows)
+        page_buckets(pages.drop("__win"), bucket_rows)
         .join(per_bucket, [*keys, "bucket"], "left")
-        .withColumn("kind", F.min("__kind").over(page))
-        .withColumn(
-            "__mine",
-            F.aggregate(
-                F.filter(
-                    F.coalesce("__hits", F.array().cast("array<struct<kind:int,hits:bigint>>")),
-                    lambda h: h["kind"] == F.col("kind"),
-                ),
-                F.lit(0).cast("long"),
-                lambda acc, h: acc + h["hits"],
-            ),
-        )
-        .withColumn("__total", F.sum("__mine").over(page))
-        .withColumn(
-            "__thin",
-            F.coalesce(
-                (F.col("kind") != SPARSE)
-                & (F.col("__total") > (F.col("n_rows") - F.col("first_row")) / min_rows_per_table),
-                F.lit(False),
-            ),
-        )
-        .withColumn(
-            "points",
-            F.transform(
-                F.filter(
-                    F.coalesce("__found", F.array().cast("array<struct<kind:int,point:int>>")),
-                    lambda f: f["kind"] == F.col("kind"),
-                ),
-                lambda f: f["point"],
-            ),
-        )
+        .withColumn("points", F.transform(mine, lambda f: f["point"]))
     )
     if carry:
         long_and_thick = buckets.filter(
@@ -331,13 +314,14 @@ def choose_points(
     apart = keep_apart(F.col("points"), start, min_rows_per_table)["kept"]
     return buckets.withColumn(
         "points", F.when(F.col("__thin"), apart).otherwise(F.col("points"))
-    ).drop("__found", "__kind", "__hits", "__mine", "__total", "__thin", "gap")
+    ).drop("__found", "__thin", "gap")
 
 
-def table_starts(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+def table_starts(points: DataFrame, keys: Sequence[str], carry: bool = True) -> DataFrame:
     """Adds to each page bucket the table ``starts`` in it, their base id and the open table.
 
     The first table of a page starts at ``first_row``; points outside the page are ignored.
+    ``carry=False`` is for pages of one bucket each.
     """
     inside = F.filter(
         F.col("points"), lambda p: (p > F.col("first_row")) & (p < F.col("n_rows"))
@@ -345,17 +329,31 @@ def table_starts(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     first = F.when(
         (F.col("bucket") == 0) & (F.col("first_row") < F.col("n_rows")), F.array("first_row")
     ).otherwise(F.array().cast("array<int>"))
+    placed = points.withColumn("starts", F.concat(first, inside))
+    if not carry:
+        return placed.withColumns(
+            {"id_base": F.lit(0), "open_start": F.lit(None).cast("int")}
+        )
+    # the running values need two numbers per bucket, not the lists
     earlier = (
         Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
-    return points.withColumn("starts", F.concat(first, inside)).withColumns(
-        {
-            "id_base": F.coalesce(F.sum(F.size("starts")).over(earlier), F.lit(0)).cast("int"),
-            "open_start": F.last(
-                F.try_element_at(F.col("starts"), F.lit(-1)), ignorenulls=True
-            ).over(earlier),
-        }
+    before = (
+        placed.filter(F.col("n_rows") > 0)
+        .select(
+            *keys,
+            "bucket",
+            F.size("starts").alias("__n"),
+            F.try_element_at(F.col("starts"), F.lit(-1)).alias("__at"),
+        )
+        .select(
+            *keys,
+            "bucket",
+            F.coalesce(F.sum("__n").over(earlier), F.lit(0)).cast("int").alias("id_base"),
+            F.last("__at", ignorenulls=True).over(earlier).alias("open_start"),
+        )
     )
+    return placed.join(before, [*keys, "bucket"])
 
 
 def assign_tables(

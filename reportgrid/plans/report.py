@@ -80,9 +80,9 @@ def find_tables(
         carry=long_pages,
     )
     points = splits.choose_points(
-        candidates, heads, PAGE, cfg.min_rows_per_table, cfg.bucket_rows, long_pages
+        cut(candidates), heads, PAGE, cfg.min_rows_per_table, cfg.bucket_rows, long_pages
     )
-    return splits.table_starts(points, PAGE)
+    return splits.table_starts(points, PAGE, long_pages)
 
 
 def find_parts(rows: DataFrame, starts: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -100,8 +100,10 @@ def find_parts(rows: DataFrame, starts: DataFrame, cfg: ReportConfig) -> DataFra
     parts = cut(part_ops.split_parts(tables, cfg.slicer_header_rows, cfg.slicer_thresholds))
     parts = cut(part_ops.with_headers(parts, cfg.header_tokens, cfg.rules()).drop("head"))
     many = reaches(parts, "seq", cfg.bucket_rows)
-    parts = part_ops.with_fallback(parts, PAGE, bucket_rows=cfg.bucket_rows, carry=many)
-    return part_ops.stop_at_error(parts, PAGE, cfg.bucket_rows, many)
+    parts = parts.withColumn("part_bucket", bucket_of("seq", cfg.bucket_rows))
+    shared = {"bucket_rows": cfg.bucket_rows, "carry": many, "bucket": "part_bucket"}
+    parts = part_ops.with_fallback(parts, PAGE, **shared)
+    return part_ops.stop_at_error(parts, PAGE, **shared)
 
 
 def check_parts(parts: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -143,12 +145,13 @@ def check_parts(parts: DataFrame, cfg: ReportConfig) -> DataFrame:
         total={"__row_at": clean_rows, "__part_at": shown},
         bucket_rows=cfg.bucket_rows,
         carry=top["part"] >= cfg.bucket_rows,
+        bucket="part_bucket",
     )
     return (
         parts.join(pages, PAGE)
         .withColumn("ordinal", F.col("__row_base") + F.col("__row_at"))
         .withColumn("idx", (F.col("__part_base") + F.col("__part_at")).cast("int"))
-        .drop("__row_base", "__row_at", "__part_base", "__part_at")
+        .drop("__row_base", "__row_at", "__part_base", "__part_at", "part_bucket")
     )
 
 
