@@ -6,6 +6,7 @@ from helpers import grid, rows_of
 from pyspark.sql import functions as F
 
 from reportgrid.config import ReportConfig
+from reportgrid.operators import splits
 from reportgrid.plans import report as R
 from reportgrid.plans import views as V
 from reportgrid.sinks import writers
@@ -153,12 +154,28 @@ def plan_of(df):
 
 def test_plans_have_no_python_and_no_page_wide_windows(spark, sf_dir):
     rows, config = V.report_grid(spark, sf_dir)
+    cfg = ReportConfig()
     fitted = G.configured_rows(rows, config)
-    plan = plan_of(R.find_tables(fitted, R.find_pages(fitted, ReportConfig()), ReportConfig()))
+    heads = R.find_pages(fitted, cfg)
+    found = splits.split_candidates(fitted, R.PAGE, cfg.header_tokens, [cfg.keywords_primary])
+    starts = splits.table_starts(splits.choose_points(found, heads, R.PAGE), R.PAGE)
+    tables = splits.assign_tables(fitted, starts, R.PAGE)
+    plan = plan_of(tables)
     for node in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
-    flags = [w for w in plan.splitlines() if " Window [" in w and "row_idx" in w]
-    assert flags and all("bucket" in w for w in flags)
+    over_rows = [w for w in plan.splitlines() if " Window [" in w and "row_idx" in w]
+    assert over_rows and all("bucket" in w for w in over_rows)
+
+
+def test_a_page_with_most_rows_spreads(spark):
+    """One long page among short ones: windows work on its buckets, results stay whole."""
+    long_page = [*PAGE[:5], *[data(f"line {i}", 1) for i in range(3000)], *PAGE[7:]]
+    cfg = ReportConfig(final_columns=FINAL, bucket_rows=256)
+    out = run(spark, {1: long_page, 2: PAGE, 3: PAGE}, cfg)
+    counts = {r.doc_id: r["count"] for r in out.facts.groupBy("doc_id").count().collect()}
+    assert counts == {1: 3004, 2: 6, 3: 6}
+    last = out.facts.filter("doc_id = 1 and table_id = 1").collect()
+    assert {(r.page_subtitle_1, r.period_desc) for r in last} == {("ONCOLOGY", "YTD")}
 
 
 def test_staged_rows_need_no_shuffle(spark):
