@@ -42,6 +42,29 @@ def period_starts(
     ).drop(first)
 
 
+# Copies of each dated label, so that rows sharing one label spread over many tasks.
+LABEL_SALTS = 16
+
+
+def join_periods(
+    rows: DataFrame, dated: DataFrame, keys: Sequence[str], label: str, spread_by: Sequence[str]
+) -> DataFrame:
+    """Adds ``period_start`` by group and label, null labels included."""
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(LABEL_SALTS - 1).cast("long"))
+    dated = dated.select(
+        *[F.col(k).alias(f"__{k}") for k in keys],
+        F.col(label).alias("__label"),
+        "period_start",
+        F.explode(salts).alias("__salt"),
+    )
+    same = F.col(label).eqNullSafe(F.col("__label")) & (
+        F.pmod(F.xxhash64(*spread_by), F.lit(LABEL_SALTS)) == F.col("__salt")
+    )
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"__{k}"))
+    return rows.join(dated, same, "left").drop("__label", "__salt", *[f"__{k}" for k in keys])
+
+
 def map_period_start(
     rows: DataFrame,
     keys: Sequence[str],
@@ -53,13 +76,7 @@ def map_period_start(
     """Adds ``period_start`` to the rows; ``order`` is the row number inside the group."""
     labels = rows.groupBy(*keys, label).agg(F.min(order).alias("__first"))
     dated = period_starts(labels, keys, label, "__first", year, as_of)
-    dated = dated.select(
-        *[F.col(k).alias(f"__{k}") for k in keys], F.col(label).alias("__label"), "period_start"
-    )
-    same = F.col(label).eqNullSafe(F.col("__label"))
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"__{k}"))
-    return rows.join(dated, same, "left").drop("__label", *[f"__{k}" for k in keys])
+    return join_periods(rows, dated, keys, label, [order])
 
 
 def page_map(spark: SparkSession, chapters: Mapping[str, Mapping[str, Sequence[int]]]) -> DataFrame:

@@ -88,6 +88,16 @@ def qc_events(parts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def flag_quarantine(rows: DataFrame, parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``quarantined``, true for the rows of problem parts; one pass over the rows."""
+    flags = parts.select(*keys, F.col("is_problem").alias("__flag"))
+    return (
+        rows.join(flags, list(keys), "left")
+        .withColumn("quarantined", F.coalesce("__flag", F.lit(False)))
+        .drop("__flag")
+    )
+
+
 def quarantine(
     rows: DataFrame, parts: DataFrame, keys: Sequence[str], reverse: bool = False
 ) -> tuple[DataFrame, DataFrame]:

@@ -542,10 +542,7 @@ def qc_events(spark, sf_dir):
 def quarantine(spark, sf_dir):
     """Rows of clean and of problem parts: the orders of headers with and without issues."""
     lines = V.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), "l_linenumber", "l_quantity")
-    clean, bad = quality.quarantine(lines, _checked(spark, sf_dir), ["id"])
-    return clean.withColumn("quarantined", F.lit(False)).unionByName(
-        bad.withColumn("quarantined", F.lit(True))
-    )
+    return quality.flag_quarantine(lines, _checked(spark, sf_dir), ["id"])
 
 
 # --- union -----------------------------------------------------------------------------
@@ -641,13 +638,13 @@ def report_facts(spark, sf_dir):
 
 @query
 def report_errors(spark, sf_dir):
-    return run(spark, sf_dir).errors
+    return run(spark, sf_dir, decisions={}).errors
 
 
 @query
 def report_parts(spark, sf_dir):
     """The parts of all pages: where they start, how they are named, what became of them."""
-    parts = run(spark, sf_dir).parts
+    parts = run(spark, sf_dir, decisions={}).parts
     return parts.select(
         "doc_id", "table_id", "part_id", "parent_id", "first_data", "n_data", "page_subtitle_1",
         "period_agg", joined(F.col("data_names")).alias("names"), "error", "emitted", "is_problem",
@@ -676,4 +673,4 @@ def report_lost_values(spark, sf_dir):
 
 @query
 def run_report(spark, sf_dir):
-    return run(spark, sf_dir).report()
+    return run(spark, sf_dir, decisions={}).report()

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,27 +28,74 @@ TEXT_STATICS = ("page_title", "page_subtitle", "page_subtitle_1", "period_agg",
 
 @dataclass
 class ReportResult:
-    """The five results of a run, the decided column types and the parts behind them."""
+    """The five results of a run; each frame is planned when it is first asked for."""
 
-    facts: DataFrame
-    qc_summary: DataFrame
-    errors: DataFrame
-    quarantine: DataFrame
-    lost_values: DataFrame
-    decisions: dict[str, str]
+    cfg: ReportConfig
+    rows: DataFrame
+    pages: Mapping[int | str, int] | DataFrame
+    heads: DataFrame
     parts: DataFrame
+    shaped: DataFrame
+    decisions: dict[str, str]
+    decided: DataFrame | None
+    long_pages: bool
+    keys: tuple[str, ...]
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        return final_projection(self.shaped, self.cfg, self.decisions, self.keys)
+
+    @cached_property
+    def emitted(self) -> DataFrame:
+        return self.parts.filter("emitted")
+
+    @cached_property
+    def qc_summary(self) -> DataFrame:
+        return quality.qc_summary(self.emitted, ["doc_id"], self.cfg.preview_limit)
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        problems = self.parts.filter("emitted and is_problem")
+        return part_rows(self.rows, problems, self.cfg, self.long_pages)
+
+    @cached_property
+    def lost_values(self) -> DataFrame:
+        decided = self.decisions if self.decided is None else self.decided
+        return typing.lost_values(
+            self.shaped, text_entries(self.cfg), decided, F.col("row_ordinal"), ["doc_id"]
+        )
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        """Failed pages and the quality events of all parts."""
+
+        def records(frame: DataFrame, code: Column) -> DataFrame:
+            text = part_ops.error_text(code).alias("e_des")
+            return frame.select("doc_id", F.col("page_num").alias("page"), "n_col", text)
+
+        failed = self.parts.filter(F.col("reached") & F.col("error").isNotNull())
+        frames = [
+            records(failed, F.col("error")),
+            records(self.heads.filter("narrow"), F.lit(part_ops.NARROW)),
+        ]
+        if not isinstance(self.pages, DataFrame) or "doc_id" in self.pages.columns:
+            missing = grid.missing_pages(self.rows, self.pages)
+            frames.append(records(missing, F.lit(part_ops.MISSING)))
+        return quality.flatten_errors([*frames, quality.qc_events(self.emitted, ["doc_id"])])
 
     def report(self) -> DataFrame:
         """Counts of a run, taken from the parts without another look at the rows."""
         kept = F.col("emitted")
-        return self.parts.agg(
-            F.coalesce(F.sum(F.when(kept & ~F.col("is_problem"), F.col("n_data"))), F.lit(0)).alias(
-                "facts_rows"
-            ),
+        clean_rows = F.when(kept & ~F.col("is_problem"), F.col("n_data"))
+        counts = self.parts.agg(
+            F.coalesce(F.sum(clean_rows), F.lit(0)).alias("facts_rows"),
             F.lit(len(self.facts.columns)).alias("facts_columns"),
             F.count_if(kept).alias("qc_summary_rows"),
             F.count_if(kept & F.col("is_problem")).alias("quarantine_parts"),
-        ).crossJoin(self.errors.agg(F.count(F.lit(1)).alias("errors_rows")))
+        )
+        errors = self.errors.agg(F.count(F.lit(1)).alias("errors_rows"))
+        both = counts.unionByName(errors, allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def find_pages(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -163,11 +211,7 @@ def add_periods(parts: DataFrame, cfg: ReportConfig, as_of: Column) -> DataFrame
     dated = enrich.period_starts(
         labels, ["doc_id"], "period_agg", "first", cfg.year_ref, as_of, carry=far
     )
-    dated = dated.select(
-        F.col("doc_id").alias("__doc"), F.col("period_agg").alias("__label"), "period_start"
-    )
-    same = (F.col("doc_id") == F.col("__doc")) & F.col("period_agg").eqNullSafe(F.col("__label"))
-    return parts.join(dated, same, "left").drop("__doc", "__label")
+    return enrich.join_periods(parts, dated, ["doc_id"], "period_agg", ["page_num", "seq"])
 
 
 def part_rows(
@@ -302,12 +346,12 @@ def run_report(
     if strict_columns:
         check_final_columns(parts, shaped.columns, cfg)
 
-    entries = text_entries(cfg)
+    decided = None
     if decisions is None:
         shaped = cut(shaped)
         total = clean.agg(F.sum("n_data")).first()[0] or 1
         decided = typing.decide_types(
-            typing.column_profile(shaped, entries),
+            typing.column_profile(shaped, text_entries(cfg)),
             F.lit(total),
             cfg.percent_threshold,
             cfg.percent_max_loss,
@@ -315,36 +359,6 @@ def run_report(
             cfg.numeric_max_loss,
         )
         decisions = typing.collect_decisions(decided, [*cfg.final_columns, "period_agg"])
-        lost = typing.lost_values(shaped, entries, decided, F.col("row_ordinal"), ["doc_id"])
-    else:
-        lost = typing.lost_values(shaped, entries, decisions, F.col("row_ordinal"), ["doc_id"])
-
-    emitted = parts.filter("emitted")
-    stopped = parts.filter(F.col("reached") & F.col("error").isNotNull()).select(
-        "doc_id", F.col("page_num").alias("page"), "n_col", part_ops.error_text(F.col("error")).alias("e_des")
-    )
-    narrow = (
-        starts.filter("narrow and bucket = 0")
-        .select(
-            "doc_id",
-            F.col("page_num").alias("page"),
-            "n_col",
-            part_ops.error_text(F.lit(part_ops.NARROW)).alias("e_des"),
-        )
-    )
-    absent = grid.missing_pages(rows, pages).select(
-        "doc_id",
-        F.col("page_num").alias("page"),
-        "n_col",
-        part_ops.error_text(F.lit(part_ops.MISSING)).alias("e_des"),
-    ) if not isinstance(pages, DataFrame) or "doc_id" in pages.columns else None
-    frames = [stopped, narrow, *([absent] if absent is not None else [])]
     return ReportResult(
-        facts=final_projection(shaped, cfg, decisions, keys),
-        qc_summary=quality.qc_summary(emitted, ["doc_id"], cfg.preview_limit),
-        errors=quality.flatten_errors([*frames, quality.qc_events(emitted, ["doc_id"])]),
-        quarantine=part_rows(rows, parts.filter("emitted and is_problem"), cfg, long_pages),
-        lost_values=lost,
-        decisions=decisions,
-        parts=parts,
+        cfg, rows, pages, heads, parts, shaped, decisions, decided, long_pages, keys
     )

@@ -58,6 +58,8 @@ def test_quality(spark):
     clean, bad = quality.quarantine(rows, checked, ["idx"], reverse=True)
     assert rows_of(clean) == [(2,), (2,)] and [r.idx for r in bad.collect()] == [1, 0]
     assert clean.count() + bad.count() == rows.count()
+    flagged = quality.flag_quarantine(rows, checked, ["idx"])
+    assert rows_of(flagged) == [(0, True), (1, True), (2, False), (2, False)]
 
 
 def text_rows(spark, values):
