@@ -2,30 +2,68 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportgrid.operators.scans import BUCKET_ROWS, bucket_of
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes a frame to the checkpoint folder and goes on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see, with a part of its own for this application.
+
+    It is the one the session names in ``spark.checkpoint.dir``; where that is unset, a folder
+    beside the tables of the warehouse.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    base = named or spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
+    return f"{base.rstrip('/')}/reportgrid-{spark.sparkContext.applicationId}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, wherever it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+_ENDING: set[str] = set()
+
+
+def _drop_at_exit(spark: SparkSession) -> None:
+    folder = shared_folder(spark)
+    if folder not in _ENDING:
+        _ENDING.add(folder)
 
-    The folder is the one the session names (``spark.checkpoint.dir``). Only a local session
-    without one, as in tests, gets a temporary folder.
+        def drop() -> None:
+            with contextlib.suppress(Exception):  # the session may be gone already
+                remove(spark, folder)
+
+        atexit.register(drop)
+
+
+def new_folder(spark: SparkSession, name: str = "part") -> str:
+    """A path of its own in the shared folder; the whole folder goes when the program ends."""
+    _drop_at_exit(spark)
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Writes a frame to the shared folder as columns and goes on from there.
+
+    Lineage is cut, a lost executor costs nothing, and later passes read only the columns they need.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="reportgrid-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = new_folder(spark)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes a frame to the shared folder and goes on from there."""
+    return staged(df)
 
 
 def stage_rows(rows: DataFrame, table: str, buckets: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
