@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reportgrid.llm import quality_rules
+from reportgrid.llm import line_dedup, quality_rules, url_filter, warc
 from reportgrid.llm.tables import table
+from reportgrid.sources.staging import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,3 +59,72 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
             OR 10 * ended > 3 * n_lines) AS kept
 FROM f
 """
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    found = line_dedup.drop_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.col("lines_before").alias("n_lines"),
+        F.col("lines_dropped").alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+SQL["op4_line_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source,
+         CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS lines
+  FROM documents
+), l AS (
+  SELECT DISTINCT r, source, x FROM d, unnest(lines) AS u(x) WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
+), n AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+b AS (
+  SELECT l.source, x FROM l JOIN n ON l.source IS NOT DISTINCT FROM n.source
+  GROUP BY l.source, x, pages HAVING count(*) >= 8 AND count(*) > 0.05 * pages
+), e AS (
+  SELECT r, i, lines[i] AS x, source FROM d, unnest(range(1, len(lines) + 1)) AS u(i)
+), k AS (
+  SELECT r, count(*) AS kept, string_agg(e.x, chr(10) ORDER BY i) AS t
+  FROM e LEFT JOIN b ON e.source IS NOT DISTINCT FROM b.source AND e.x = b.x
+  WHERE b.x IS NULL GROUP BY r
+)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines,
+       CAST(len(lines) - coalesce(kept, 0) AS BIGINT) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+
+@query
+def op5_warc(spark, sf_dir):
+    folder = new_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    found, _ = warc.recovered(spark, folder)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op5_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS n, sha1(html) AS h FROM p),
+k AS (SELECT h, max(page_id) AS keeper FROM d WHERE n >= 1000 GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d.h AS payload_digest,
+       CASE WHEN keeper > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper > page_id THEN keeper END AS refers_to
+FROM d LEFT JOIN k ON d.h = k.h AND d.n >= 1000
+"""
+
+#: Rules on host and path: fixed values of the query.
+URL_RULES = [
+    url_filter.Rule("allow", "com/"),
+    url_filter.Rule("block", "example.com/en/"),
+    url_filter.Rule("allow", "www.example.com/en/"),
+    url_filter.Rule("block", "net/es/"),
+    url_filter.Rule("block", "net/fr/"),
+]
+
+
+@query
+def op6_url_filter(spark, sf_dir):
+    found = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "score")
