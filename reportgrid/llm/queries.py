@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportgrid.llm import line_dedup, quality_rules, url_filter, warc
+from reportgrid.llm import line_dedup, quality_rules, toxicity, url_filter, warc
 from reportgrid.llm.tables import table
 from reportgrid.sources.staging import new_folder
 
@@ -128,3 +128,8 @@ URL_RULES = [
 def op6_url_filter(spark, sf_dir):
     found = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
     return found.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -180,12 +180,13 @@ def fit(ruled: DataFrame) -> Model | None:
 def scored(urls: DataFrame, model: Model) -> DataFrame:
     """Adds ``score`` to a frame whose column ``url`` holds no nulls."""
     spark = urls.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast((model.counts, model.kinds))
     at = urls.columns.index("url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Model(*sent.value)
         for batch in batches:
-            scores = [sent.value.score(url) for url in batch.column(at).to_pylist()]
+            scores = [known.score(url) for url in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
 
     return urls.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema) + ", score double")
