@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportgrid.llm import html_extract, line_dedup, quality_rules, toxicity, url_filter, warc
+from reportgrid.llm import decontaminate, html_extract, line_dedup, quality_rules, toxicity, url_filter, warc
 from reportgrid.llm.tables import table
 from reportgrid.sources.staging import new_folder
 
@@ -139,3 +139,8 @@ def op3_toxicity(spark, sf_dir):
 def op9_html_extract(spark, sf_dir):
     found = html_extract.extract(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
