@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportgrid.llm import decontaminate, html_extract, line_dedup, quality_rules, toxicity, url_filter, warc
+from reportgrid.llm import bpe, decontaminate, html_extract, line_dedup, quality_rules, toxicity, url_filter, warc
 from reportgrid.llm.tables import table
 from reportgrid.sources.staging import new_folder
 
@@ -144,3 +145,15 @@ def op9_html_extract(spark, sf_dir):
 @query
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def vocabulary() -> str:
+    """The public byte-level vocabulary, as it is installed beside the libraries."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+
+
+@query
+def op2_bpe(spark, sf_dir):
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary())

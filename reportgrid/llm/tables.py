@@ -16,3 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def words_of(text: Column) -> Column:
     """The words of a text in order; none for a null or blank text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")
+
+
+def remembered(name: str, make):
+    """What ``make`` gives, made once in a Python worker and kept for its next tasks."""
+    import sys
+
+    store = sys.__dict__.setdefault("_reportgrid_remembered", {})
+    if name not in store:
+        store[name] = make()
+    return store[name]
