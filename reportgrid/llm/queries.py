@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportgrid.llm import bpe, decontaminate, html_extract, line_dedup, quality_rules, toxicity, url_filter, warc
+from reportgrid.llm import bpe, decontaminate, html_extract, line_dedup, quality_rules, simhash, toxicity, url_filter, warc
 from reportgrid.llm.tables import table
 from reportgrid.sources.staging import new_folder
 
@@ -157,3 +157,8 @@ def vocabulary() -> str:
 @query
 def op2_bpe(spark, sf_dir):
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op1_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
