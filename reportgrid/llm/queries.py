@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportgrid.llm import bpe, decontaminate, html_extract, line_dedup, quality_rules, simhash, toxicity, url_filter, warc
+from reportgrid.llm import bpe, decontaminate, html_extract, line_dedup, quality_rules, simhash, suffix_dedup, toxicity, url_filter, warc
 from reportgrid.llm.tables import table
 from reportgrid.sources.staging import new_folder
 
@@ -162,3 +162,8 @@ def op2_bpe(spark, sf_dir):
 @query
 def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
