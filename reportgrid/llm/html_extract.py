@@ -32,6 +32,8 @@ SAMPLE_PAGES = 2000
 PRIOR_WORDS = 20.0
 #: What a tag costs.
 TAG_COST = 0.05
+#: What a word of a boilerplate block costs.
+BOILERPLATE_COST = -1.0
 #: Weights stay within these bounds.
 MOST = 4.0
 
@@ -153,7 +155,7 @@ def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
 
 def weight_of(place: Place, known: dict[str, float]) -> float:
     if place.bad:
-        return -MOST
+        return 0.0 if place.main else BOILERPLATE_COST  # inside a marked region it is left out, but parts nothing
     if place.main:
         return MOST
     found = known.get(place.kind)
