@@ -48,7 +48,7 @@ SIGNIFICANT = 0.01
 #: Lengths of the beginnings of words that are units too.
 STEMS = (4, 5, 6)
 #: Word scores that a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 WORD = re.compile(r"\w+")
 EULER = 0.5772156649015329
 
@@ -93,6 +93,28 @@ def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, i
     return [(int(a), int(b), right - left) for a, b, left, right in found]
 
 
+#: What most pieces hold: one word that tells nothing.
+PLAIN = (1, ())
+
+
+class Pieces(dict):
+    """For each piece of text without white space: its number of words, and the scores of those that tell something."""
+
+    def __init__(self, told: dict[str, float]):
+        self.told = told
+
+    def __missing__(self, piece: str) -> tuple[int, list[tuple[int, float]]]:
+        words = WORD.findall(piece)
+        scores = [(k, s) for k, w in enumerate(words) if (s := self.word_score(w)) is not None]
+        found = self[piece] = PLAIN if len(words) == 1 and not scores else (len(words), scores)
+        return found
+
+    def word_score(self, word: str) -> float | None:
+        """Of the unit with the largest log-odds either way; none for a word that tells nothing."""
+        found = [s for u in units(word) if (s := self.told.get(u)) is not None]
+        return max(found, key=abs) - DRIFT if found else None
+
+
 @dataclass
 class Model:
     told: dict[str, float]
@@ -101,24 +123,20 @@ class Model:
     weights: tuple[float, float, float]
 
     def __post_init__(self) -> None:
-        self._seen: dict[str, float | None] = {}
-
-    def word_score(self, word: str) -> float | None:
-        """Of the unit with the largest log-odds either way; none for a word that tells nothing."""
-        found = [s for u in units(word) if (s := self.told.get(u)) is not None]
-        return max(found, key=abs) - DRIFT if found else None
+        self._seen = Pieces(self.told)
 
     def passages(self, text: str | None) -> tuple[int, list[tuple[int, int, float, float]]]:
         """How many words the text has; its segments with the logarithm of how often each is expected."""
-        words = tokens(text)
         seen = self._seen
         if len(seen) > REMEMBERED:
             seen.clear()
-        for word in set(words) - seen.keys():
-            seen[word] = self.word_score(word)
-        hits = [(k, s) for k, w in enumerate(words) if (s := seen[w]) is not None]
-        base = math.log(max(self.size, 1e-300)) + math.log(max(len(words), 1))
-        return len(words), [(a, b, s, base - self.scale * s) for a, b, s in segments(hits, DRIFT)]
+        n, hits = 0, []
+        for words, told in [seen[piece] for piece in (text or "").lower().split()]:
+            for at, score in told:
+                hits.append((n + at, score))
+            n += words
+        base = math.log(max(self.size, 1e-300)) + math.log(max(n, 1))
+        return n, [(a, b, s, base - self.scale * s) for a, b, s in segments(hits, DRIFT)]
 
     def evidence(self, found: list[tuple[int, int, float, float]]) -> tuple[float, float]:
         """Of the best segment, and of all significant ones together; both zero or more, and bounded."""
