@@ -18,7 +18,9 @@ NUMERIC_NAME = (
     r"^(\p{Nd}{4}|[+-]?\p{Nd}+([.,]\p{Nd}+)?%|[+-]?\p{Nd}{1,3}(\.\p{Nd}{3})*"
     r"|[+-]?\p{Nd}+([.,]\p{Nd}+)?)$"
 )
-BAD_CHAR = r"(?U)[^\w\s]"
+# A letter, a number of any kind or the low line belong to a word; marks such as combining accents do not.
+WORD_CHAR = r"\p{L}\p{N}_"
+BAD_CHAR = rf"(?U)[^{WORD_CHAR}\s]"
 
 
 def _text_array(values: Iterable[str]) -> Column:
@@ -127,4 +129,4 @@ def has_bad_char(name: Column) -> Column:
 
 def has_bad_token(name: Column, tokens: Iterable[str] = BAD_TOKENS) -> Column:
     words = "|".join(re.escape(t) for t in tokens)
-    return name.rlike(rf"(?iU)\b({words})\b")
+    return name.rlike(rf"(?iU)(?<![{WORD_CHAR}])({words})(?![{WORD_CHAR}])")

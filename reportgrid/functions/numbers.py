@@ -44,10 +44,20 @@ def parse_eu_number(text: Column) -> Column:
     return strict_double(plain)
 
 
-def utc_naive(text: Column) -> Column:
-    """Instant read as UTC unless it names a zone, kept as UTC wall time without zone."""
-    zoned = text.rlike(r"([zZ]|[+-]\d{2}:?\d{2}|UTC)\s*$")
-    at_utc = F.when(zoned, text).otherwise(F.concat(text, F.lit("Z")))
-    return F.to_utc_timestamp(
-        at_utc.try_cast("timestamp"), F.current_timezone()
-    ).cast("timestamp_ntz")
+# Endings that name a zone: an offset, Z, UTC or a region.
+ZONED = r"([zZ]|[+-]\d{2}:?\d{2}|UTC|GMT|[A-Za-z]+/[A-Za-z_/+-]+)\s*$"
+
+
+def utc_naive(time: Column, kind: str = "string") -> Column:
+    """An instant as UTC wall time without zone; ``kind`` is the type of the column.
+
+    Text is read as UTC unless it names a zone, whatever the session's zone; text that cannot be read is null. A
+    timestamp is an instant already, one without zone is kept.
+    """
+    if kind == "timestamp_ntz":
+        return time
+    if kind == "timestamp":
+        instant = time
+    else:
+        instant = F.when(time.rlike(ZONED), time).otherwise(F.concat(time, F.lit("Z"))).try_cast("timestamp")
+    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")

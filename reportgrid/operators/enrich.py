@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reportgrid.functions.months import month_start
 from reportgrid.operators.scans import BUCKET_ROWS, running
+from reportgrid.sources.grid import MAX_BROADCAST_PAGES
 
 # First appearances are far apart, so their buckets are wide.
 LABEL_BUCKET = 1 << 20
@@ -42,27 +43,22 @@ def period_starts(
     ).drop(first)
 
 
-# Copies of each dated label, so that rows sharing one label spread over many tasks.
-LABEL_SALTS = 16
-
-
 def join_periods(
-    rows: DataFrame, dated: DataFrame, keys: Sequence[str], label: str, spread_by: Sequence[str]
+    rows: DataFrame, dated: DataFrame, keys: Sequence[str], label: str
 ) -> DataFrame:
-    """Adds ``period_start`` by group and label, null labels included."""
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(LABEL_SALTS - 1).cast("long"))
+    """Adds ``period_start`` by group and label, null labels included.
+
+    A label that very many rows share makes a skewed partition, which is split at run time by its measured size.
+    """
     dated = dated.select(
         *[F.col(k).alias(f"__{k}") for k in keys],
         F.col(label).alias("__label"),
         "period_start",
-        F.explode(salts).alias("__salt"),
-    )
-    same = F.col(label).eqNullSafe(F.col("__label")) & (
-        F.pmod(F.xxhash64(*spread_by), F.lit(LABEL_SALTS)) == F.col("__salt")
     )
+    same = F.col(label).eqNullSafe(F.col("__label"))
     for k in keys:
         same = same & (F.col(k) == F.col(f"__{k}"))
-    return rows.join(dated, same, "left").drop("__label", "__salt", *[f"__{k}" for k in keys])
+    return rows.join(dated, same, "left").drop("__label", *[f"__{k}" for k in keys])
 
 
 def map_period_start(
@@ -76,11 +72,14 @@ def map_period_start(
     """Adds ``period_start`` to the rows; ``order`` is the row number inside the group."""
     labels = rows.groupBy(*keys, label).agg(F.min(order).alias("__first"))
     dated = period_starts(labels, keys, label, "__first", year, as_of)
-    return join_periods(rows, dated, keys, label, [order])
+    return join_periods(rows, dated, keys, label)
 
 
 def page_map(spark: SparkSession, chapters: Mapping[str, Mapping[str, Sequence[int]]]) -> DataFrame:
-    """``page_num, capitolo, sottocapitolo`` with inclusive ranges spread out; later ones win."""
+    """``page_num, capitolo, sottocapitolo`` with inclusive ranges spread out; later ones win.
+
+    Broadcast as long as the ranges hold no more pages than a literal page list may.
+    """
     ranges = [
         (order, chapter, sub, int(lo), int(hi))
         for order, (chapter, sub, (lo, hi)) in enumerate(
@@ -90,13 +89,15 @@ def page_map(spark: SparkSession, chapters: Mapping[str, Mapping[str, Sequence[i
     frame = spark.createDataFrame(
         ranges, "ord int, capitolo string, sottocapitolo string, lo int, hi int"
     )
-    return (
+    pages = (
         frame.filter("lo <= hi")
         .withColumn("page_num", F.explode(F.sequence("lo", "hi")))
         .groupBy("page_num")
         .agg(F.max(F.struct("ord", "capitolo", "sottocapitolo")).alias("c"))
         .select("page_num", "c.capitolo", "c.sottocapitolo")
     )
+    small = sum(hi - lo + 1 for *_, lo, hi in ranges if lo <= hi) <= MAX_BROADCAST_PAGES
+    return F.broadcast(pages) if small else pages
 
 
 def overlapping_pages(chapters: Mapping[str, Mapping[str, Sequence[int]]]) -> list[int]:

@@ -12,8 +12,9 @@ from reportgrid.functions.headers import infer_header
 from reportgrid.operators.scans import BUCKET_ROWS, bucket_of, running
 from reportgrid.operators.titles import head_entry, title_at
 
-NO_HEADER, HEADER_WIDTH, NO_ITEM, NARROW, MISSING = (
-    "NO_HEADER", "HEADER_WIDTH", "NO_ITEM_AGG", "NARROW_GRID", "MISSING_PAGE",
+NO_HEADER, HEADER_WIDTH, NO_ITEM, NARROW, MISSING, GAPS, REPEATED, BAD_TIME = (
+    "NO_HEADER", "HEADER_WIDTH", "NO_ITEM_AGG", "NARROW_GRID", "MISSING_PAGE", "MISSING_ROWS", "REPEATED_CELLS",
+    "BAD_TIMESTAMP",
 )
 
 
@@ -34,9 +35,14 @@ def table_heads(
     offset = F.col("row_idx") - F.col("table_start")
     entry = F.struct(offset.alias("pos"), F.col("cells").alias("cells"))
     tables = rows.groupBy(*keys, "table_id", "table_start", *keep).agg(
-        F.count(F.lit(1)).alias("table_rows"),
-        F.sort_array(F.collect_list(F.when(offset < size, entry))).alias("__head"),
+        (F.max("row_idx") + 1).alias("table_end")
     )
+    first = (
+        rows.filter(offset < size)
+        .groupBy(*keys, "table_id")
+        .agg(F.sort_array(F.collect_list(entry)).alias("__head"))
+    )
+    tables = tables.join(first, [*keys, "table_id"])
     heads = F.transform("__head", lambda h: head_entry(h["pos"], h["cells"], threshold))
     titled = tables.withColumn(
         "__t", let(heads, lambda h: title_at(F.slice(h, 1, max_title_rows), F.lit(0), max_title_rows))
@@ -48,7 +54,7 @@ def table_heads(
         *keep,
         F.col("__t.title").alias("page_subtitle_1"),
         (F.col("table_start") + skip).cast("int").alias("body_start"),
-        (F.col("table_start") + F.col("table_rows")).cast("int").alias("table_end"),
+        F.col("table_end").cast("int").alias("table_end"),
         F.transform(
             F.slice(F.col("__head"), skip + 1, F.lit(header_rows)), lambda h: h["cells"]
         ).alias("head"),
@@ -103,30 +109,19 @@ def split_parts(
     )
 
 
-# Copies of each distinct header, so that parts sharing one header spread over many tasks.
-HEADER_SALTS = 16
-
-
 def infer_headers(
     df: DataFrame,
     row1: Column,
     row2: Column,
-    spread_by: Sequence[str],
     tokens: Iterable[str],
     rules: Sequence[dict],
 ) -> DataFrame:
     """Adds ``header`` for two header rows, null when they are none.
 
-    Reports repeat their headers, so each distinct pair of rows is read once and joined back;
-    ``spread_by`` spreads the records that share one pair.
+    Reports repeat their headers, so each distinct pair of rows is read once and joined back. Where
+    very many records share a pair, the join's skewed partition is split at run time, by its measured size.
     """
-    keyed = df.withColumns(
-        {
-            "__r1": norm_row(row1),
-            "__r2": norm_row(row2),
-            "__salt": F.pmod(F.xxhash64(*spread_by), F.lit(HEADER_SALTS)),
-        }
-    )
+    keyed = df.withColumns({"__r1": norm_row(row1), "__r2": norm_row(row2)})
     pairs = (
         keyed.select("__r1", "__r2")
         .filter(F.col("__r1").isNotNull() & F.col("__r2").isNotNull())
@@ -134,9 +129,7 @@ def infer_headers(
     )
     known = pairs.withColumn("header", infer_header(F.col("__r1"), F.col("__r2"), tokens, rules))
     # no filter on the header here: it would move below the distinct and read every record
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(HEADER_SALTS - 1).cast("long"))
-    spread = known.withColumn("__salt", F.explode(salts))
-    return keyed.join(spread, ["__r1", "__r2", "__salt"], "left").drop("__r1", "__r2", "__salt")
+    return keyed.join(known, ["__r1", "__r2"], "left").drop("__r1", "__r2")
 
 
 def with_headers(parts: DataFrame, tokens: Iterable[str], rules: Sequence[dict]) -> DataFrame:
@@ -144,7 +137,7 @@ def with_headers(parts: DataFrame, tokens: Iterable[str], rules: Sequence[dict])
     row1, row2 = (
         F.slice(F.get("head", F.lit(i)), F.col("lo") + 1, F.col("width")) for i in (0, 1)
     )
-    headed = infer_headers(parts, row1, row2, ["doc_id", "page_num", "seq"], tokens, rules)
+    headed = infer_headers(parts, row1, row2, tokens, rules)
     below = F.when(F.col("header").isNotNull(), 2).otherwise(0)
     return headed.withColumn("first_data", (F.col("body_start") + below).cast("int"))
 
@@ -214,6 +207,9 @@ ERROR_TEXT = {
     NO_ITEM: "the names do not hold the item column exactly once",
     NARROW: "the grid has fewer columns than configured",
     MISSING: "the page has no rows",
+    GAPS: "row positions of the page are missing; its rows are kept where they stand",
+    REPEATED: "the page has two cells in one place; the page is left out",
+    BAD_TIME: "a time of the page cannot be read and is null",
 }
 
 

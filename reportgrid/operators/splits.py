@@ -21,6 +21,7 @@ from reportgrid.operators.scans import (
     with_neighbours,
 )
 from reportgrid.operators.titles import drop_leading_rows
+from reportgrid.sources.staging import staged
 
 # Kinds of split points: 0 for sparse runs, 1 and up for the keyword lists in turn.
 SPARSE = 0
@@ -103,7 +104,8 @@ def split_candidates(
     ``leading_title_rows`` leaves out that many leading sparse rows, as taken by the titles.
     ``hits`` counts how often a point was found.
     """
-    flags = row_flags(rows, keys, tokens, keywords)
+    # the flags are few bytes a row: written once, for several passes read them
+    flags = staged(row_flags(rows, keys, tokens, keywords))
     flags = with_neighbours(flags, "row_idx", max_lookahead, 1, bucket_rows)
     if leading_title_rows:
         flags = drop_leading_rows(

@@ -38,9 +38,23 @@ def title_at(head: Column, skip: Column, max_rows: int) -> Column:
     return let(F.least(left, F.lit(max_rows)), read)
 
 
-def collect_head(pos: Column, size: int, entry: Column) -> Column:
-    """The first ``size`` rows of a group, sorted; the aggregate never holds more than these."""
-    return F.sort_array(F.collect_list(F.when(pos < size, entry)))
+def first_rows(
+    rows: DataFrame, keys: Sequence[str], size: int, threshold: float, extent: DataFrame | None = None
+) -> DataFrame:
+    """One record per group with its sorted first rows ``__head``.
+
+    The filter reaches the scan, so only these rows are gathered; ``extent`` (all groups, by default found by
+    a plain aggregate) keeps the groups without any.
+    """
+    pos = F.col("row_idx")
+    heads = (
+        rows.filter(pos < size)
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list(head_entry(pos, F.col("cells"), threshold))).alias("__head"))
+    )
+    groups = rows.select(*keys).distinct() if extent is None else extent
+    none = F.array().cast(heads.schema["__head"].dataType)
+    return groups.join(heads, list(keys), "left").withColumn("__head", F.coalesce("__head", none))
 
 
 def extract_titles(
@@ -50,10 +64,7 @@ def extract_titles(
     threshold: float = 0.5,
 ) -> DataFrame:
     """One record per group: ``title`` and ``taken``, the number of rows the title uses."""
-    pos = F.col("row_idx")
-    heads = rows.groupBy(*keys).agg(
-        collect_head(pos, max_title_rows, head_entry(pos, F.col("cells"), threshold)).alias("__head")
-    )
+    heads = first_rows(rows, keys, max_title_rows, threshold)
     return heads.select(
         *keys, title_at(F.col("__head"), F.lit(0), max_title_rows).alias("__t")
     ).select(*keys, "__t.*")
@@ -87,19 +98,24 @@ def page_heads(
     threshold: float,
     drop_rows: bool,
 ) -> DataFrame:
-    """Per page: title, subtitle, number of rows and the first row after the titles.
+    """Per page: title, subtitle, extent (``n_rows``: last row plus one) and the first row after the titles.
+
+    ``narrow``, ``repeated`` and ``bad_time`` say that some row of the page is flagged so, ``gaps`` that rows are missing.
 
     With ``drop_rows`` the subtitle is read after the title's rows are gone, else both are
     read from the same rows.
     """
-    pos = F.col("row_idx")
     size = 2 * max_title_rows
-    narrow = [F.max(F.when(~F.col("narrow"), 1)).isNull().alias("narrow")] if "narrow" in rows.columns else [F.lit(False).alias("narrow")]
-    heads = rows.groupBy(*keys, *keep).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *narrow,
-        collect_head(pos, size, head_entry(pos, F.col("cells"), threshold)).alias("__head"),
+    narrow = F.max(F.when(~F.col("narrow"), 1)).isNull() if "narrow" in rows.columns else F.lit(False)
+    some = [c for c in ("repeated", "bad_time") if c in rows.columns]
+    extent = rows.groupBy(*keys, *keep).agg(
+        (F.max("row_idx") + 1).cast("long").alias("n_rows"),
+        narrow.alias("narrow"),
+        (F.count(F.lit(1)) < F.max("row_idx") + 1).alias("gaps"),
+        *[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in some],
     )
+    extent = extent.withColumns({c: F.lit(False) for c in ("repeated", "bad_time") if c not in some})
+    heads = first_rows(rows, keys, size, threshold, extent)
     first = heads.withColumn("__t1", title_at(F.col("__head"), F.lit(0), max_title_rows))
     skip = F.col("__t1.taken") if drop_rows else F.lit(0)
     both = first.withColumn("__t2", title_at(F.col("__head"), skip, max_title_rows))
@@ -109,6 +125,9 @@ def page_heads(
         *keep,
         "n_rows",
         "narrow",
+        "gaps",
+        "repeated",
+        "bad_time",
         F.col("__t1.title").alias("page_title"),
         F.col("__t2.title").alias("page_subtitle"),
         first_row.cast("int").alias("first_row"),

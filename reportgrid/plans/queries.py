@@ -182,7 +182,7 @@ def eu_number_parse(spark, sf_dir):
 
 @query
 def ts_utc_naive(spark, sf_dir):
-    ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     text = (
         F.when(F.col("event_id") % 3 == 0, F.concat(ts, F.lit("Z")))
         .when(F.col("event_id") % 3 == 1, F.concat(ts, F.lit("+02:00")))
@@ -301,7 +301,7 @@ def split_points_keyword(spark, sf_dir):
 
 
 def _doc_points(rows: DataFrame) -> DataFrame:
-    heads = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("first_row", F.lit(0))
+    heads = rows.groupBy("doc_id").agg((F.max("row_idx") + 1).cast("long").alias("n_rows")).withColumn("first_row", F.lit(0))
     return splits.choose_points(cut(_doc_candidates(rows)), heads, ["doc_id"])
 
 
@@ -464,7 +464,7 @@ def naming_rules(spark, sf_dir):
 def _inferred(spark, sf_dir) -> DataFrame:
     pairs = V.header_pairs(spark, sf_dir)
     headed = P.infer_headers(
-        pairs, F.col("row1"), F.col("row2"), ["id"], CFG.header_tokens, CFG.rules()
+        pairs, F.col("row1"), F.col("row2"), CFG.header_tokens, CFG.rules()
     )
     return headed.select("id", "header")
 
@@ -511,8 +511,11 @@ def numeric_names(spark, sf_dir):
 
 @query
 def bad_names(spark, sf_dir):
-    """Lines of the documents checked as if they were names."""
+    """Words of the documents checked as if they were names, with marks, other numbers and joiners among them."""
+    ends = F.array(*[F.lit(x) for x in ("", "e\u0301", "m\u00b2", "\u00bd", "a\u203fb", "\u00e9")])
+    end = F.element_at(ends, (F.col("row_idx") % 6 + 1).cast("int"))
     rows = V.doc_rows(spark, sf_dir).select("doc_id", "row_idx", F.explode("cells").alias("name"))
+    rows = rows.withColumn("name", F.concat("name", end))
     per_row = rows.groupBy("doc_id", "row_idx").agg(
         F.count_if(N.has_bad_char(F.col("name"))).alias("bad_chars"),
         F.count_if(N.has_bad_token(F.col("name"), ["the", "de", "of", "un"])).alias("bad_tokens"),

@@ -40,6 +40,7 @@ class ReportResult:
     decided: DataFrame | None
     long_pages: bool
     keys: tuple[str, ...]
+    documents: DataFrame
 
     @cached_property
     def facts(self) -> DataFrame:
@@ -74,13 +75,26 @@ class ReportResult:
             return frame.select("doc_id", F.col("page_num").alias("page"), "n_col", text)
 
         failed = self.parts.filter(F.col("reached") & F.col("error").isNotNull())
+        flagged = F.array_compact(
+            F.array(
+                *[
+                    F.when(F.col(flag), F.lit(code))
+                    for flag, code in (
+                        ("narrow", part_ops.NARROW),
+                        ("gaps", part_ops.GAPS),
+                        ("repeated", part_ops.REPEATED),
+                        ("bad_time", part_ops.BAD_TIME),
+                    )
+                ]
+            )
+        )
+        pages = self.heads.select("doc_id", "page_num", "n_col", F.explode(flagged).alias("code"))
+        missing = grid.missing_pages(self.heads, self.pages, self.documents)
         frames = [
             records(failed, F.col("error")),
-            records(self.heads.filter("narrow"), F.lit(part_ops.NARROW)),
+            records(pages, F.col("code")),
+            records(missing, F.lit(part_ops.MISSING)),
         ]
-        if not isinstance(self.pages, DataFrame) or "doc_id" in self.pages.columns:
-            missing = grid.missing_pages(self.rows, self.pages)
-            frames.append(records(missing, F.lit(part_ops.MISSING)))
         return quality.flatten_errors([*frames, quality.qc_events(self.emitted, ["doc_id"])])
 
     def report(self) -> DataFrame:
@@ -135,7 +149,7 @@ def find_tables(
 
 def find_parts(rows: DataFrame, starts: DataFrame, cfg: ReportConfig) -> DataFrame:
     """One record per part of every table, with names, errors and its range of data rows."""
-    in_tables = splits.assign_tables(rows, starts.filter("not narrow"), PAGE, cfg.bucket_rows)
+    in_tables = splits.assign_tables(rows, starts.filter("not narrow and not repeated"), PAGE, cfg.bucket_rows)
     tables = part_ops.table_heads(
         in_tables,
         PAGE,
@@ -211,7 +225,7 @@ def add_periods(parts: DataFrame, cfg: ReportConfig, as_of: Column) -> DataFrame
     dated = enrich.period_starts(
         labels, ["doc_id"], "period_agg", "first", cfg.year_ref, as_of, carry=far
     )
-    return enrich.join_periods(parts, dated, ["doc_id"], "period_agg", ["page_num", "seq"])
+    return enrich.join_periods(parts, dated, ["doc_id"], "period_agg")
 
 
 def part_rows(
@@ -277,6 +291,12 @@ def text_entries(cfg: ReportConfig) -> Column:
     return entries
 
 
+def static_columns(cfg: ReportConfig) -> set[str]:
+    """The report's own columns; every other name is one that a header gives, also if a helper is called so."""
+    made = {"page_num", "table_id", "capitolo", "sottocapitolo", "period_start", "period_desc", "timestamp_utc", "run_id"}
+    return made | set(TEXT_STATICS) | set(cfg.audit_columns)
+
+
 def final_projection(
     rows: DataFrame, cfg: ReportConfig, decisions: dict[str, str], keys: tuple[str, ...]
 ) -> DataFrame:
@@ -286,22 +306,21 @@ def final_projection(
         if c in ("page_num", "table_id", "capitolo", "sottocapitolo", "period_start"):
             value = F.col(c)
         elif c == "timestamp_utc":
-            value = utc_naive(F.col(c))
+            value = utc_naive(F.col(c), rows.schema[c].dataType.simpleString())
         elif c == "period_desc":
             label = null_sentinels(F.col("period_agg"))
             kind = decisions.get("period_agg", typing.TEXT)
             value = period_desc(label) if kind == typing.TEXT else typing.convert(label, kind)
         else:
-            raw = F.col(c) if c in rows.columns else F.try_element_at("values", F.lit(c))
+            raw = F.col(c) if c in static_columns(cfg) else F.try_element_at("values", F.lit(c))
             value = typing.convert(null_sentinels(raw), decisions.get(c, typing.TEXT))
         columns.append(value.alias(c))
     return rows.select(*keys, *columns)
 
 
-def check_final_columns(parts: DataFrame, rows_columns: list[str], cfg: ReportConfig) -> None:
+def check_final_columns(parts: DataFrame, cfg: ReportConfig) -> None:
     """Every configured column must be known or occur as a name in some clean part."""
-    made = {"period_desc", "capitolo", "sottocapitolo"}
-    wanted = [c for c in cfg.final_columns if c not in rows_columns and c not in made]
+    wanted = [c for c in cfg.final_columns if c not in static_columns(cfg)]
     seen = parts.filter(F.col("emitted") & ~F.col("is_problem")).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.coalesce(F.bool_or(F.array_contains("data_names", c)), F.lit(False)).alias(c) for c in wanted],
@@ -332,7 +351,13 @@ def run_report(
     cfg = cfg or ReportConfig()
     as_of = F.current_date() if as_of is None else as_of
     config = pages if isinstance(pages, DataFrame) else grid.page_config(spark, pages)
+    documents = rows.select("doc_id").distinct()
     rows = grid.configured_rows(rows, config, cfg.bucket_rows)
+    if "timestamp_utc" in rows.columns:
+        kind = rows.schema["timestamp_utc"].dataType.simpleString()
+        read = utc_naive(F.col("timestamp_utc"), kind)
+        rows = rows.withColumn("bad_time", F.col("timestamp_utc").isNotNull() & read.isNull())
+    rows = cut(rows)  # the raw rows are read and shuffled once; every pass reads its columns of these
 
     heads = cut(find_pages(rows, cfg))
     long_pages = reaches(heads, "n_rows", cfg.bucket_rows + 1)
@@ -342,9 +367,9 @@ def run_report(
 
     clean = parts.filter(F.col("emitted") & ~F.col("is_problem"))
     shaped = part_rows(rows, clean, cfg, long_pages)
-    shaped = enrich.with_chapters(shaped, F.broadcast(enrich.page_map(spark, cfg.chapters)))
+    shaped = enrich.with_chapters(shaped, enrich.page_map(spark, cfg.chapters))
     if strict_columns:
-        check_final_columns(parts, shaped.columns, cfg)
+        check_final_columns(parts, cfg)
 
     decided = None
     if decisions is None:
@@ -360,5 +385,5 @@ def run_report(
         )
         decisions = typing.collect_decisions(decided, [*cfg.final_columns, "period_agg"])
     return ReportResult(
-        cfg, rows, pages, heads, parts, shaped, decisions, decided, long_pages, keys
+        cfg, rows, pages, heads, parts, shaped, decisions, decided, long_pages, keys, documents
     )

@@ -42,7 +42,7 @@ def write_file(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_quarantine(rows: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """One folder per page and part, the named cells in long form."""
+    """One folder per document, page and part, the named cells in long form; each part is one task's file."""
     suffix = PurePosixPath(path).suffix
     folder = path[: -len(suffix)] if suffix else path
     cells = rows.select(
@@ -57,7 +57,8 @@ def write_quarantine(rows: DataFrame, path: str, mode: str = "overwrite") -> str
             )
         ).alias("col_idx", "cell"),
     ).select("page_num", "part_idx", "doc_id", "row_idx", "col_idx", "cell.name", "cell.value")
-    cells.write.mode(mode).partitionBy("page_num", "part_idx").option("header", True).csv(folder)
+    keys = ["doc_id", "page_num", "part_idx"]
+    cells.repartition(*keys).write.mode(mode).partitionBy(*keys).option("header", True).csv(folder)
     return folder
 
 

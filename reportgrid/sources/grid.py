@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportgrid.functions.cells import let
 from reportgrid.operators.scans import BUCKET_ROWS, bucket_of, page_buckets
 
 # A literal page list up to this size is broadcast; a longer one is joined as Spark sees fit.
@@ -66,10 +67,18 @@ def configured_rows(
     )
 
 
-def missing_pages(rows: DataFrame, pages: Mapping[int | str, int] | DataFrame) -> DataFrame:
-    """Configured pages without any row, per document."""
-    if isinstance(pages, DataFrame):
+def missing_pages(
+    rows: DataFrame, pages: Mapping[int | str, int] | DataFrame, documents: DataFrame
+) -> DataFrame:
+    """Configured pages without any row, per document.
+
+    ``documents`` lists all documents of the input (``doc_id``), also those without a configured page. A page
+    list that names documents asks for their pages alone, any other for its pages in every document.
+    """
+    if isinstance(pages, DataFrame) and "doc_id" in pages.columns:
         wanted = pages.select("doc_id", "page_num", "n_col")
+    elif isinstance(pages, DataFrame):
+        wanted = _per_document(documents, pages)
     else:
         listed = F.array(
             *[
@@ -77,27 +86,64 @@ def missing_pages(rows: DataFrame, pages: Mapping[int | str, int] | DataFrame) -
                 for p, n in pages.items()
             ]
         )
-        wanted = rows.select("doc_id").distinct().select("doc_id", F.inline(listed))
+        wanted = documents.select("doc_id", F.inline(listed))
     present = rows.select("doc_id", "page_num").distinct()
     return wanted.join(present, ["doc_id", "page_num"], "left_anti")
 
 
+def _per_document(documents: DataFrame, pages: DataFrame) -> DataFrame:
+    """Every page of the list in every document; the list becomes one record."""
+    listed = pages.agg(F.collect_list(F.struct("page_num", "n_col")).alias("__list")).withColumn("__one", F.lit(1))
+    return documents.withColumn("__one", F.lit(1)).join(listed, "__one").select("doc_id", F.inline("__list"))
+
+
 def rows_from_cells(cells: DataFrame, config: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Grid rows from one record per cell; only cells inside the configured width count.
 
-    A row gathers at most ``n_col`` cells.
+    A row without a cell stands between those that have some: up to a page's last row none is missing. ``repeated`` marks
+    rows with two cells in one place, of which the smaller value is kept. A row gathers at most its cells.
     """
-    groups = ["doc_id", "page_pos", "page_num", "n_col", "row_idx", *keep]
+    page = ["doc_id", "page_pos", "page_num", "n_col"]
+    placed = cells.join(config, _page_keys(config))
+    inside = (F.col("col_idx") >= 0) & (F.col("col_idx") < F.col("n_col"))
+    entry = F.struct("col_idx", "value")
     gathered = (
-        cells.join(config, _page_keys(config))
-        .filter((F.col("col_idx") >= 0) & (F.col("col_idx") < F.col("n_col")))
-        .groupBy(*groups)
-        .agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("__at"))
+        placed.groupBy(*page, "row_idx", *keep)
+        .agg(F.sort_array(F.collect_list(F.when(inside, entry))).alias("__list"))
+        .withColumn("repeated", F.size("__list") > F.size(F.array_distinct(F.transform("__list", lambda x: x["col_idx"]))))
+    )
+    # as a rule a row is complete and its cells are the list; else each is looked up once
+    first = F.filter(
+        "__list", lambda x, i: (i == 0) | (F.get("__list", i - 1)["col_idx"] < x["col_idx"])
+    )
+    at = F.map_from_entries(first)
+    looked_up = let(
+        at,
+        lambda m: F.transform(F.sequence(F.lit(0), F.col("n_col") - 1), lambda i: F.try_element_at(m, i)),
+    )
+    complete = (F.size("__list") == F.col("n_col")) & ~F.col("repeated")
+    rows = gathered.withColumn(
+        "cells", F.when(complete, F.transform("__list", lambda x: x["value"])).otherwise(looked_up)
+    ).drop("__list")
+    extent = placed.groupBy(*page).agg(
+        F.max("row_idx").alias("__last"),
+        F.count_distinct("row_idx").alias("__n"),
+        *[F.min(c).alias(c) for c in keep],
+    )
+    # only pages with a gap are filled
+    blank = (
+        extent.filter(F.col("__n") <= F.col("__last"))
+        .withColumn("row_idx", F.explode(F.sequence(F.lit(0).cast("int"), F.col("__last").cast("int"))))
+        .join(rows.select("doc_id", "page_num", "row_idx"), ["doc_id", "page_num", "row_idx"], "left_anti")
     )
-    cell = F.transform(
-        F.sequence(F.lit(0), F.col("n_col") - 1), lambda i: F.try_element_at(F.col("__at"), i)
+    blank = blank.select(
+        *page,
+        "row_idx",
+        *keep,
+        F.lit(False).alias("repeated"),
+        F.array_repeat(F.lit(None).cast("string"), F.col("n_col")).alias("cells"),
     )
-    return gathered.withColumn("cells", cell).drop("__at")
+    return rows.unionByName(blank)
 
 
 def read_rows(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:

@@ -28,8 +28,13 @@ def main() -> None:
     given = args.parse_args()
     if bool(given.rows) == bool(given.cells):
         args.error("give either --rows or --cells")
+    if given.rows and given.format == "csv":
+        args.error("CSV holds no lists: give the rows as parquet, json or orc, or give --cells")
+    if not (given.no_write or given.output_dir or given.table):
+        args.error("give --output-dir or --table, or --no-write to see the run report alone")
 
-    spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = SparkSession.builder.getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     raw_pages = json.loads(Path(given.pages).read_text(encoding="utf-8"))
     pages = {int(p): int(n) for p, n in raw_pages.get("page_config", raw_pages).items()}
     if given.rows:
