@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reportgrid.sources.staging import staged
+
 BUCKET_ROWS = 1024
 
 
@@ -146,10 +148,29 @@ def running(
 def number_rows(
     df: DataFrame, keys: Sequence[str], pos: str, name: str = "ordinal", bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """0-based row number along ``pos`` inside each group."""
+    """0-based row number along ``pos`` inside each group; for positions as dense as rows of a page (see :func:`sparse_ordinals`)."""
     return running(df, keys, pos, total={name: F.lit(1)}, bucket_rows=bucket_rows)
 
 
+def sparse_ordinals(df: DataFrame, keys: Sequence[str], pos: str, name: str = "ordinal") -> DataFrame:
+    """0-based row number along ``pos`` inside each group, whatever the gaps between the positions.
+
+    Rows are range-partitioned by group and position, so a group of any size is spread; each partition numbers its
+    own, and the counts of the partitions before it (one record per group and partition) are added.
+    """
+    parts = staged(df.repartitionByRange(*keys, pos).withColumn("__part", F.spark_partition_id()))
+    inside = Window.partitionBy(*keys, "__part").orderBy(pos)
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parts.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    base = sizes.withColumn("__base", F.sum("__n").over(before)).filter("__base > 0").drop("__n")
+    numbered = parts.withColumn(name, F.row_number().over(inside).cast("long") - 1)
+    return (
+        numbered.join(base, [*keys, "__part"], "left")
+        .withColumn(name, F.col(name) + F.coalesce("__base", F.lit(0)))
+        .drop("__part", "__base")
+    )
+
+
 def group_runs(
     df: DataFrame, keys: Sequence[str], pos: str, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:

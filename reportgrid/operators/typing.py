@@ -43,21 +43,25 @@ def column_profile(rows: DataFrame, entries: Column, keys: Sequence[str] = ()) -
     )
 
 
-def wide_profile(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+def wide_profile(rows: DataFrame, columns: Sequence[str], kinds: Sequence[str] = (PERCENT, NUMBER)) -> DataFrame:
     """The same profile for named wide columns, from one aggregation without a shuffle of rows.
 
-    One record per column; ``n_rows`` counts all rows.
+    One record per column; ``n_rows`` counts all rows. Only what the ``kinds`` need is measured, the rest is 0.
     """
     measures = []
     for i, c in enumerate(columns):
         text = F.col(f"`{c}`")
-        measures += [
-            F.count(text).alias(f"v{i}"),
-            F.count_if(F.contains(text, F.lit("%"))).alias(f"p{i}"),
-            F.count_if(text.rlike(r"\p{Nd}")).alias(f"d{i}"),
-            F.count_if(text.isNotNull() & parse_percent(text).isNull()).alias(f"lp{i}"),
-            F.count_if(text.isNotNull() & parse_eu_number(text).isNull()).alias(f"ln{i}"),
+        percent = [
+            F.count_if(F.contains(text, F.lit("%"))),
+            F.count_if(text.isNotNull() & parse_percent(text).isNull()),
         ]
+        number = [
+            F.count_if(text.rlike(r"\p{Nd}")),
+            F.count_if(text.isNotNull() & parse_eu_number(text).isNull()),
+        ]
+        none = [F.lit(0).cast("long")] * 2
+        (p, lp), (d, ln) = (m if k in kinds else none for k, m in ((PERCENT, percent), (NUMBER, number)))
+        measures += [F.count(text).alias(f"v{i}"), p.alias(f"p{i}"), d.alias(f"d{i}"), lp.alias(f"lp{i}"), ln.alias(f"ln{i}")]
     one = rows.agg(F.count(F.lit(1)).alias("n_rows"), *measures)
     records = F.array(
         *[
@@ -114,7 +118,7 @@ def typed_columns(rows: DataFrame, decisions: dict[str, str]) -> DataFrame:
 def collect_decisions(decided: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """The decisions for the given columns: one short record per column on the driver."""
     wanted = decided.filter(F.col("name").isin(list(columns))).select("name", "kind")
-    return {r["name"]: r["kind"] for r in wanted.limit(len(columns)).collect()}
+    return {r["name"]: r["kind"] for r in wanted.collect()}
 
 
 def smart_types(
@@ -128,7 +132,7 @@ def smart_types(
 ) -> tuple[DataFrame, dict[str, str]]:
     """Profiles wide text columns, decides and converts; the decisions can be used again."""
     decided = decide_types(
-        wide_profile(rows, columns),
+        wide_profile(rows, columns, kinds),
         F.col("n_rows"),
         percent_threshold if PERCENT in kinds else 2.0,
         percent_max_loss,
@@ -143,16 +147,61 @@ def lost_values(
     rows: DataFrame, entries: Column, decided: DataFrame | dict[str, str], index: Column,
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Log of the values a percent conversion turns into null: ``column, index, or_val``."""
+    """Log of the values a percent conversion turns into null: ``column, index, or_val``.
+
+    With the decisions as a dict only the cells of percent columns are unfolded and parsed.
+    """
+    if isinstance(decided, dict):
+        percent = [c for c, kind in decided.items() if kind == PERCENT]
+        entries = F.filter(entries, lambda e: e["name"].isin(percent) if percent else F.lit(False))
     cells = (
         rows.select(*keys, index.alias("index"), F.inline(entries))
         .filter(F.col("text").isNotNull() & parse_percent(F.col("text")).isNull())
     )
-    if isinstance(decided, dict):
-        percent = [c for c, kind in decided.items() if kind == PERCENT]
-        cells = cells.filter(F.col("name").isin(percent)) if percent else cells.limit(0)
-    else:
+    if not isinstance(decided, dict):
         cells = cells.join(
             decided.filter(F.col("kind") == PERCENT).select("name"), "name", "left_semi"
         )
     return cells.select(*keys, F.col("name").alias("column"), "index", F.col("text").alias("or_val"))
+
+
+def smart_types_by(
+    rows: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    percent_threshold: float = 0.5,
+    percent_max_loss: float = 0.1,
+    numeric_threshold: float = 0.5,
+    numeric_max_loss: float = 0.1,
+    kinds: Sequence[str] = (PERCENT, NUMBER),
+) -> tuple[DataFrame, DataFrame]:
+    """Decides for each group of ``keys`` (a document) alone.
+
+    The rows have each column as a number where its group decided so, and ``<column>_text`` with the text where it did not. The
+    second frame has a record per group and column: its ``kind``, and in ``lost`` how many values the conversion nulls.
+    """
+    totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    profile = column_profile(rows, column_entries(columns), keys).join(totals, list(keys))
+    decided = decide_types(
+        profile,
+        F.col("n_rows"),
+        percent_threshold if PERCENT in kinds else 2.0,
+        percent_max_loss,
+        numeric_threshold if NUMBER in kinds else 2.0,
+        numeric_max_loss,
+    )
+    lost = F.when(F.col("kind") == PERCENT, F.col("lost_percent")).when(F.col("kind") == NUMBER, F.col("lost_number"))
+    decided = decided.select(*keys, "name", "kind", F.coalesce(lost, F.lit(0)).alias("lost"))
+    # one short record per group: at most one entry for each column
+    by_group = (
+        decided.filter(F.col("kind") != TEXT)
+        .groupBy(*keys)
+        .agg(F.map_from_entries(F.collect_list(F.struct("name", "kind"))).alias("__kinds"))
+    )
+    out = rows.join(by_group, list(keys), "left")
+    values = {}
+    for c in columns:
+        text, kind = F.col(f"`{c}`"), F.try_element_at("__kinds", F.lit(c))
+        values[c] = F.when(kind == PERCENT, parse_percent(text)).when(kind == NUMBER, parse_eu_number(text))
+        values[f"{c}_text"] = F.when(kind.isNull(), text)
+    return out.withColumns(values).drop("__kinds"), decided

@@ -329,6 +329,19 @@ prof AS (SELECT name, count(text) AS n_values, count(*) FILTER (contains(text, '
 kinds AS (SELECT name, n_percent * 2 >= n_values AND lost_percent * 10 <= n_rows AS is_pct,
   n_digit * 2 >= n_values AND lost_number * 10 <= n_rows AS is_num FROM prof WHERE n_values > 0)"""
 
+SPOILED = CLEAN + f""", spoiled AS (SELECT l_orderkey, l_linenumber, l_orderkey % 40 AS doc,
+  CASE WHEN l_orderkey % 4 = 0 AND l_linenumber % 2 = 0 THEN 'none%' ELSE discount END AS discount,
+  CASE WHEN l_orderkey % 5 = 0 AND l_linenumber % 2 = 0 THEN '4 or 5' ELSE price END AS price FROM clean),
+measured AS (SELECT *, {pct('discount')} AS dp, {eu_number('discount')} AS dn, {pct('price')} AS pp, {eu_number('price')} AS pn FROM spoiled),
+counted AS (SELECT doc, count(*) AS n, count(discount) AS d_values, count(price) AS p_values,
+  count(*) FILTER (contains(discount, '%')) AS d_pct, count(*) FILTER (contains(price, '%')) AS pr_pct,
+  count(*) FILTER (regexp_matches(discount, '\\p{{Nd}}')) AS d_dig, count(*) FILTER (regexp_matches(price, '\\p{{Nd}}')) AS p_dig,
+  count(*) FILTER (discount IS NOT NULL AND dp IS NULL) AS d_lost_p, count(*) FILTER (discount IS NOT NULL AND dn IS NULL) AS d_lost_n,
+  count(*) FILTER (price IS NOT NULL AND pp IS NULL) AS p_lost_p, count(*) FILTER (price IS NOT NULL AND pn IS NULL) AS p_lost_n
+  FROM measured GROUP BY doc),
+by_doc AS (SELECT *, d_pct * 2 >= d_values AND d_lost_p * 10 <= n AS is_pct, d_dig * 2 >= d_values AND d_lost_n * 10 <= n AS d_num,
+  pr_pct * 2 >= p_values AND p_lost_p * 10 <= n AS p_pct, p_dig * 2 >= p_values AND p_lost_n * 10 <= n AS is_num FROM counted)"""
+
 MONTH_VALUES = ", ".join(f"('{k}', {v})" for k, v in MONTHS.items())
 PERIODS = f"""months(name, m) AS (VALUES {MONTH_VALUES}),
 labels AS (SELECT o_orderkey, o_custkey, CASE o_orderkey % 7 WHEN 0 THEN 'YTD'
@@ -461,8 +474,10 @@ def oracles() -> dict[str, str]:
     title = f"array_to_string({filled('cells')}, ' ')"
     run = "sum(CASE WHEN ratio < 0.5 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY row_idx)"
     out = {
-        "grid_scan": q(DOC_ROWS, f"SELECT doc_id, row_idx, CAST(doc_id % 4 + 5 AS INTEGER) AS n_col, "
-                       f"{joined('cells[1:doc_id % 4 + 5]')} AS cells FROM doc_rows"),
+        "grid_scan": q(DOC_ROWS + """, ends AS (SELECT doc_id, max(row_idx) AS m FROM doc_rows
+                         WHERE len(list_filter(cells, lambda c: c <> '')) > 0 GROUP BY doc_id)""",
+                       f"SELECT doc_id, row_idx, CAST(doc_id % 4 + 5 AS INTEGER) AS n_col, "
+                       f"{joined('cells[1:doc_id % 4 + 5]')} AS cells FROM doc_rows JOIN ends USING (doc_id) WHERE row_idx <= m"),
         "page_config_join": q(DOC_ROWS + """, cfg AS (SELECT doc_id, quality * 3 + toxic * 2 + 5 AS n_col FROM labels)""",
                               f"""SELECT doc_id, row_idx, CAST(n_col AS INTEGER) AS n_col, n_col > 8 AS narrow,
               {joined('list_resize(cells, n_col)')} AS cells FROM doc_rows JOIN cfg USING (doc_id)"""),
@@ -616,6 +631,20 @@ def oracles() -> dict[str, str]:
         "chapter_lookup": q(CHAPTER, """SELECT p_partkey, p_size + 28 AS page_num, c.capitolo, c.sottocapitolo
               FROM part LEFT JOIN chapter c ON c.page_num = p_size + 28"""),
         "report_facts": q(FACTS, FACT_SELECT),
+        "report_from_cells": q(FACTS, FACT_SELECT),
+        "smart_percent_by_doc": q(SPOILED, f"""SELECT l_orderkey, l_linenumber, s.doc, CASE WHEN is_pct THEN {pct('discount')} END AS discount,
+              CASE WHEN NOT coalesce(is_pct, false) THEN discount END AS discount_text FROM spoiled s LEFT JOIN by_doc d ON d.doc = s.doc"""),
+        "smart_numeric_by_doc": q(SPOILED, f"""SELECT l_orderkey, l_linenumber, s.doc, CASE WHEN is_num THEN {eu_number('price')} END AS price,
+              CASE WHEN NOT coalesce(is_num, false) THEN price END AS price_text FROM spoiled s LEFT JOIN by_doc d ON d.doc = s.doc"""),
+        "losses_by_doc": q(SPOILED, """SELECT doc, 'discount' AS name, CASE WHEN is_pct THEN 'percent' WHEN d_num THEN 'number' ELSE 'text' END AS kind,
+                CASE WHEN is_pct THEN d_lost_p WHEN d_num THEN d_lost_n ELSE 0 END AS lost FROM by_doc WHERE d_values > 0
+              UNION ALL SELECT doc, 'price', CASE WHEN p_pct THEN 'percent' WHEN is_num THEN 'number' ELSE 'text' END,
+                CASE WHEN p_pct THEN p_lost_p WHEN is_num THEN p_lost_n ELSE 0 END FROM by_doc WHERE p_values > 0"""),
+        "table_sink": q(SALES, "SELECT * FROM sales"),
+        "file_sink": q(SALES, """SELECT l_orderkey, l_linenumber, part, tax, CAST(k AS INTEGER) AS sink FROM sales, range(3) AS u(k)"""),
+        "quarantine_sink": q(PARTS, """SELECT doc_id, CAST(doc_id % 80 AS INTEGER) AS page_num, count(*) AS parts,
+              CAST(sum(n_data) AS BIGINT) AS n_rows, CAST(sum(n_data) * 8 AS BIGINT) AS n_cells FROM part_list
+              WHERE fault = 10 AND side = 1 AND n_data > 0 GROUP BY doc_id"""),
         "report_errors": q(ERRORS, "SELECT * FROM errs WHERE e_des IS NOT NULL"),
         "report_parts": q(PARTS, f"""SELECT doc_id, table_id, part_id, CAST(parent_id AS INTEGER) AS parent_id,
               CAST(first_data AS INTEGER) AS first_data, CAST(n_data AS INTEGER) AS n_data,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,9 @@ from reportgrid.functions import numbers as X
 from reportgrid.operators import enrich, parts as P, projection, quality, scans, splits, titles, typing
 from reportgrid.plans import report
 from reportgrid.plans import views as V
+from reportgrid.sinks import writers
 from reportgrid.sources import grid
-from reportgrid.sources.staging import cut
+from reportgrid.sources.staging import cut, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -45,14 +47,15 @@ def _numbers(values: Column) -> Column:
 
 @query
 def grid_scan(spark, sf_dir):
-    """Cells table back to rows, as wide as configured."""
+    """Cells table back to rows, as wide as configured; empty cells have no record, so blank rows have none at all."""
     rows = V.doc_rows(spark, sf_dir)
-    cells = rows.select(*PAGE, "row_idx", F.posexplode("cells").alias("col_idx", "value"))
+    cells = rows.select(*PAGE, "row_idx", F.posexplode("cells").alias("col_idx", "value")).filter("value <> ''")
     config = rows.select(*PAGE).distinct().select(
         *PAGE, F.lit(0).alias("page_pos"), (F.col("doc_id") % 4 + 5).cast("int").alias("n_col")
     )
     out = grid.rows_from_cells(cells, config)
-    return out.select("doc_id", "row_idx", "n_col", joined(F.col("cells")).alias("cells"))
+    filled = F.transform("cells", lambda c: F.coalesce(c, F.lit("")))
+    return out.select("doc_id", "row_idx", "n_col", joined(filled).alias("cells"))
 
 
 @query
@@ -567,7 +570,7 @@ def union_widen(spark, sf_dir):
 @query
 def row_ordinal(spark, sf_dir):
     rows = V.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
-    return scans.number_rows(rows, ["o_custkey"], "o_orderkey")
+    return scans.sparse_ordinals(rows, ["o_custkey"], "o_orderkey")
 
 
 # --- typing ----------------------------------------------------------------------------
@@ -599,12 +602,43 @@ def lost_values(spark, sf_dir):
     return typing.lost_values(sales, typing.column_entries(V.SALES_COLUMNS), decisions, index)
 
 
+def _spoiled(spark, sf_dir) -> DataFrame:
+    """Sales of forty documents; every fourth has words in half of its discounts, every fifth in half of its prices."""
+    sales = projection.without_sentinels(V.sales_text(spark, sf_dir)).withColumn("doc", F.col("l_orderkey") % 40)
+    odd = F.col("l_linenumber") % 2 == 0
+    return sales.select(
+        "l_orderkey",
+        "l_linenumber",
+        "doc",
+        F.when((F.col("doc") % 4 == 0) & odd, "none%").otherwise(F.col("discount")).alias("discount"),
+        F.when((F.col("doc") % 5 == 0) & odd, "4 or 5").otherwise(F.col("price")).alias("price"),
+    )
+
+
+@query
+def smart_percent_by_doc(spark, sf_dir):
+    out = typing.smart_types_by(_spoiled(spark, sf_dir), ["discount"], ["doc"], kinds=[typing.PERCENT])[0]
+    return out.drop("price")
+
+
+@query
+def smart_numeric_by_doc(spark, sf_dir):
+    out = typing.smart_types_by(_spoiled(spark, sf_dir), ["price"], ["doc"], kinds=[typing.NUMBER])[0]
+    return out.drop("discount")
+
+
+@query
+def losses_by_doc(spark, sf_dir):
+    """What each document's decisions cost, percent and number alike."""
+    return typing.smart_types_by(_spoiled(spark, sf_dir), ["discount", "price"], ["doc"])[1]
+
+
 # --- enrichment ------------------------------------------------------------------------
 
 
 @query
 def period_start(spark, sf_dir):
-    rows = scans.number_rows(V.period_rows(spark, sf_dir), ["o_custkey"], "o_orderkey")
+    rows = scans.sparse_ordinals(V.period_rows(spark, sf_dir), ["o_custkey"], "o_orderkey")
     return enrich.map_period_start(
         rows, ["o_custkey"], "period_agg", "ordinal", 2025, F.lit(AS_OF).cast("date")
     ).select("o_orderkey", "period_agg", "period_start")
@@ -639,6 +673,55 @@ def report_facts(spark, sf_dir):
     return run(spark, sf_dir).facts
 
 
+@query
+def report_from_cells(spark, sf_dir):
+    """The facts again, from one record per cell that is not empty; pages with a column too few cannot be told apart there."""
+    rows, config = V.report_grid(spark, sf_dir)
+    cells = rows.filter("doc_id % 20 <> 12").select(
+        *PAGE, "row_idx", "run_id", "timestamp_utc", F.posexplode("cells").alias("col_idx", "value")
+    )
+    rows = grid.rows_from_cells(cells.filter("value <> ''"), config, ("run_id", "timestamp_utc"))
+    return report.run_report(spark, rows, config, CFG, as_of=F.lit(AS_OF).cast("date")).facts
+
+
+@query
+def table_sink(spark, sf_dir):
+    """Written as a managed table and read again."""
+    name = f"sink_{uuid.uuid4().hex}"
+    writers.write_table(V.sales_text(spark, sf_dir), name)
+    return spark.table(name)
+
+
+@query
+def file_sink(spark, sf_dir):
+    """The same rows as parquet, JSON lines and CSV, read again."""
+    sales = V.sales_text(spark, sf_dir).select("l_orderkey", "l_linenumber", "part", "tax")
+    folder, shape = new_folder(spark, "files"), "l_orderkey bigint, l_linenumber int, part string, tax string"
+    paths = [writers.write_file(sales, f"{folder}/sales{end}") for end in (".parquet", ".json", ".xlsx")]
+    read = [
+        spark.read.parquet(paths[0]),
+        spark.read.schema(shape).json(paths[1]),
+        spark.read.schema(shape).option("header", True).csv(paths[2]),
+    ]
+    return projection.unite([
+        r.select("l_orderkey", F.col("l_linenumber").cast("int").alias("l_linenumber"), "part", "tax", F.lit(k).alias("sink"))
+        for k, r in enumerate(read)
+    ])
+
+
+@query
+def quarantine_sink(spark, sf_dir):
+    """The cells of problem parts, a folder for each document, page and part, read again."""
+    folder = writers.write_quarantine(run(spark, sf_dir, decisions={}).quarantine, new_folder(spark, "problems"))
+    shape = "row_idx int, col_idx int, name string, value string, doc_id bigint, page_num int, part_idx int"
+    found = spark.read.schema(shape).option("header", True).csv(folder)
+    return found.groupBy("doc_id", "page_num").agg(
+        F.count_distinct("part_idx").alias("parts"),
+        F.count_distinct("row_idx").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_cells"),
+    )
+
+
 @query
 def report_errors(spark, sf_dir):
     return run(spark, sf_dir, decisions={}).errors

@@ -41,15 +41,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Feeds all cores when the input comes in fewer pieces than there are cores.
-
-    Large inputs have far more splits than that and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def doc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as pages: each line gives rows of eight words, all words of all lines."""
 
@@ -65,7 +56,9 @@ def doc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = F.flatten(F.transform(F.split("text", "\n"), line_rows))
     padded = F.concat("c", F.array_repeat(F.lit(""), F.lit(DOC_WIDTH) - F.size("c")))
     return (
-        spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+        table(spark, sf_dir, "documents")
+        .select("doc_id", "text")
+        .repartition("doc_id")  # what follows works page by page: dealt once, before the rows unfold
         .select("doc_id", F.posexplode(rows).alias("row_idx", "c"))
         .select(
             "doc_id",
@@ -104,7 +97,7 @@ def header_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     row1 = F.element_at(_literal_rows(FIRST_ROWS), (F.col("o_orderkey") % 8 + 1).cast("int"))
     row2 = F.element_at(_literal_rows(SECOND_ROWS), (F.col("o_custkey") % 6 + 1).cast("int"))
     at = F.floor(F.col("o_orderkey") / 8) % 8
-    return spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")).select(
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").repartition("o_orderkey").select(
         F.col("o_orderkey").alias("id"),
         F.transform(row1, lambda c, i: F.when(i == at, spare).otherwise(c)).alias("row1"),
         row2.alias("row2"),
@@ -125,7 +118,7 @@ def sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     key = F.col("l_orderkey") + F.col("l_linenumber")
     used = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
-    return spread(table(spark, sf_dir, "lineitem").select(*used)).select(
+    return table(spark, sf_dir, "lineitem").select(*used).repartition("l_orderkey").select(
         "l_orderkey",
         "l_linenumber",
         F.when(key % 17 == 0, "n.s.").when(key % 19 == 0, "").otherwise(eu_text(cents)).alias("price"),

@@ -7,9 +7,6 @@ import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from reportgrid.operators.scans import BUCKET_ROWS, bucket_of
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -64,15 +61,3 @@ def staged(df: DataFrame) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Writes a frame to the shared folder and goes on from there."""
     return staged(df)
-
-
-def stage_rows(rows: DataFrame, table: str, buckets: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Writes rows as a table bucketed by page and row bucket; scans of it need no exchange."""
-    (
-        rows.withColumn("bucket", bucket_of("row_idx", bucket_rows))
-        .write.mode("overwrite")
-        .bucketBy(buckets, "doc_id", "page_num", "bucket")
-        .sortBy("doc_id", "page_num", "bucket", "row_idx")
-        .saveAsTable(table)
-    )
-    return rows.sparkSession.table(table)

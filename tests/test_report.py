@@ -11,7 +11,7 @@ from reportgrid.plans import report as R
 from reportgrid.plans import views as V
 from reportgrid.sinks import writers
 from reportgrid.sources import grid as G
-from reportgrid.sources.staging import stage_rows
+from reportgrid.sources.grid import stage_rows
 
 AS_OF = "2026-03-15"
 H1 = ["December", "Act", "Act", "Bdg", "vs Act", "", "vs Bdg", ""]
