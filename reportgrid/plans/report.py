@@ -322,11 +322,11 @@ def check_final_columns(parts: DataFrame, cfg: ReportConfig) -> None:
     """Every configured column must be known or occur as a name in some clean part."""
     wanted = [c for c in cfg.final_columns if c not in static_columns(cfg)]
     seen = parts.filter(F.col("emitted") & ~F.col("is_problem")).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("__n"),
         *[F.coalesce(F.bool_or(F.array_contains("data_names", c)), F.lit(False)).alias(c) for c in wanted],
     )
     found = seen.first()
-    if found["n"] == 0:
+    if found["__n"] == 0:
         raise ValueError("no part is left to unite: all failed or have problem names")
     missing = [c for c in wanted if not found[c]]
     if missing:
