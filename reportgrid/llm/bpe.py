@@ -280,4 +280,5 @@ def encode_documents(
 
 
 def decode(ids: list[int], vocabulary: str) -> str:
-    return b"".join(encoder(vocabulary).bytes_of[n] for n in ids).decode("utf-8", "replace")
+    letters = encoder(vocabulary).bytes_of
+    return b"".join([letters[n] for n in ids]).decode("utf-8", "replace")
