@@ -8,12 +8,15 @@ Windows start at every word of a document and at every word of an item, so the w
 together are as long as the item, and one stretch without many edits is enough. Each candidate is
 then checked by the exact edit distance (bit-parallel, over the words).
 
+Items with too few such windows, as they are short or hold few different words, are searched exactly: cut into one piece
+more than the edits allowed, at least one piece stands unchanged in each place of the item; pieces meet the documents by hash.
+
 The expected recall for an edit at each word with probability MAX_EDITS / 2 is above 0.99, at MAX_EDITS above 0.9 (tests/llm measures it).
 
 The benchmark is the stated set of questions: it is taken in blocks of about ``BLOCK_WORDS`` words, chosen by hash, each sent to
 all tasks; documents are read once per block and never shuffled. All documents are searched whole.
 
-Defined results: null and blank texts hold nothing; items of fewer than ``LEAST_WORDS`` words say nothing and are not searched;
+Defined results: null and blank texts hold nothing; items of one different word say nothing and are not searched;
 a document with several places of an item has one row with the fewest edits, the first such place; repeated
 rows of documents get the same rows each, repeated items are one; rows without an id are searched and have a null id.
 """
@@ -22,7 +25,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -36,7 +39,8 @@ MAX_EDITS = 0.2
 STEPS, SAMPLED, REPEATS = 12, 5, 5
 #: Different words that a window of an item must have among its samples.
 LEAST_DISTINCT = 4
-LEAST_WORDS = 8
+#: Share of an item's words that must begin a window with a key; below, the item is searched by its pieces.
+LEAST_KEYED = 0.5
 BLOCK_WORDS = 200_000
 #: Words of documents that are embedded at once.
 CHUNK_WORDS = 1 << 16
@@ -95,6 +99,21 @@ def keys(hashes: np.ndarray, seen: list | None = None) -> Iterator[np.ndarray]:
         yield key
 
 
+def pieces(n: int) -> list[tuple[int, int]]:
+    """Where the pieces of an item of ``n`` words begin and end: one more than the edits allowed, all of them two words at least but for ``n`` = 1."""
+    parts = int(MAX_EDITS * n) + 1
+    cuts = [n * k // parts for k in range(parts + 1)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def runs(hashes: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Per length up to ``longest``, a key of so many words in a row at each place."""
+    key = np.zeros(len(hashes), np.uint64)
+    for n in range(1, longest + 1):
+        key = key[: len(hashes) - n + 1] * MIX + hashes[n - 1 :]
+        yield n, key ^ (key >> np.uint64(31))
+
+
 def edits(item: Sequence[int], text: Sequence[int]) -> tuple[int, int]:
     """The least edit distance between the item and any stretch of the text, and where the first such stretch ends."""
     n = len(item)
@@ -124,9 +143,12 @@ class Items:
     def __init__(self, rows: list[tuple[int, array]]):
         self.rows = rows
         found: list[dict[int, list[tuple[int, int]]]] = [defaultdict(list) for _ in range(REPEATS)]
+        self.pieces: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        self.words = [Counter(item) for _, item in rows]
         for number, (_, item) in enumerate(rows):
             padded = np.array([*item, *[0] * STEPS], np.uint64)
             seen: list[np.ndarray] = []
+            keyed = 0
             for k, key in enumerate(keys(padded, seen)):
                 sampled = padded[np.array(seen)]
                 seen.clear()
@@ -135,6 +157,9 @@ class Items:
                     inside = set(sampled[:, place].tolist()) - {0}
                     if sampled[:, place].all() and len(inside) >= LEAST_DISTINCT:
                         found[k][int(key[place])].append((number, place))
+                        keyed += 1
+            if keyed < LEAST_KEYED * REPEATS * len(item):
+                self._add_pieces(number, padded[: len(item)])
         self.found = found
         self.sorted = [np.array(sorted(f), np.uint64) for f in found]
         mask = np.uint64((1 << FILTER_BITS) - 1)
@@ -143,6 +168,12 @@ class Items:
             bits = np.zeros(1 << FILTER_BITS, bool)
             bits[each & mask] = True
             self.filters.append(bits)
+        self.sorted_pieces = {n: np.array(sorted(f), np.uint64) for n, f in self.pieces.items()}
+
+    def _add_pieces(self, number: int, item: np.ndarray) -> None:
+        for begin, end in pieces(len(item)):
+            *_, (n, key) = runs(item[begin:end], end - begin)
+            self.pieces.setdefault(n, defaultdict(list))[int(key[0])].append((number, begin))
 
     def search(self, docs: list[array]) -> Iterator[tuple[int, int, int, int]]:
         """(document, item, edits, end) for each item that a document holds; documents as word hashes."""
@@ -160,13 +191,24 @@ class Items:
                 for number, place in self.found[k][int(key[at])]:
                     slack = int(MAX_EDITS * len(self.rows[number][1])) + 1
                     places.add((doc, number, (at - int(starts[doc]) - place) // slack))
+        for n, key in runs(padded, max(self.pieces, default=0)):
+            if n not in self.pieces:
+                continue
+            hits = np.flatnonzero(np.isin(key, self.sorted_pieces[n]))
+            of = np.searchsorted(starts, hits, "right") - 1
+            for at, doc in zip(hits.tolist(), of.tolist()):
+                for number, place in self.pieces[n][int(key[at])]:
+                    slack = int(MAX_EDITS * len(self.rows[number][1])) + 1
+                    places.add((doc, number, (at - int(starts[doc]) - place) // slack))
         best: dict[tuple[int, int], tuple[int, int]] = {}
         for doc, number, diagonal in sorted(places):
             item = self.rows[number][1]
             most = int(MAX_EDITS * len(item))
             first = max(0, diagonal * (most + 1) - most)
             stretch = docs[doc][first : (diagonal + 1) * (most + 1) + len(item) + most]
-            if len(set(item).intersection(stretch)) * 2 < len(set(item)):
+            # each word of the item that the stretch lacks costs an edit
+            lacks = self.words[number].keys() - set(stretch)
+            if sum(self.words[number][w] for w in lacks) > most:
                 continue
             n, end = edits(item, stretch)
             if n <= most and (n, first + end) < best.get((doc, number), (most + 1, 0)):
@@ -202,7 +244,7 @@ def leaks(
     found = []
     for block in _blocks(benchmark, item_col, item_text_col):
         known = Hashes()
-        items = [(i, h) for i, t in block if len(h := known.of(t)) >= LEAST_WORDS]
+        items = [(i, h) for i, t in block if len(set(h := known.of(t))) > 1]
         if not items:
             continue
         sent = docs.sparkSession.sparkContext.broadcast(items)

@@ -97,3 +97,38 @@ def test_exact_items_of_the_table_are_all_found(spark):
     items = bench.collect()
     want = {(d.doc_id, b.item_id) for d in docs.collect() for b in items if b.text in (d.text or "")}
     assert want <= {(r.doc_id, r.item_id) for r in D.leaks(docs, bench).collect()}
+
+
+def test_pieces_are_more_than_the_edits():
+    for n in range(2, 300):
+        cut = D.pieces(n)
+        assert len(cut) == int(D.MAX_EDITS * n) + 1 and cut[0][0] == 0 and cut[-1][1] == n
+        assert all(a < b for a, b in cut) and all(x[1] == y[0] for x, y in zip(cut, cut[1:]))
+
+
+def test_short_items_and_items_of_few_words_are_all_found(spark):
+    """Every place within the edits allowed, against brute force."""
+    rng = random.Random(8)
+    others = [f"w{min(int(rng.expovariate(0.02)), 400)}" for _ in range(2000)]
+    items = [(1, "What is the capital of France?".split()), (2, ["yes", "no"]), (3, ["yes", "no", "yes"] * 8), (4, list("aabb") * 6)]
+    items += [(10 + k, [rng.choice(others[:300]) for _ in range(n)]) for k, n in enumerate([3, 4, 5, 6, 7, 8, 9, 10, 11, 12] * 2)]
+    items += [(40 + k, [rng.choice("abc") for _ in range(n)]) for k, n in enumerate([5, 9, 14, 20, 33])]
+    rows = []
+    for number in range(180):
+        k, item = items[number % len(items)]
+        inside = changed(rng, item, rng.randint(0, int(D.MAX_EDITS * len(item))), others + ["yes", "a"])
+        body = [rng.choice(others) for _ in range(30)] + inside + [rng.choice(others) for _ in range(30)]
+        rows.append((number, " ".join(body)))
+    rows.append((500, "Who knows: what IS the capital,\nof France"))
+    want = set()
+    for i, text in rows:
+        words = D.WORD.findall(text.lower())
+        for k, item in items:
+            item = D.WORD.findall(" ".join(item).lower())
+            if len(set(item)) > 1 and (n := slow_edits(item, words))[0] <= int(D.MAX_EDITS * len(item)):
+                want.add((i, k, *n))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.edits, r.end_word) for r in D.leaks(docs, bench).collect()}
+    assert (500, 1, 0, 8) in got and len(want) >= 181
+    assert got == want
