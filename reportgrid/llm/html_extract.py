@@ -3,8 +3,11 @@
 A page is read as a sequence of tags and texts. Each tag costs; each text scores its number of words times a
 weight that depends on the block it stands in: the log-odds of lying inside the main region, as counted on pages whose
 markup tells that region (``article`` or ``main``), backed off from the block with its container to the block's
-tag. One linear scan finds the contiguous region with the largest sum. Texts of the region that stand in
-boilerplate blocks are left out of it, the rest is written as one line per block.
+tag. A block whose class, id or role has a boilerplate word among others ("site-footer") is backed off to what the words of such
+blocks taught. One linear scan finds the contiguous region with the largest sum. Texts of the region that stand in
+boilerplate blocks are left out of it, the rest is written as one line per block. Boilerplate blocks are those of the tags in
+``BOILERPLATE``, and those with a class, id or role that is made of words in ``NAMES`` only. Such names say nothing of the page's body, of
+``main``, of what holds a ``main`` or half of the page's words, nor of the largest ``article``; of other articles only single words do.
 
 The weights are fitted on ``SAMPLE_PAGES`` such pages with the smallest hashes of their addresses; there are as many as kinds of
 blocks in these pages. All pages are read whole.
@@ -63,17 +66,23 @@ SPACE = re.compile(r"\s+")
 
 
 class Place:
-    """An open element: how its texts are called, and whether they are boilerplate by name or in the main region."""
+    """An open element: how its texts are called, and whether they are boilerplate by name or in the main region.
 
-    __slots__ = ("tag", "kind", "coarse", "bad", "main", "block")
+    Whether a name counts depends on the whole page, so ``bad`` and ``hint`` are set by ``decide``.
+    """
+
+    __slots__ = ("tag", "kind", "coarse", "bad", "main", "block", "inside", "words", "holds_main", "tagged", "named", "hints", "hint")
 
     def __init__(self, tag: str, attrs: str, inside: Place | None):
         names = [x for m in ATTR.finditer(attrs) for x in SPACE.split((m[1] or m[2] or m[3] or "").lower().strip())] if attrs else []
-        parts = {p for n in names for p in re.split(r"[^a-z]+", n)}
+        parts = [{p for p in re.split(r"[^a-z]+", n) if p} for n in names]
         self.tag = tag
         self.main = (inside is not None and inside.main) or tag in MAIN
-        named = bool(parts & NAMES) or (tag in BOILERPLATE and not (tag == "header" and inside is not None and inside.main))
-        self.bad = (inside is not None and inside.bad) or named
+        self.inside, self.words, self.holds_main = inside, 0, tag == "main"
+        self.tagged = tag in BOILERPLATE and not (tag == "header" and inside is not None and inside.main)
+        self.named = any(p and p <= NAMES and (tag != "article" or len(p) == 1) for p in parts)
+        self.hints = sorted({p for x in parts if not x <= NAMES for p in x & NAMES}) if parts else []
+        self.bad, self.hint = False, ()
         self.block = tag not in INLINE
         if self.block or inside is None:
             label = tag + "".join("." + n for n in sorted(set(names))[:3])
@@ -83,9 +92,44 @@ class Place:
             self.kind, self.coarse = inside.kind, inside.coarse
 
 
-def walk(page: str) -> Iterator[tuple[str, object, Place]]:
+def decide(places: list[Place]) -> None:
+    """Which elements of a page, given in order, are boilerplate, and which name parts hint at it."""
+    for place in reversed(places):
+        if place.inside is not None:
+            place.inside.words += place.words
+            place.inside.holds_main |= place.holds_main
+    whole = places[0].words
+    largest: Place | None = None
+    # the largest article is known once what holds the articles is decided; it is exempt itself
+    for last in (False, True):
+        for place in places:
+            inside = place.inside
+            minor = 2 * place.words < whole and not place.holds_main and place.tag not in ("html", "body") and place is not largest
+            article = place.tag == "article" and not last
+            place.bad = (inside is not None and inside.bad) or place.tagged or (place.named and minor and not article)
+            place.hint = inside.hint if inside is not None else ()
+            if place.hints and minor:
+                place.hint = tuple(sorted({*place.hint, *place.hints}))
+        if last or not any(p.named and p.tag == "article" for p in places):
+            return
+        articles = [p for p in places if p.tag == "article" and not p.bad]
+        largest = max(articles, key=lambda p: p.words, default=None)
+
+
+def walk(page: str) -> list[tuple[str, object, Place]]:
     """("text", text, place) and ("block" or "inline", tag, place) in page order."""
-    stack = [Place("", "", None)]
+    places = [Place("", "", None)]
+    found = list(_walk(page, places))
+    for kind, what, place in found:
+        if kind == "text":
+            place.words += words_in(what)
+    decide(places)
+    return found
+
+
+def _walk(page: str, places: list[Place]) -> Iterator[tuple[str, object, Place]]:
+    """The same before names are decided on; adds the elements to ``places``."""
+    stack = places[:1]
     at, n = 0, len(page)
     while at < n:
         found = TOKEN.search(page, at)
@@ -120,6 +164,7 @@ def walk(page: str) -> Iterator[tuple[str, object, Place]]:
                 if stack[k].block:
                     break
         place = Place(tag, found["attrs"], stack[-1])
+        places.append(place)
         yield ("inline" if tag in INLINE else "block"), tag, place
         if tag not in VOID and not found["attrs"].rstrip().endswith("/"):
             stack.append(place)
@@ -133,13 +178,13 @@ def count_blocks(page: str | None, seen: Counter) -> None:
     """Adds how many words of each kind of block lie in the main region and outside it."""
     for kind, what, place in walk(page or ""):
         if kind == "text" and (n := words_in(what)):
-            for name in (place.kind, place.coarse):
+            for name in (place.kind, place.coarse, *("~" + x for x in place.hint)):
                 seen[name, place.main and not place.bad] += n
 
 
 def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
     """Log-odds by kind of block, the finer ones drawn towards their tag's."""
-    total = {side: sum(n for (k, s), n in counts.items() if s == side and "|" not in k) for side in (True, False)}
+    total = {side: sum(n for (k, s), n in counts.items() if s == side and "|" not in k and k[:1] != "~") for side in (True, False)}
     if not total[True] or not total[False]:
         return {}
     prior = total[True] / (total[True] + total[False])
@@ -159,7 +204,11 @@ def weight_of(place: Place, known: dict[str, float]) -> float:
     if place.main:
         return MOST
     found = known.get(place.kind)
-    return found if found is not None else known.get(place.coarse, 1.0)
+    if found is not None:
+        return found
+    if place.hint:
+        return min(known.get("~" + x, BOILERPLATE_COST) for x in place.hint)
+    return known.get(place.coarse, 1.0)
 
 
 def main_text(page: str | None, known: dict[str, float]) -> str:

@@ -32,6 +32,39 @@ def test_main_text(main, text):
     assert H.main_text(shell(main, "<div class='comments'><p>First comment of a reader</p></div>"), {}) == text
 
 
+@pytest.mark.parametrize(
+    "body, before, after",
+    [
+        ("<body class='has-sidebar'>", "<article>", "</article>"),
+        ("<body class='sidebar'>", "<main>", "</main>"),
+        ("<body>", "<div id='page' class='header-fixed'><article>", "</article></div>"),
+        ("<body>", "<article class='post social-share'>", "</article>"),
+        ("<body>", "<article class='related'>", "</article>"),
+        ("<body>", "<main class='with-nav'>", "</main>"),
+        ("<body>", "<div class='widget'><main>", "</main></div>"),
+        ("<body>", "<main><div class='share-price'>", "</div></main>"),
+    ],
+)
+def test_names_of_what_holds_the_text(body, before, after):
+    nav = "<nav>" + "<a href='/x'>Some place</a>" * 20 + "</nav>"
+    page = f"{body}{nav}{before}<p>One two three.</p><div class='social-share'>Tell all</div>{after}<footer>us</footer></body>"
+    assert H.main_text(page, {}) == "One two three."
+    seen = H.Counter()
+    H.count_blocks(page, seen)
+    assert seen["p", True] == 3
+
+
+def test_comments_and_unmarked_pages():
+    """A named block that holds the smaller part of the words is left out, also as an article; hints weigh as learned."""
+    text = "<p>" + "word " * 30 + "</p>"
+    page = f"<body><article>{text}</article><div id='comments'><article class='comment'>I say so</article></div></body>"
+    assert "say" not in H.main_text(page, {})
+    page = f"<body><article>{text}</article><article class='comment'>I say so</article></body>"
+    assert "say" not in H.main_text(page, {})
+    page = f"<body><div class='site-nav'><i>Go home now</i></div><div>{text}</div></body>"
+    assert "home" not in H.main_text(page, {}) and "home" in H.main_text(page, {"~nav": 1.0})
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!--", "<script>", "</div></p>", "<article" * 50, "&" * 1000])
 def test_broken_pages_give_text(page):
     assert isinstance(H.main_text(page, {}), str)
