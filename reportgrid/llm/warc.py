@@ -1,13 +1,14 @@
 """WARC archives: a writer that stores equal payloads once, and a reader that salvages damaged files.
 
-Writing is SQL expressions and Spark's text sink, whose line separator is the end of a record, so archives
-can lie in any store that Spark reaches; each file is one gzip member and holds ``max_records`` records at
-most. Of the records with equal payloads of ``MIN_SHARED_BYTES`` or more, that with the largest id is a
+Records are made by SQL expressions, packed as a gzip member each, and written by Spark's text sink, so archives
+can lie in any store that Spark reaches. The sink's line separator is a zero byte, the last byte of every member of less than 16 MB; a larger
+one is followed by an empty member. A file holds ``max_records`` records at most. Of the records with equal payloads of ``MIN_SHARED_BYTES`` or more, that with the largest id is a
 response and the others revisit it.
 
 Reading takes files of records, plain or as gzip members of one or more records. Each record is checked: version line,
 header, length, end marks, digests. After a failed check the reader looks for the next valid member or
-version line, goes on from there, and reports the bytes in between as a gap.
+version line, goes on from there, and reports the bytes in between as a gap. Of a broken member all that can be inflated before the
+damage is kept, and its records that pass their checks and name a digest are given; the member is reported as a gap as well.
 
 Defined results: a null payload is empty; a null id is written as an empty one and read as null, and such a record is
 always a response; a null URL has no header field; repeated rows are records each, and rows that repeat the largest id of
@@ -17,6 +18,7 @@ spaces in a URL are written as %20. Further columns are not written.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import logging
 import zlib
@@ -84,10 +86,23 @@ def records(
     return rows.select(F.concat(header, F.lit(END + END), F.col("block")).alias("record"))
 
 
+def pack(record: bytes) -> bytes:
+    """The record as a gzip member, without the zero byte that ends it."""
+    member = gzip.compress(record, 6, mtime=0)
+    if member[-1]:  # 16 MB or more: an empty member ends in a zero
+        member += gzip.compress(b"", mtime=0)
+    return member[:-1]
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        members = [pack(r.as_buffer().to_pybytes() + b"\r\n\r\n") for r in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([pa.array(members, pa.large_binary())], names=["member"])
+
+
 def write_archives(pages: DataFrame, folder: str, max_records: int = MAX_RECORDS, **columns: str) -> None:
-    records(pages, **columns).write.option("lineSep", END + END).option("compression", "gzip").option(
-        "maxRecordsPerFile", max_records
-    ).text(folder)
+    members = records(pages, **columns).mapInArrow(_packed, "member binary").select(F.col("member").cast("string"))
+    members.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", max_records).text(folder)
 
 
 # --- reading ---------------------------------------------------------------------------
@@ -143,6 +158,13 @@ def _one(data: bytes, at: int) -> tuple[dict, int] | str:
     }, end + 4
 
 
+def _named_digest(record: bytes) -> bool:
+    """Whether the bytes of a record were held against a digest that it names."""
+    fields = _header(record[: record.find(b"\r\n\r\n")])
+    whole = fields.get("warc-type") != "revisit" and fields.get("warc-payload-digest", "")
+    return fields.get("warc-block-digest", "").startswith("sha1:") or bool(whole)
+
+
 def _next_version(data: bytes, at: int) -> int:
     """Where the next line with a version begins, or the end."""
     while (at := data.find(VERSION, at)) >= 0:
@@ -175,16 +197,35 @@ def _member(data: bytes, at: int) -> tuple[bytes, int, bool]:
     pos = at
     while pos < len(data):
         piece = data[pos : pos + step]
+        before = inflate.copy()
         try:
             out.append(inflate.decompress(piece))
         except zlib.error:
-            return b"".join(out), pos, False
+            return b"".join([*out, *_until_error(before, piece)]), pos, False
         pos += len(piece)
         if inflate.eof:
             return b"".join(out), pos - len(inflate.unused_data), True
     return b"".join(out), len(data), False
 
 
+def _until_error(inflate, piece: bytes) -> Iterator[bytes]:
+    """What a piece gives before the place at which it cannot be inflated, in halves down to single bytes of input and output."""
+    while len(piece) > 1:
+        half = len(piece) // 2
+        before = inflate.copy()
+        try:
+            yield inflate.decompress(piece[:half])
+            piece = piece[half:]
+        except zlib.error:
+            inflate, piece = before, piece[:half]
+    try:
+        while got := inflate.decompress(piece, 1):
+            yield got
+            piece = inflate.unconsumed_tail
+    except zlib.error:
+        pass
+
+
 def _next_member(data: bytes, at: int, stop: int) -> int:
     """Where the next member that can be opened begins, or ``stop``."""
     while 0 <= (at := data.find(GZIP, at, stop)):
@@ -215,14 +256,17 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
             at = last
             continue
         content, end, whole = _member(data, at)
+        unsure = 0
         for kind, start, stop, what in _plain(content):
-            if kind == "record":
+            if kind == "record" and (whole or _named_digest(content[start:stop])):
                 yield kind, at, end, what
-            elif whole:
+            elif not whole:
+                unsure += stop - start
+            else:
                 yield kind, at, end, f"{what}, {stop - start} bytes at {start} of the member"
         if not whole:
             to = min(_next_member(data, at + 1, len(data)), _next_version(data, at + 1))
-            yield "gap", at, to, "broken member"
+            yield "gap", at, to, f"broken member, {unsure} of {len(content)} bytes before the damage without a record"
             end = to
         at = end
 

@@ -124,3 +124,60 @@ def test_damage_is_reported(spark, raw, tmp_path, caplog):
     assert records.count() == 2
     assert [(r.place, r.length) for r in gaps.collect()] == [(len(raw[0]), 6)]
     assert "6 bytes" in caplog.text
+
+
+@pytest.fixture(scope="module")
+def long_records(spark):
+    rng = random.Random(6)
+    rows = [(k, f"http://a.example/{k}", "".join(rng.choice("abcdefgh ") for _ in range(2000))) for k in range(120)]
+    made = warc.records(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [(r.record + "\r\n\r\n").encode() for r in made]
+
+
+@pytest.mark.parametrize("n", [40, 120])
+def test_records_before_the_damage_of_a_member_are_kept(long_records, n):
+    raw = long_records[:n]
+    packed = gzip.compress(b"".join(raw))
+    for share in (0.1, 0.5, 0.9):
+        hit = int(share * len(packed))
+        data = packed[:hit] + bytes([packed[hit] ^ 0xFF]) + packed[hit + 1 :]
+        whole = len(list(warc.salvage(packed[:hit])) ) - 1  # a file that is cut there
+        found = list(warc.salvage(data))
+        assert whole >= int(share * n) - 2 and len(ids(found)) >= whole > 0
+        assert [x[0] for x in found].count("gap") >= 1
+        spans_cover(found, len(data))
+
+
+def test_a_wrong_checksum_loses_no_record(long_records):
+    data = bytearray(gzip.compress(b"".join(long_records)))
+    data[-6] ^= 1
+    found = list(warc.salvage(bytes(data)))
+    assert len(ids(found)) == len(long_records) and [x[0] for x in found].count("gap") == 1
+
+
+def test_records_without_digest_need_a_whole_member():
+    one = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    data = bytearray(gzip.compress(one))
+    assert [x[0] for x in warc.salvage(bytes(data))] == ["record"]
+    data[-6] ^= 1
+    assert [x[0] for x in warc.salvage(bytes(data))] == ["gap"]
+
+
+def test_the_writer_makes_a_member_per_record(spark, pages, tmp_path):
+    warc.write_archives(pages, str(tmp_path / "m"))
+    n = 0
+    for file in (tmp_path / "m").glob("part-*"):
+        data = file.read_bytes()
+        found = list(warc.salvage(data))
+        starts = [x[1] for x in found]
+        n += len(found)
+        assert gzip.decompress(data).count(b"\r\nWARC-Type: ") == len(found) == len(set(starts))
+        hit = starts[len(starts) // 2] + 30
+        broken = data[:hit] + bytes([data[hit] ^ 0xFF]) + data[hit + 1 :]
+        assert len(ids(warc.salvage(broken))) >= len(found) - 1
+    assert n == pages.count()
+
+
+def test_large_members_end_in_a_zero():
+    for size in (0, 10, (1 << 24) - 1, 1 << 24, (1 << 24) + 77):
+        assert gzip.decompress(warc.pack(b"x" * size) + b"\0") == b"x" * size
