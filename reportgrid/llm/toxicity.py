@@ -67,11 +67,14 @@ def held_out(id_: Column, folds: int = 5) -> Column:
 
 
 def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments, as (first, last, score), in one pass.
+    """All maximal scoring segments, as (first, last, score), in one pass and linear time.
 
+    A held segment knows the nearest one before it with a smaller sum before it. Where there is none for a new segment,
+    nothing that is held can grow any more: it is closed.
     ``scores`` has the words that score above ``-drift`` or below it, by place; every other word costs ``drift``.
     """
-    found: list[list[float]] = []  # first, last, sum before, sum after
+    found: list[list[float]] = []
+    held: list[list[float]] = []  # first, last, sum before, sum after, place of the nearest smaller sum before
     total, place = 0.0, 0
     for at, score in scores:
         total -= drift * (at - place)
@@ -80,17 +83,25 @@ def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, i
         total += score
         if score <= 0:
             continue
-        new = [at, at, before, total]
+        new = [at, at, before, total, -1]
+        k = len(held) - 1
         while True:
-            k = len(found) - 1
-            while k >= 0 and found[k][2] >= new[2]:
-                k -= 1
-            if k < 0 or found[k][3] >= new[3]:
-                found.append(new)
+            while k >= 0 and held[k][2] >= new[2]:
+                k = held[k][4]
+            if k < 0:
+                found += held
+                held = [new]
+                new[4] = -1
                 break
-            new = [found[k][0], new[1], found[k][2], new[3]]
-            del found[k:]
-    return [(int(a), int(b), right - left) for a, b, left, right in found]
+            if held[k][3] >= new[3]:
+                new[4] = k
+                held.append(new)
+                break
+            new = [held[k][0], new[1], held[k][2], new[3], -1]
+            below = held[k][4]
+            del held[k:]
+            k = below
+    return [(int(a), int(b), right - left) for a, b, left, right, _ in found + held]
 
 
 #: What most pieces hold: one word that tells nothing.

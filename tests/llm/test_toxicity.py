@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -99,3 +100,14 @@ def test_labels_of_held_out_rows_are_not_read(labelled):
         {r.doc_id: r.score for r in toxicity.judge(docs, x).collect()} for x in (labels, flipped)
     )
     assert first == pytest.approx(second)
+
+
+@pytest.mark.parametrize("first", [0.3, 1e6])
+def test_segments_in_linear_time(first):
+    """Sums that fall all the way, with nothing smaller before them or with one large segment that is held before."""
+    n = 30_000
+    told = [(0, first), *((4 * k, 0.6) for k in range(1, n))]
+    before = time.process_time()
+    got = toxicity.segments(told, 0.5)
+    assert time.process_time() - before < 2
+    assert [(a, b) for a, b, _ in got] == [(4 * k, 4 * k) for k in range(n)]
