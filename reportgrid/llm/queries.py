@@ -8,7 +8,21 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportgrid.llm import bpe, decontaminate, html_extract, line_dedup, quality_rules, simhash, suffix_dedup, toxicity, url_filter, warc
+from reportgrid.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    html_extract,
+    lexical_search,
+    line_dedup,
+    packing,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+    warc,
+)
 from reportgrid.llm.tables import table
 from reportgrid.sources.staging import new_folder
 
@@ -167,3 +181,48 @@ def op1_simhash(spark, sf_dir):
 @query
 def op7_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op11_lexical_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), s AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+m AS (SELECT r, doc_id, 75 + (25 * len(terms) * n_docs) // n_terms AS m FROM d, s WHERE len(terms) > 0),
+p AS (SELECT r, term, count(*) AS tf FROM d, unnest(terms) AS u(term) GROUP BY r, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM p, s GROUP BY term
+), b AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM benchmark
+), t AS (SELECT q, item_id, term, count(*) AS times FROM b, unnest(terms) AS u(term) GROUP BY q, item_id, term),
+c AS (
+  SELECT q, item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM t JOIN p USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY q, item_id, r, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM c WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query
+def op12_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), end_id=2, capacity=1024)
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return alignment.align(table(spark, sf_dir, "documents"), vocabulary(), model)

@@ -4,5 +4,5 @@ from reportgrid.llm.queries import QUERIES, SQL
 
 
 def test_every_operator_has_a_query():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(SQL) <= set(QUERIES)
