@@ -24,6 +24,11 @@ def bucket_of(pos: Column | str, bucket_rows: int = BUCKET_ROWS) -> Column:
     return F.call_function("div", pos, F.lit(bucket_rows))
 
 
+def with_bucket(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Rows with their ``bucket``; staged rows have it, and are laid out by it."""
+    return rows if "bucket" in rows.columns else rows.withColumn("bucket", bucket_of("row_idx", bucket_rows))
+
+
 def page_buckets(heads: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One record per page and bucket of rows, from one record per page with ``n_rows``."""
     last = bucket_of(F.col("n_rows") - 1, bucket_rows)

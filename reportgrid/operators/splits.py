@@ -18,6 +18,7 @@ from reportgrid.operators.scans import (
     bucket_of,
     page_buckets,
     running,
+    with_bucket,
     with_neighbours,
 )
 from reportgrid.operators.titles import drop_leading_rows
@@ -361,12 +362,11 @@ def table_starts(points: DataFrame, keys: Sequence[str], carry: bool = True) ->
 def assign_tables(
     rows: DataFrame, starts: DataFrame, keys: Sequence[str], bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """Adds ``table_id`` and ``table_start`` to the rows; rows above the first table go."""
+    """Adds ``table_id`` and ``table_start`` to the rows; rows above the first table go. A column ``bucket`` counts as theirs."""
     begun = F.filter(F.col("starts"), lambda s: s <= F.col("row_idx"))
-    shared = [c for c in starts.columns if c in rows.columns and c not in keys]
+    shared = [c for c in starts.columns if c in rows.columns and c not in (*keys, "bucket")]
     return (
-        rows.drop(*shared)
-        .withColumn("bucket", bucket_of("row_idx", bucket_rows))
+        with_bucket(rows.drop(*shared), bucket_rows)
         .join(starts, [*keys, "bucket"])
         .filter(F.col("row_idx") >= F.col("first_row"))
         .withColumns(

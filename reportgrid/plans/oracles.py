@@ -646,6 +646,7 @@ def oracles() -> dict[str, str]:
               CAST(sum(n_data) AS BIGINT) AS n_rows, CAST(sum(n_data) * 8 AS BIGINT) AS n_cells FROM part_list
               WHERE fault = 10 AND side = 1 AND n_data > 0 GROUP BY doc_id"""),
         "report_errors": q(ERRORS, "SELECT * FROM errs WHERE e_des IS NOT NULL"),
+        "errors_from_cells": q(ERRORS, "SELECT * FROM errs WHERE e_des IS NOT NULL"),
         "report_parts": q(PARTS, f"""SELECT doc_id, table_id, part_id, CAST(parent_id AS INTEGER) AS parent_id,
               CAST(first_data AS INTEGER) AS first_data, CAST(n_data AS INTEGER) AS n_data,
               page_subtitle_1, CASE WHEN len(names) > 0 THEN period END AS period_agg, {joined('names')} AS names,

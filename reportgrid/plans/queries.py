@@ -19,7 +19,7 @@ from reportgrid.plans import report
 from reportgrid.plans import views as V
 from reportgrid.sinks import writers
 from reportgrid.sources import grid
-from reportgrid.sources.staging import cut, new_folder
+from reportgrid.sources.staging import new_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -259,7 +259,7 @@ def sparse_runs(spark, sf_dir):
 
 
 def _doc_prior(spark, sf_dir) -> DataFrame:
-    flags = cut(splits.row_flags(V.doc_rows(spark, sf_dir), ["doc_id"], V.DOC_TOKENS))
+    flags = staged(splits.row_flags(V.doc_rows(spark, sf_dir), ["doc_id"], V.DOC_TOKENS))
     return splits.with_prior(flags, ["doc_id"], 0.5)
 
 
@@ -292,26 +292,26 @@ def _doc_candidates(rows: DataFrame) -> DataFrame:
 
 @query
 def split_points_sparse(spark, sf_dir):
-    points = splits.split_candidates(cut(V.doc_rows(spark, sf_dir)), ["doc_id"], V.DOC_TOKENS, [])
+    points = splits.split_candidates(staged(V.doc_rows(spark, sf_dir)), ["doc_id"], V.DOC_TOKENS, [])
     return points.select("doc_id", "point")
 
 
 @query
 def split_points_keyword(spark, sf_dir):
     """Split points of both keyword lists, before any thinning."""
-    found = _doc_candidates(cut(V.doc_rows(spark, sf_dir)))
+    found = _doc_candidates(staged(V.doc_rows(spark, sf_dir)))
     return found.filter("kind > 0").select("doc_id", "kind", "point", "hits")
 
 
 def _doc_points(rows: DataFrame) -> DataFrame:
     heads = rows.groupBy("doc_id").agg((F.max("row_idx") + 1).cast("long").alias("n_rows")).withColumn("first_row", F.lit(0))
-    return splits.choose_points(cut(_doc_candidates(rows)), heads, ["doc_id"])
+    return splits.choose_points(staged(_doc_candidates(rows)), heads, ["doc_id"])
 
 
 @query
 def split_cascade(spark, sf_dir):
     """The points that count for each page, thinned where they come too thick."""
-    points = _doc_points(cut(V.doc_rows(spark, sf_dir)))
+    points = _doc_points(staged(V.doc_rows(spark, sf_dir)))
     return points.select("doc_id", "kind", F.explode("points").alias("point"))
 
 
@@ -320,13 +320,13 @@ def min_distance_points(spark, sf_dir):
     """Keyword rows at least five rows apart, from the top of each page."""
     rows = V.doc_rows(spark, sf_dir)
     hits = rows.filter(C.contains_keyword(F.col("cells"), V.DOC_WORDS))
-    points = cut(hits.select("doc_id", F.col("row_idx").alias("point")))
+    points = staged(hits.select("doc_id", F.col("row_idx").alias("point")))
     return splits.thin_points(points, ["doc_id"], 5)
 
 
 @query
 def split_tables(spark, sf_dir):
-    rows = cut(V.doc_rows(spark, sf_dir))
+    rows = staged(V.doc_rows(spark, sf_dir))
     starts = splits.table_starts(_doc_points(rows), ["doc_id"])
     return splits.assign_tables(rows, starts, ["doc_id"]).select(
         "doc_id", "row_idx", "table_id", (F.col("row_idx") - F.col("table_start")).alias("new_idx")
@@ -486,7 +486,7 @@ def header_infer(spark, sf_dir):
 def header_fallback(spark, sf_dir):
     """Pairs as the parts of a page per customer: names taken from the part before."""
     orders = V.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey")
-    parts = cut(_inferred(spark, sf_dir)).join(orders, "id").select(
+    parts = staged(_inferred(spark, sf_dir)).join(orders, "id").select(
         F.col("o_custkey").alias("page_num"), F.col("id").alias("seq"), "header",
         F.when(F.col("id") % 9 == 0, 7).otherwise(8).alias("width"),
     )
@@ -664,7 +664,7 @@ def chapter_lookup(spark, sf_dir):
 def run(spark: SparkSession, sf_dir: str, **options) -> report.ReportResult:
     rows, config = V.report_grid(spark, sf_dir)
     return report.run_report(
-        spark, cut(rows), config, CFG, as_of=F.lit(AS_OF).cast("date"), **options
+        spark, staged(rows), config, CFG, as_of=F.lit(AS_OF).cast("date"), **options
     )
 
 
@@ -673,15 +673,25 @@ def report_facts(spark, sf_dir):
     return run(spark, sf_dir).facts
 
 
+def run_from_cells(spark: SparkSession, sf_dir: str, **options) -> report.ReportResult:
+    """The job on one record per cell that is not blank, and one per page with its extent as read."""
+    rows, config = V.report_grid(spark, sf_dir)
+    rows, kept = staged(rows), ("run_id", "timestamp_utc")
+    cells = rows.select(*PAGE, "row_idx", F.posexplode("cells").alias("col_idx", "value")).filter("value <> ''")
+    again = grid.rows_from_cells(cells, config, kept, grid.page_extents(rows, kept))
+    return report.run_report(spark, again, config, CFG, as_of=F.lit(AS_OF).cast("date"), **options)
+
+
 @query
 def report_from_cells(spark, sf_dir):
-    """The facts again, from one record per cell that is not empty; pages with a column too few cannot be told apart there."""
-    rows, config = V.report_grid(spark, sf_dir)
-    cells = rows.filter("doc_id % 20 <> 12").select(
-        *PAGE, "row_idx", "run_id", "timestamp_utc", F.posexplode("cells").alias("col_idx", "value")
-    )
-    rows = grid.rows_from_cells(cells.filter("value <> ''"), config, ("run_id", "timestamp_utc"))
-    return report.run_report(spark, rows, config, CFG, as_of=F.lit(AS_OF).cast("date")).facts
+    """The facts again, from cells."""
+    return run_from_cells(spark, sf_dir).facts
+
+
+@query
+def errors_from_cells(spark, sf_dir):
+    """The errors again, from cells: narrow pages are told by their extents."""
+    return run_from_cells(spark, sf_dir, decisions={}).errors
 
 
 @query
@@ -741,12 +751,12 @@ def report_parts(spark, sf_dir):
 def refined_parts(spark, sf_dir):
     """The named cells of every data row, one record per name."""
     rows, config = V.report_grid(spark, sf_dir)
-    rows = grid.configured_rows(cut(rows), config)
-    starts = cut(report.find_tables(rows, cut(report.find_pages(rows, CFG)), CFG))
+    rows = report.stage_pages(spark, staged(rows), config, CFG)
+    starts = staged(report.find_tables(rows, staged(report.find_pages(rows, CFG)), CFG))
     parts = report.add_periods(
         report.check_parts(report.find_parts(rows, starts, CFG), CFG), CFG, F.lit(AS_OF).cast("date")
     )
-    named = report.part_rows(rows, cut(parts).filter("emitted"), CFG)
+    named = report.part_rows(rows, staged(parts).filter("emitted"), CFG)
     return named.select(
         "doc_id", "row_idx", "table_id", "part_id", "item_agg_1", F.explode("values").alias("name", "value")
     )

@@ -1,14 +1,14 @@
 """The whole job: grid rows in, typed fact table and quality artefacts out.
 
-Three passes over the rows: one finds the tables of every page, one gathers the head of every
-table, one shapes the facts. Everything between works on one short record per page, table or
-part.
+The rows are dealt by page and row bucket once, and written so. Three passes over them, none of which moves a row again: one
+finds the tables of every page, one gathers the head of every table, one shapes the facts. Everything between works on one
+short record per page, table or part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +18,9 @@ from reportgrid.config import ReportConfig
 from reportgrid.functions.months import period_desc
 from reportgrid.functions.numbers import null_sentinels, utc_naive
 from reportgrid.operators import enrich, parts as part_ops, quality, splits, titles, typing
-from reportgrid.operators.scans import bucket_of, reaches, running
+from reportgrid.operators.scans import bucket_of, reaches, running, with_bucket
 from reportgrid.sources import grid
-from reportgrid.sources.staging import cut
+from reportgrid.sources.staging import folders_made, partitions, remove, staged, staged_by
 
 PAGE = ["doc_id", "page_num"]
 TEXT_STATICS = ("page_title", "page_subtitle", "page_subtitle_1", "period_agg", "item_agg_1")
@@ -41,6 +41,13 @@ class ReportResult:
     long_pages: bool
     keys: tuple[str, ...]
     documents: DataFrame
+    folders: list[str] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Gives the folders of the run back, once its frames are written or read; they cannot be read any more then."""
+        for folder in self.folders:
+            remove(self.rows.sparkSession, folder)
+        self.folders = []
 
     @cached_property
     def facts(self) -> DataFrame:
@@ -142,7 +149,7 @@ def find_tables(
         carry=long_pages,
     )
     points = splits.choose_points(
-        cut(candidates), heads, PAGE, cfg.min_rows_per_table, cfg.bucket_rows, long_pages
+        staged(candidates), heads, PAGE, cfg.min_rows_per_table, cfg.bucket_rows, long_pages
     )
     return splits.table_starts(points, PAGE, long_pages)
 
@@ -159,8 +166,8 @@ def find_parts(rows: DataFrame, starts: DataFrame, cfg: ReportConfig) -> DataFra
         cfg.drop_title_rows,
         max(2, max(cfg.slicer_header_rows) + 1),
     )
-    parts = cut(part_ops.split_parts(tables, cfg.slicer_header_rows, cfg.slicer_thresholds))
-    parts = cut(part_ops.with_headers(parts, cfg.header_tokens, cfg.rules()).drop("head"))
+    parts = staged(part_ops.split_parts(tables, cfg.slicer_header_rows, cfg.slicer_thresholds))
+    parts = staged(part_ops.with_headers(parts, cfg.header_tokens, cfg.rules()).drop("head"))
     many = reaches(parts, "seq", cfg.bucket_rows)
     parts = parts.withColumn("part_bucket", bucket_of("seq", cfg.bucket_rows))
     shared = {"bucket_rows": cfg.bucket_rows, "carry": many, "bucket": "part_bucket"}
@@ -250,7 +257,7 @@ def part_rows(
         F.size("data_names") > 0
     )
     shaped = (
-        rows.withColumn("bucket", bucket_of("row_idx", cfg.bucket_rows))
+        with_bucket(rows, cfg.bucket_rows)
         .join(placed, [*PAGE, "bucket"])
         .select(
             "doc_id", "page_num", "page_pos", "bucket", "row_idx", "cells",
@@ -350,20 +357,36 @@ def run_report(
     """
     cfg = cfg or ReportConfig()
     as_of = F.current_date() if as_of is None else as_of
-    config = pages if isinstance(pages, DataFrame) else grid.page_config(spark, pages)
-    documents = rows.select("doc_id").distinct()
-    rows = grid.configured_rows(rows, config, cfg.bucket_rows)
+    with folders_made() as made:
+        result = _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys)
+    result.folders = made
+    return result
+
+
+def stage_pages(spark: SparkSession, rows: DataFrame, config: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """The rows of the configured pages as the job needs them, dealt by page and bucket once and for all.
+
+    Every later pass over the rows joins, groups or orders them inside these buckets, so none of them moves a row again.
+    """
+    n = partitions(spark)
+    rows = grid.configured_rows(rows, config, cfg.bucket_rows, n)
     if "timestamp_utc" in rows.columns:
         kind = rows.schema["timestamp_utc"].dataType.simpleString()
         read = utc_naive(F.col("timestamp_utc"), kind)
         rows = rows.withColumn("bad_time", F.col("timestamp_utc").isNotNull() & read.isNull())
-    rows = cut(rows)  # the raw rows are read and shuffled once; every pass reads its columns of these
+    return staged_by(rows, [*PAGE, "bucket"], ["row_idx"], n)
+
+
+def _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys) -> ReportResult:
+    config = pages if isinstance(pages, DataFrame) else grid.page_config(spark, pages)
+    documents = rows.select("doc_id").distinct()
+    rows = stage_pages(spark, rows, config, cfg)
 
-    heads = cut(find_pages(rows, cfg))
+    heads = staged(find_pages(rows, cfg))
     long_pages = reaches(heads, "n_rows", cfg.bucket_rows + 1)
-    starts = cut(find_tables(rows, heads, cfg, long_pages))
-    parts = cut(check_parts(find_parts(rows, starts, cfg), cfg))
-    parts = cut(add_periods(parts, cfg, as_of))
+    starts = staged(find_tables(rows, heads, cfg, long_pages))
+    parts = staged(check_parts(find_parts(rows, starts, cfg), cfg))
+    parts = staged(add_periods(parts, cfg, as_of))
 
     clean = parts.filter(F.col("emitted") & ~F.col("is_problem"))
     shaped = part_rows(rows, clean, cfg, long_pages)
@@ -373,7 +396,7 @@ def run_report(
 
     decided = None
     if decisions is None:
-        shaped = cut(shaped)
+        shaped = staged(shaped)
         total = clean.agg(F.sum("n_data")).first()[0] or 1
         decided = typing.decide_types(
             typing.column_profile(shaped, text_entries(cfg)),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reportgrid.functions.cells import let
 from reportgrid.operators.scans import BUCKET_ROWS, bucket_of, page_buckets
+from reportgrid.sources import staging
 
 # A literal page list up to this size is broadcast; a longer one is joined as Spark sees fit.
 MAX_BROADCAST_PAGES = 100_000
@@ -44,27 +45,32 @@ def fit_cells(cells: Column, width: Column) -> Column:
 
 
 def configured_rows(
-    rows: DataFrame, config: DataFrame, bucket_rows: int = BUCKET_ROWS
+    rows: DataFrame, config: DataFrame, bucket_rows: int = BUCKET_ROWS, partitions: int | None = None
 ) -> DataFrame:
     """Rows of the configured pages, with ``page_pos`` and ``n_col`` and cells cut to width.
 
     ``narrow`` marks rows with fewer cells than configured. A list that names documents is
-    joined by page and row bucket, so that the rows of one long page meet it in many tasks.
+    joined by page and row bucket, so that the rows of one long page meet it in many tasks. With ``partitions`` the rows
+    come dealt to so many by page and ``bucket``; a list that names documents meets them there, without another exchange.
     """
+    place = ["doc_id", "page_num", "bucket"]
     extra = [c for c in ("page_pos", "n_col") if c in rows.columns]
     rows = rows.drop(*extra)
     if "doc_id" in config.columns:
         extent = rows.groupBy("doc_id", "page_num").agg((F.max("row_idx") + 1).alias("n_rows"))
         buckets = page_buckets(extent.join(config, ["doc_id", "page_num"]), bucket_rows)
-        joined = rows.withColumn("bucket", bucket_of("row_idx", bucket_rows)).join(
-            buckets.drop("n_rows"), ["doc_id", "page_num", "bucket"]
-        )
-        joined = joined.drop("bucket")
+        rows = rows.withColumn("bucket", bucket_of("row_idx", bucket_rows))
+        if partitions:
+            rows = rows.repartition(partitions, *place)
+        joined = rows.join(buckets.drop("n_rows"), place)
     else:
-        joined = rows.join(config, "page_num")
-    return joined.withColumn("narrow", F.size("cells") < F.col("n_col")).withColumn(
+        joined = rows.join(config, "page_num").withColumn("bucket", bucket_of("row_idx", bucket_rows))
+        if partitions:
+            joined = joined.repartition(partitions, *place)
+    fitted = joined.withColumn("narrow", F.size("cells") < F.col("n_col")).withColumn(
         "cells", fit_cells(F.col("cells"), F.col("n_col"))
     )
+    return fitted if partitions else fitted.drop("bucket")
 
 
 def missing_pages(
@@ -97,15 +103,48 @@ def _per_document(documents: DataFrame, pages: DataFrame) -> DataFrame:
     return documents.withColumn("__one", F.lit(1)).join(listed, "__one").select("doc_id", F.inline("__list"))
 
 
-def rows_from_cells(cells: DataFrame, config: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def page_extents(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One record per page of a rows table, ``width`` and ``height`` as read, to go with its cells."""
+    return rows.groupBy("doc_id", "page_num").agg(
+        F.max(F.size("cells")).alias("width"),
+        (F.max("row_idx") + 1).cast("int").alias("height"),
+        *[F.min(c).alias(c) for c in keep],
+    )
+
+
+def rows_from_cells(
+    cells: DataFrame,
+    config: DataFrame,
+    keep: tuple[str, ...] = (),
+    extents: DataFrame | None = None,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
     """Grid rows from one record per cell; only cells inside the configured width count.
 
     A row without a cell stands between those that have some: up to a page's last row none is missing. ``repeated`` marks
     rows with two cells in one place, of which the smaller value is kept. A row gathers at most its cells.
+
+    Cells alone do not tell a narrow page from one whose last columns are blank, nor how many blank rows end it.
+    ``extents`` (``doc_id, page_num, width, height`` and the columns to keep) says so: rows are as wide as their page was read,
+    up to the configured width, and as many; a page without any cell has blank rows. Cells beyond their page's extent,
+    and pages without one, are left out.
     """
-    page = ["doc_id", "page_pos", "page_num", "n_col"]
-    placed = cells.join(config, _page_keys(config))
-    inside = (F.col("col_idx") >= 0) & (F.col("col_idx") < F.col("n_col"))
+    page = ["doc_id", "page_pos", "page_num", "n_col", "width"]
+    if extents is None:
+        placed = cells.join(config, _page_keys(config)).withColumn("width", F.col("n_col"))
+    else:
+        pages = extents.join(config, _page_keys(config)).withColumn("width", F.least("width", "n_col"))
+        pages = pages.withColumn("n_rows", F.col("height"))
+        # by page and row bucket, so that the cells of one long page meet its extent in many tasks
+        buckets = page_buckets(pages.filter("n_rows > 0"), bucket_rows).drop("n_rows")
+        placed = (
+            cells.drop(*keep)
+            .withColumn("bucket", bucket_of("row_idx", bucket_rows))
+            .join(buckets, ["doc_id", "page_num", "bucket"])
+            .filter("row_idx >= 0 AND row_idx < height")
+            .drop("bucket", "height")
+        )
+    inside = (F.col("col_idx") >= 0) & (F.col("col_idx") < F.col("width"))
     entry = F.struct("col_idx", "value")
     gathered = (
         placed.groupBy(*page, "row_idx", *keep)
@@ -119,21 +158,29 @@ def rows_from_cells(cells: DataFrame, config: DataFrame, keep: tuple[str, ...] =
     at = F.map_from_entries(first)
     looked_up = let(
         at,
-        lambda m: F.transform(F.sequence(F.lit(0), F.col("n_col") - 1), lambda i: F.try_element_at(m, i)),
+        lambda m: F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.try_element_at(m, i)),
     )
-    complete = (F.size("__list") == F.col("n_col")) & ~F.col("repeated")
+    complete = (F.size("__list") == F.col("width")) & ~F.col("repeated")
     rows = gathered.withColumn(
-        "cells", F.when(complete, F.transform("__list", lambda x: x["value"])).otherwise(looked_up)
+        "cells",
+        F.when(complete, F.transform("__list", lambda x: x["value"]))
+        .when(F.col("width") > 0, looked_up)
+        .otherwise(F.array().cast("array<string>")),
     ).drop("__list")
-    extent = placed.groupBy(*page).agg(
-        F.max("row_idx").alias("__last"),
-        F.count_distinct("row_idx").alias("__n"),
-        *[F.min(c).alias(c) for c in keep],
-    )
-    # only pages with a gap are filled
+    if extents is None:
+        held = placed.groupBy(*page).agg(
+            (F.max("row_idx") + 1).alias("n_rows"),
+            F.count_distinct("row_idx").alias("__n"),
+            *[F.min(c).alias(c) for c in keep],
+        )
+    else:
+        seen = placed.groupBy("doc_id", "page_num").agg(F.count_distinct("row_idx").alias("__n"))
+        held = pages.join(seen, ["doc_id", "page_num"], "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
+    # only pages with a gap are filled, bucket by bucket
+    end = F.least((F.col("bucket") + 1) * bucket_rows, F.col("n_rows")) - 1
     blank = (
-        extent.filter(F.col("__n") <= F.col("__last"))
-        .withColumn("row_idx", F.explode(F.sequence(F.lit(0).cast("int"), F.col("__last").cast("int"))))
+        page_buckets(held.filter("n_rows > 0 AND __n < n_rows"), bucket_rows)
+        .withColumn("row_idx", F.explode(F.sequence((F.col("bucket") * bucket_rows).cast("int"), end.cast("int"))))
         .join(rows.select("doc_id", "page_num", "row_idx"), ["doc_id", "page_num", "row_idx"], "left_anti")
     )
     blank = blank.select(
@@ -141,9 +188,9 @@ def rows_from_cells(cells: DataFrame, config: DataFrame, keep: tuple[str, ...] =
         "row_idx",
         *keep,
         F.lit(False).alias("repeated"),
-        F.array_repeat(F.lit(None).cast("string"), F.col("n_col")).alias("cells"),
+        F.array_repeat(F.lit(None).cast("string"), F.col("width")).alias("cells"),
     )
-    return rows.unionByName(blank)
+    return rows.unionByName(blank).drop("width")
 
 
 def read_rows(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
@@ -166,13 +213,17 @@ def read_cells(spark: SparkSession, path: str, fmt: str = "parquet", **options)
     return reader.parquet(path) if fmt == "parquet" else reader.schema(schema).format(fmt).load(path)
 
 
-def stage_rows(rows: DataFrame, table: str, buckets: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Writes rows as a table bucketed by page and row bucket; scans of it need no exchange."""
-    (
-        rows.withColumn("bucket", bucket_of("row_idx", bucket_rows))
-        .write.mode("overwrite")
-        .bucketBy(buckets, "doc_id", "page_num", "bucket")
-        .sortBy("doc_id", "page_num", "bucket", "row_idx")
-        .saveAsTable(table)
-    )
-    return rows.sparkSession.table(table)
+def read_extents(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """The pages of a cells table as they were read: ``doc_id, page_num, width, height, run_id, timestamp_utc``."""
+    schema = "doc_id bigint, page_num int, width int, height int, run_id string, timestamp_utc string"
+    reader = spark.read.options(**options)
+    return reader.parquet(path) if fmt == "parquet" else reader.schema(schema).format(fmt).load(path)
+
+
+def stage_rows(
+    rows: DataFrame, config: DataFrame, bucket_rows: int = BUCKET_ROWS, partitions: int | None = None
+) -> DataFrame:
+    """The configured rows, dealt once by page and ``bucket`` and written so: scans of them need no exchange by these keys."""
+    n = partitions or staging.partitions(rows.sparkSession)
+    fitted = configured_rows(rows, config, bucket_rows, n)
+    return staging.staged_by(fitted, ["doc_id", "page_num", "bucket"], ["row_idx"], n)

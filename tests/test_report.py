@@ -11,7 +11,7 @@ from reportgrid.plans import report as R
 from reportgrid.plans import views as V
 from reportgrid.sinks import writers
 from reportgrid.sources import grid as G
-from reportgrid.sources.grid import stage_rows
+from reportgrid.sources import staging
 
 AS_OF = "2026-03-15"
 H1 = ["December", "Act", "Act", "Bdg", "vs Act", "", "vs Bdg", ""]
@@ -179,6 +179,81 @@ def test_a_page_with_most_rows_spreads(spark):
 
 
 def test_staged_rows_need_no_shuffle(spark):
-    staged = stage_rows(grid(spark, {1: PAGE, 2: PAGE}), "staged_rows", 4)
+    staged = G.stage_rows(grid(spark, {1: PAGE, 2: PAGE}, page=5), G.page_config(spark, {5: 8}))
     counted = staged.groupBy("doc_id", "page_num", "bucket").agg(F.max("row_idx"))
-    assert "Exchange" not in plan_of(counted)
+    assert "Exchange" not in plan_of(counted) and counted.count() == 2
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("staged_")]
+
+
+def exchanges_of_rows(plan):
+    """The exchanges of a formatted plan that move rows with their cells."""
+    nodes = plan.split("\n\n")
+    return [n for n in nodes if " Exchange" in n.split("\n")[0] and any("cells#" in line for line in n.split("\n") if line.startswith("Input"))]
+
+
+def plans_written(monkeypatch, *modules):
+    """The plans of all frames that are staged, as they are before they run."""
+    plans = []
+    for module in modules:
+        for name in ("staged", "staged_by"):
+            make = getattr(module, name, None)
+            if make:
+
+                def seen(df, *args, make=make, **options):
+                    plans.append(df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted"))
+                    return make(df, *args, **options)
+
+                monkeypatch.setattr(module, name, seen)
+    return plans
+
+
+@pytest.mark.parametrize("pages", ["listed", "by document"])
+def test_rows_move_once(spark, sf_dir, monkeypatch, pages):
+    """Over the whole job one exchange holds rows with their cells, broadcasts or not."""
+    rows, config = V.report_grid(spark, sf_dir)
+    rows = staging.staged(rows)
+    if pages == "listed":
+        rows, config = rows.withColumn("page_num", F.lit(3)), {3: 8}
+    monkeypatch.setattr(G.staging, "staged_by", staging.staged_by)
+    plans = plans_written(monkeypatch, R, splits)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = R.run_report(spark, rows, config, ReportConfig(), F.lit(AS_OF).cast("date"), strict_columns=False)
+        plans.append(out.facts._sc._jvm.PythonSQLUtils.explainString(out.facts._jdf.queryExecution(), "formatted"))
+        quarantine = out.quarantine._sc._jvm.PythonSQLUtils.explainString(out.quarantine._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) > 6
+    assert sum(len(exchanges_of_rows(plan)) for plan in plans) == 1
+    assert not exchanges_of_rows(quarantine)
+
+
+def test_a_run_gives_its_folders_back(spark):
+    out = run(spark, {1: PAGE})
+    assert out.facts.count() == 6 and out.folders
+    out.release()
+    assert not out.folders
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FileNotFound|FILE_NOT_EXIST"):
+        out.rows.withColumn("again", F.lit(1)).count()
+
+
+def cells_of(rows, keep=("run_id", "timestamp_utc")):
+    cells = rows.select("doc_id", "page_num", "row_idx", *keep, F.posexplode("cells").alias("col_idx", "value"))
+    return cells.filter("value <> ''"), G.page_extents(rows, keep)
+
+
+def test_page_extents_tell_narrow_pages_and_blank_rows(spark):
+    keep = ("run_id", "timestamp_utc")
+    narrow, tail = [r[:7] for r in PAGE], [*PAGE, wide(), wide()]
+    rows = grid(spark, {1: PAGE, 2: narrow, 3: tail, 4: [wide(), wide()], 5: [r + ["more"] for r in PAGE]}, page=5)
+    cells, extents = cells_of(rows)
+    for bucket_rows in (1024, 5):
+        again = G.rows_from_cells(cells, G.page_config(spark, {5: 8}), keep, extents, bucket_rows)
+        want = rows.select("doc_id", "row_idx", F.transform(F.slice("cells", 1, 8), lambda c: F.nullif(c, F.lit(""))).alias("cells"))
+        assert rows_of(again.select("doc_id", "row_idx", "cells")) == rows_of(want)
+        assert again.filter("run_id IS NULL OR timestamp_utc IS NULL").count() == 0
+    out = R.run_report(spark, again, {5: 8}, ReportConfig(final_columns=FINAL), F.lit(AS_OF).cast("date"))
+    assert {(r.doc_id, r.e_des.split(":")[0]) for r in out.errors.collect()} == {(2, "NARROW_GRID")}
+    beyond = cells.withColumn("row_idx", F.col("row_idx") + 1000)
+    assert G.rows_from_cells(beyond, G.page_config(spark, {5: 8}), keep, extents).filter("size(filter(cells, c -> c IS NOT NULL)) > 0").count() == 0
+    assert G.rows_from_cells(cells, G.page_config(spark, {5: 8}), keep, extents.limit(0)).count() == 0
