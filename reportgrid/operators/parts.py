@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from reportgrid.functions.cells import let, norm_row, positional_similarity
 from reportgrid.functions.headers import infer_header
+from reportgrid.operators.dictionary import by_distinct
 from reportgrid.operators.scans import BUCKET_ROWS, bucket_of, running
 from reportgrid.operators.titles import head_entry, title_at
 
+#: About the milliseconds that reading a pair of header rows takes.
+HEADER_COST = 5.0
+
 NO_HEADER, HEADER_WIDTH, NO_ITEM, NARROW, MISSING, GAPS, REPEATED, BAD_TIME = (
     "NO_HEADER", "HEADER_WIDTH", "NO_ITEM_AGG", "NARROW_GRID", "MISSING_PAGE", "MISSING_ROWS", "REPEATED_CELLS",
     "BAD_TIMESTAMP",
@@ -118,18 +122,17 @@ def infer_headers(
 ) -> DataFrame:
     """Adds ``header`` for two header rows, null when they are none.
 
-    Reports repeat their headers, so each distinct pair of rows is read once and joined back. Where
-    very many records share a pair, the join's skewed partition is split at run time, by its measured size.
+    Reports repeat their headers, so each distinct pair of rows is read once, under a number that the records carry in
+    place of the rows. Where very many records share a pair, the join's skewed partition is split at run time, by its measured size.
     """
-    keyed = df.withColumns({"__r1": norm_row(row1), "__r2": norm_row(row2)})
-    pairs = (
-        keyed.select("__r1", "__r2")
-        .filter(F.col("__r1").isNotNull() & F.col("__r2").isNotNull())
-        .distinct()
+    first, second = norm_row(row1), norm_row(row2)
+    return by_distinct(
+        df,
+        {"row1": first, "row2": second},
+        lambda pairs: {"header": infer_header(F.col("row1"), F.col("row2"), tokens, rules)},
+        HEADER_COST,
+        first.isNotNull() & second.isNotNull(),
     )
-    known = pairs.withColumn("header", infer_header(F.col("__r1"), F.col("__r2"), tokens, rules))
-    # no filter on the header here: it would move below the distinct and read every record
-    return keyed.join(known, ["__r1", "__r2"], "left").drop("__r1", "__r2")
 
 
 def with_headers(parts: DataFrame, tokens: Iterable[str], rules: Sequence[dict]) -> DataFrame:

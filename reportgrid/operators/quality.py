@@ -15,7 +15,10 @@ from reportgrid.functions.names import (
     has_bad_token,
     is_numeric_name,
 )
+from reportgrid.operators.dictionary import by_distinct
 
+#: About the milliseconds that checking a list of names takes.
+CHECK_COST = 1.0
 # Issue codes in reporting order, and their names in the event texts.
 ISSUES = (
     ("dup", "DUPLICATE_COLS", "DUPLICATE_COLS"),
@@ -42,13 +45,18 @@ def name_checks(names: Column, bad_tokens: Iterable[str] | None = None) -> Colum
 def with_checks(
     parts: DataFrame, names: Column, bad_tokens: Iterable[str] | None = None
 ) -> DataFrame:
-    """Adds ``checks``, ``n_names``, the joined ``issues`` and ``is_problem``."""
+    """Adds ``checks``, ``n_names``, the joined ``issues`` and ``is_problem``.
+
+    Parts share their lists of names, as they share their headers: each different list is checked once.
+    """
+    checked = by_distinct(
+        parts, {"names": names}, lambda lists: {"checks": name_checks(F.col("names"), bad_tokens)}, CHECK_COST
+    )
     issues = F.concat_ws(
         "|", *[F.when(F.size(F.col(f"checks.{c}")) > 0, code) for c, code, _ in ISSUES]
     )
     return (
-        parts.withColumn("checks", name_checks(names, bad_tokens))
-        .withColumn("n_names", F.size(names))
+        checked.withColumn("n_names", F.size(names))
         .withColumn("issues", issues)
         .withColumn("is_problem", F.col("issues") != "")
     )
