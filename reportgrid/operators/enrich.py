@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,45 +77,108 @@ def map_period_start(
     return join_periods(rows, dated, keys, label)
 
 
-def page_map(spark: SparkSession, chapters: Mapping[str, Mapping[str, Sequence[int]]]) -> DataFrame:
-    """``page_num, capitolo, sottocapitolo`` with inclusive ranges spread out; later ones win.
+Range = tuple[int, int, str, str]
 
-    Broadcast as long as the ranges hold no more pages than a literal page list may.
-    """
-    ranges = [
-        (order, chapter, sub, int(lo), int(hi))
-        for order, (chapter, sub, (lo, hi)) in enumerate(
-            (c, s, r) for c, subs in chapters.items() for s, r in subs.items()
-        )
-    ]
-    frame = spark.createDataFrame(
-        ranges, "ord int, capitolo string, sottocapitolo string, lo int, hi int"
-    )
-    pages = (
-        frame.filter("lo <= hi")
-        .withColumn("page_num", F.explode(F.sequence("lo", "hi")))
-        .groupBy("page_num")
-        .agg(F.max(F.struct("ord", "capitolo", "sottocapitolo")).alias("c"))
-        .select("page_num", "c.capitolo", "c.sottocapitolo")
-    )
-    small = sum(hi - lo + 1 for *_, lo, hi in ranges if lo <= hi) <= MAX_BROADCAST_PAGES
-    return F.broadcast(pages) if small else pages
 
+def chapter_ranges(chapters: Mapping[str, Mapping[str, Sequence[int]]]) -> list[Range]:
+    """``(first, last, chapter, sub-chapter)`` in the order given; empty ranges go."""
+    listed = ((int(lo), int(hi), c, s) for c, subs in chapters.items() for s, (lo, hi) in subs.items())
+    return [r for r in listed if r[0] <= r[1]]
 
-def overlapping_pages(chapters: Mapping[str, Mapping[str, Sequence[int]]]) -> list[int]:
-    """Pages named by more than one range, for a warning."""
-    seen: dict[int, int] = {}
-    for subs in chapters.values():
-        for lo, hi in subs.values():
-            for page in range(lo, hi + 1):
-                seen[page] = seen.get(page, 0) + 1
-    return sorted(p for p, n in seen.items() if n > 1)
 
+def disjoint_ranges(ranges: Sequence[Range]) -> list[Range]:
+    """The same lookup without overlaps: where ranges overlap the later one counts.
 
-def with_chapters(rows: DataFrame, pages: DataFrame, page: str = "page_num") -> DataFrame:
-    """Adds chapter and sub-chapter; the page map holds one record per configured page."""
-    lookup = pages.withColumnRenamed("page_num", "__page")
-    return rows.join(lookup, F.col(page) == F.col("__page"), "left").drop("__page")
+    A sweep over the ends of the ranges; a heap holds those that are open, the latest on top. Its work follows from the
+    number of ranges, not from how many pages they span.
+    """
+    begins = sorted((lo, k) for k, (lo, *_) in enumerate(ranges))
+    points = sorted({end for lo, hi, *_ in ranges for end in (lo, hi + 1)})
+    open_: list[tuple[int, int]] = []
+    out: list[Range] = []
+    of, at = None, 0
+    for low, high in zip(points, points[1:]):
+        while at < len(begins) and begins[at][0] == low:
+            k = begins[at][1]
+            heapq.heappush(open_, (-k, ranges[k][1]))
+            at += 1
+        while open_ and open_[0][1] < low:
+            heapq.heappop(open_)
+        if not open_:
+            of = None
+            continue
+        k = -open_[0][0]
+        if k == of and out[-1][1] == low - 1:
+            out[-1] = (out[-1][0], high - 1, *ranges[k][2:])
+        else:
+            out.append((low, high - 1, *ranges[k][2:]))
+        of = k
+    return out
+
+
+@dataclass(frozen=True)
+class ChapterIndex:
+    """Disjoint ranges, each under the one or two blocks of pages that hold it, and the sizes of these blocks."""
+
+    blocks: DataFrame
+    levels: tuple[int, ...]
+
+
+def chapter_index(spark: SparkSession, chapters: Mapping[str, Mapping[str, Sequence[int]]]) -> ChapterIndex:
+    """An index over the ranges of a chapter map, of any width; a later range wins.
+
+    Level ``k`` has blocks of ``2**k`` pages. A range stands on the lowest level on which it lies in two blocks at most, so there are at
+    most two records a range, and a page looks into one block on each of the levels in use.
+    """
+    records = []
+    for lo, hi, chapter, sub in disjoint_ranges(chapter_ranges(chapters)):
+        level = max(0, (hi - lo).bit_length() - 1)
+        while (hi >> level) - (lo >> level) > 1:
+            level += 1
+        records += [(level, block, lo, hi, chapter, sub) for block in range(lo >> level, (hi >> level) + 1)]
+    shape = "level int, block long, lo long, hi long, capitolo string, sottocapitolo string"
+    levels = tuple(sorted({r[0] for r in records}))
+    frame = spark.createDataFrame(records, shape)
+    return ChapterIndex(F.broadcast(frame) if len(records) <= MAX_BROADCAST_PAGES else frame, levels)
+
+
+def overlapping_ranges(chapters: Mapping[str, Mapping[str, Sequence[int]]]) -> list[tuple[int, int]]:
+    """Stretches of pages named by more than one range, for a warning."""
+    ends = sorted(end for lo, hi, *_ in chapter_ranges(chapters) for end in ((lo, 1), (hi + 1, -1)))
+    out: list[tuple[int, int]] = []
+    depth, since = 0, 0
+    for at, step in ends:
+        if depth < 2 <= depth + step:
+            since = at
+        elif depth + step < 2 <= depth and since < at:
+            if out and out[-1][1] == since - 1:
+                since = out.pop()[0]
+            out.append((since, at - 1))
+        depth += step
+    return out
+
+
+def with_chapters(
+    rows: DataFrame, index: ChapterIndex, page: str = "page_num", pages: DataFrame | None = None
+) -> DataFrame:
+    """Adds chapter and sub-chapter. Each different page is looked up once, in one block of each level.
+
+    ``pages`` may name a smaller frame that holds all pages of the rows; else they are read from the rows.
+    """
+    number = F.col(page).cast("long")
+    if not index.levels:
+        return rows.withColumns({c: F.lit(None).cast("string") for c in ("capitolo", "sottocapitolo")})
+    keys = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(number, k).alias("block")) for k in index.levels])
+    found = (
+        (rows if pages is None else pages)
+        .select(page)
+        .distinct()
+        .select(number.alias("__page"), F.inline(keys))
+        .join(index.blocks, ["level", "block"])
+        .filter("lo <= __page AND __page <= hi")
+        .select("__page", "capitolo", "sottocapitolo")
+    )
+    return rows.join(found, number == F.col("__page"), "left").drop("__page")
 
 
 def group_label(

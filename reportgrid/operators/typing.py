@@ -79,6 +79,32 @@ def wide_profile(rows: DataFrame, columns: Sequence[str], kinds: Sequence[str] =
     return one.select("n_rows", F.inline(records)).filter("n_values > 0")
 
 
+#: What a profile counts; two profiles merge by adding these up.
+COUNTS = ("n_values", "n_percent", "n_digit", "lost_percent", "lost_number")
+
+
+def with_rows(profile: DataFrame, n_rows: Column) -> DataFrame:
+    """A profile with the number of rows it was taken over, as :func:`merge_profiles` needs it."""
+    return profile.withColumn("n_rows", n_rows.cast("long"))
+
+
+def merge_profiles(*profiles: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The profile of all rows from those of batches, each with ``n_rows``; no row is read again.
+
+    A column that a batch does not hold counts as null in its rows. Each profile has at least one column of its batch.
+    """
+    batches = [p.withColumn("__batch", F.lit(k)) for k, p in enumerate(profiles)]
+    every = batches[0]
+    for batch in batches[1:]:
+        every = every.unionByName(batch)
+    sums = every.groupBy(*keys, "name").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    sizes = every.groupBy(*keys, "__batch").agg(F.max("n_rows").alias("n_rows"))
+    if keys:
+        return sums.join(sizes.groupBy(*keys).agg(F.sum("n_rows").alias("n_rows")), list(keys))
+    total = sizes.agg(F.sum("n_rows").alias("n_rows")).withColumn("__one", F.lit(1))
+    return sums.withColumn("__one", F.lit(1)).join(F.broadcast(total), "__one").drop("__one")
+
+
 def decide_types(
     profile: DataFrame,
     total_rows: Column,

@@ -630,6 +630,17 @@ def oracles() -> dict[str, str]:
               THEN 'MONTH' ELSE period_agg END AS period_desc FROM labels"""),
         "chapter_lookup": q(CHAPTER, """SELECT p_partkey, p_size + 28 AS page_num, c.capitolo, c.sottocapitolo
               FROM part LEFT JOIN chapter c ON c.page_num = p_size + 28"""),
+        "chapter_ranges": """SELECT o_orderkey, o_orderkey AS page_num,
+              CASE WHEN o_orderkey BETWEEN 400000 AND 999999995 OR o_orderkey BETWEEN 100 AND 20000 OR o_orderkey = 7 THEN 'odd'
+                WHEN o_orderkey BETWEEN 0 AND 1000000000 THEN 'all' END AS capitolo,
+              CASE WHEN o_orderkey BETWEEN 400000 AND 999999995 THEN 'far' WHEN o_orderkey BETWEEN 3000 AND 20000 THEN 'mid'
+                WHEN o_orderkey = 7 THEN 'one' WHEN o_orderkey BETWEEN 100 AND 4999 THEN 'low'
+                WHEN o_orderkey BETWEEN 0 AND 1000000000 THEN 'all' END AS sottocapitolo FROM orders""",
+        "merged_profile": q(LONG, """SELECT name, n_values, n_percent, n_digit, lost_percent, lost_number,
+              (SELECT count(*) FROM lineitem) AS n_rows FROM prof WHERE n_values > 0"""),
+        "table_replace": q(SALES, """SELECT l_orderkey, l_linenumber, part FROM sales s
+              WHERE NOT (l_orderkey % 5 = 0 AND EXISTS (SELECT 1 FROM lineitem x WHERE x.l_orderkey = s.l_orderkey AND x.l_linenumber > 1))
+              UNION ALL SELECT l_orderkey, l_linenumber, 'again' FROM lineitem WHERE l_orderkey % 5 = 0 AND l_linenumber > 1"""),
         "report_facts": q(FACTS, FACT_SELECT),
         "report_from_cells": q(FACTS, FACT_SELECT),
         "smart_percent_by_doc": q(SPOILED, f"""SELECT l_orderkey, l_linenumber, s.doc, CASE WHEN is_pct THEN {pct('discount')} END AS discount,
@@ -645,6 +656,16 @@ def oracles() -> dict[str, str]:
         "quarantine_sink": q(PARTS, """SELECT doc_id, CAST(doc_id % 80 AS INTEGER) AS page_num, count(*) AS parts,
               CAST(sum(n_data) AS BIGINT) AS n_rows, CAST(sum(n_data) * 8 AS BIGINT) AS n_cells FROM part_list
               WHERE fault = 10 AND side = 1 AND n_data > 0 GROUP BY doc_id"""),
+        "quarantine_manifest": q(PARTS, """SELECT doc_id, CAST(doc_id % 80 AS INTEGER) AS page_num, 1 AS part_idx,
+              CAST(n_data * 8 AS BIGINT) AS n_cells, CAST(first_data AS INTEGER) AS first_row,
+              CAST(first_data + n_data - 1 AS INTEGER) AS last_row FROM part_list WHERE fault = 10 AND side = 1 AND n_data > 0"""),
+        "written_report": q(FACTS + ", " + ERRORS + """,
+              n AS (SELECT 'facts' AS output, (SELECT count(*) FROM shown) AS n UNION ALL
+                SELECT 'qc_summary', (SELECT sum(CASE WHEN c_custkey % 20 IN (6, 12) THEN 0 WHEN c_custkey % 20 = 8 THEN 1 ELSE 2 END)
+                  FROM customer)::BIGINT UNION ALL
+                SELECT 'errors', (SELECT count(*) FROM errs WHERE e_des IS NOT NULL) UNION ALL
+                SELECT 'quarantine', (SELECT count(*) FROM customer WHERE c_custkey % 20 = 10))""",
+              "SELECT output, n AS forecast, n AS written, true AS agrees FROM n"),
         "report_errors": q(ERRORS, "SELECT * FROM errs WHERE e_des IS NOT NULL"),
         "errors_from_cells": q(ERRORS, "SELECT * FROM errs WHERE e_des IS NOT NULL"),
         "report_parts": q(PARTS, f"""SELECT doc_id, table_id, part_id, CAST(parent_id AS INTEGER) AS parent_id,

@@ -528,7 +528,8 @@ def bad_names(spark, sf_dir):
 
 def _checked(spark, sf_dir) -> DataFrame:
     fixed = F.array(F.lit("run_id"), F.lit("page_num"))
-    pairs = _names(spark, sf_dir).withColumn("page_num", (F.col("id") % 100).cast("int"))
+    # the names are made once: the dictionary of the checks and its users read them
+    pairs = staged(_names(spark, sf_dir).withColumn("page_num", (F.col("id") % 100).cast("int")))
     return quality.with_checks(pairs, F.concat(fixed, F.col("names"))).withColumn("idx", F.col("id"))
 
 
@@ -582,6 +583,16 @@ def column_profile(spark, sf_dir):
     return typing.column_profile(sales, typing.column_entries(V.SALES_COLUMNS))
 
 
+@query
+def merged_profile(spark, sf_dir):
+    """The profile of all sales, added up from those of two batches."""
+    sales = projection.without_sentinels(V.sales_text(spark, sf_dir))
+    entries = typing.column_entries(V.SALES_COLUMNS)
+    batches = [sales.filter(F.col("l_orderkey") % 3 == 0), sales.filter(F.col("l_orderkey") % 3 != 0)]
+    profiles = [staged(typing.with_rows(typing.column_profile(b, entries), F.lit(b.count()))) for b in batches]
+    return typing.merge_profiles(*profiles)
+
+
 @query
 def smart_percent(spark, sf_dir):
     sales = projection.without_sentinels(V.sales_text(spark, sf_dir))
@@ -653,9 +664,22 @@ def period_desc(spark, sf_dir):
 
 @query
 def chapter_lookup(spark, sf_dir):
-    pages = enrich.page_map(spark, CHAPTERS)
     parts = V.table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") + 28).alias("page_num"))
-    return enrich.with_chapters(parts, pages)
+    return enrich.with_chapters(parts, enrich.chapter_index(spark, CHAPTERS))
+
+
+#: Chapters of very many pages, which overlap: fixed values of the query.
+WIDE_CHAPTERS = {
+    "all": {"all": (0, 10**9)},
+    "odd": {"low": (100, 4_999), "one": (7, 7), "none": (9, 8), "mid": (3_000, 20_000), "far": (400_000, 10**9 - 5)},
+}
+
+
+@query
+def chapter_ranges(spark, sf_dir):
+    """Orders looked up in ranges of up to a thousand million pages, of which the later ones win."""
+    orders = V.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").alias("page_num"))
+    return enrich.with_chapters(orders, enrich.chapter_index(spark, WIDE_CHAPTERS))
 
 
 # --- the whole job ---------------------------------------------------------------------
@@ -702,6 +726,17 @@ def table_sink(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def table_replace(spark, sf_dir):
+    """A table of sales, then a further run in which some orders hold other lines: theirs are replaced, the rest stays."""
+    name = f"sink_{uuid.uuid4().hex}"
+    sales = V.sales_text(spark, sf_dir).select("l_orderkey", "l_linenumber", "part")
+    writers.replace_documents(sales, name, "l_orderkey", 4)
+    again = sales.filter("l_orderkey % 5 = 0 AND l_linenumber > 1").withColumn("part", F.lit("again"))
+    writers.replace_documents(again, name, "l_orderkey", 4)
+    return spark.table(name).drop(writers.SHARE)
+
+
 @query
 def file_sink(spark, sf_dir):
     """The same rows as parquet, JSON lines and CSV, read again."""
@@ -719,12 +754,15 @@ def file_sink(spark, sf_dir):
     ])
 
 
+def _packed(spark, sf_dir) -> str:
+    """The folder of the packed quarantine of a run."""
+    return writers.write_quarantine(run(spark, sf_dir, decisions={}).quarantine, new_folder(spark, "problems"))
+
+
 @query
 def quarantine_sink(spark, sf_dir):
-    """The cells of problem parts, a folder for each document, page and part, read again."""
-    folder = writers.write_quarantine(run(spark, sf_dir, decisions={}).quarantine, new_folder(spark, "problems"))
-    shape = "row_idx int, col_idx int, name string, value string, doc_id bigint, page_num int, part_idx int"
-    found = spark.read.schema(shape).option("header", True).csv(folder)
+    """The cells of problem parts, packed into files by their bytes and read again."""
+    found = writers.read_quarantine(spark, _packed(spark, sf_dir))
     return found.groupBy("doc_id", "page_num").agg(
         F.count_distinct("part_idx").alias("parts"),
         F.count_distinct("row_idx").alias("n_rows"),
@@ -732,6 +770,15 @@ def quarantine_sink(spark, sf_dir):
     )
 
 
+@query
+def quarantine_manifest(spark, sf_dir):
+    """What the manifest says of each part: its rows and cells, over all files that hold some."""
+    found = writers.read_manifest(spark, _packed(spark, sf_dir))
+    return found.groupBy("doc_id", "page_num", "part_idx").agg(
+        F.sum("n_cells").alias("n_cells"), F.min("first_row").alias("first_row"), F.max("last_row").alias("last_row")
+    )
+
+
 @query
 def report_errors(spark, sf_dir):
     return run(spark, sf_dir, decisions={}).errors
@@ -770,3 +817,15 @@ def report_lost_values(spark, sf_dir):
 @query
 def run_report(spark, sf_dir):
     return run(spark, sf_dir, decisions={}).report()
+
+
+@query
+def written_report(spark, sf_dir):
+    """What the sinks of a run wrote, as they counted it, beside the forecast from the parts."""
+    folder = new_folder(spark, "outputs")
+    paths = writers.OutputPaths(
+        facts=f"{folder}/facts.parquet", qc_summary=f"{folder}/qc.parquet", errors=f"{folder}/errors.parquet",
+        quarantine=f"{folder}/problems", run_report=f"{folder}/report.json",
+    )
+    writers.write_outputs(run(spark, sf_dir, decisions={}), paths)
+    return spark.read.schema(f"outputs {writers.OUTPUTS}").json(paths.run_report).select(F.inline("outputs"))

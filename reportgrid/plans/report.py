@@ -41,6 +41,7 @@ class ReportResult:
     long_pages: bool
     keys: tuple[str, ...]
     documents: DataFrame
+    profile: DataFrame | None = None
     folders: list[str] = field(default_factory=list)
 
     def release(self) -> None:
@@ -349,16 +350,18 @@ def run_report(
     decisions: dict[str, str] | None = None,
     strict_columns: bool = True,
     keys: tuple[str, ...] = ("doc_id",),
+    history: DataFrame | None = None,
 ) -> ReportResult:
     """Runs the job on a rows table (``doc_id, page_num, row_idx, cells, run_id, timestamp_utc``).
 
     ``pages`` maps page to column count, or is a frame ``[doc_id,] page_pos, page_num, n_col``.
-    ``decisions`` reuses the column types of an earlier run and saves the profiling pass.
+    ``decisions`` reuses the column types of an earlier run and saves the profiling pass. ``history`` is the ``profile`` of earlier
+    batches: the types are then decided over all batches, while only this one's rows are profiled.
     """
     cfg = cfg or ReportConfig()
     as_of = F.current_date() if as_of is None else as_of
     with folders_made() as made:
-        result = _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys)
+        result = _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys, history)
     result.folders = made
     return result
 
@@ -377,7 +380,7 @@ def stage_pages(spark: SparkSession, rows: DataFrame, config: DataFrame, cfg: Re
     return staged_by(rows, [*PAGE, "bucket"], ["row_idx"], n)
 
 
-def _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys) -> ReportResult:
+def _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys, history) -> ReportResult:
     config = pages if isinstance(pages, DataFrame) else grid.page_config(spark, pages)
     documents = rows.select("doc_id").distinct()
     rows = stage_pages(spark, rows, config, cfg)
@@ -390,17 +393,20 @@ def _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys) -> Rep
 
     clean = parts.filter(F.col("emitted") & ~F.col("is_problem"))
     shaped = part_rows(rows, clean, cfg, long_pages)
-    shaped = enrich.with_chapters(shaped, enrich.page_map(spark, cfg.chapters))
+    shaped = enrich.with_chapters(shaped, enrich.chapter_index(spark, cfg.chapters), pages=clean)
     if strict_columns:
         check_final_columns(parts, cfg)
 
-    decided = None
+    decided = profile = None
     if decisions is None:
         shaped = staged(shaped)
-        total = clean.agg(F.sum("n_data")).first()[0] or 1
+        total = clean.agg(F.sum("n_data")).first()[0] or 0
+        profile = typing.with_rows(typing.column_profile(shaped, text_entries(cfg)), F.lit(total))
+        if history is not None:
+            profile = typing.merge_profiles(staged(profile), history)
         decided = typing.decide_types(
-            typing.column_profile(shaped, text_entries(cfg)),
-            F.lit(total),
+            profile,
+            F.col("n_rows"),
             cfg.percent_threshold,
             cfg.percent_max_loss,
             cfg.numeric_threshold,
@@ -408,5 +414,5 @@ def _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys) -> Rep
         )
         decisions = typing.collect_decisions(decided, [*cfg.final_columns, "period_agg"])
     return ReportResult(
-        cfg, rows, pages, heads, parts, shaped, decisions, decided, long_pages, keys, documents
+        cfg, rows, pages, heads, parts, shaped, decisions, decided, long_pages, keys, documents, profile
     )

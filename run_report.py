@@ -11,13 +11,14 @@ from pyspark.sql import SparkSession
 from reportgrid.config import ReportConfig
 from reportgrid.plans.report import run_report
 from reportgrid.sinks.writers import OutputPaths, write_outputs
-from reportgrid.sources.grid import page_config, read_cells, read_rows, rows_from_cells
+from reportgrid.sources.grid import page_config, read_cells, read_extents, read_rows, rows_from_cells
 
 
 def main() -> None:
     args = argparse.ArgumentParser(description=__doc__)
     args.add_argument("--rows", help="rows table: doc_id, page_num, row_idx, cells, run_id, timestamp_utc")
     args.add_argument("--cells", help="cells table, in place of --rows")
+    args.add_argument("--extents", help="width and height of each page as read, beside --cells")
     args.add_argument("--pages", required=True, help="JSON file mapping page to column count")
     args.add_argument("--config", help="JSON settings; December defaults when absent")
     args.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
@@ -41,7 +42,8 @@ def main() -> None:
         rows = read_rows(spark, given.rows, given.format)
     else:
         cells = read_cells(spark, given.cells, given.format)
-        rows = rows_from_cells(cells, page_config(spark, pages), ("run_id", "timestamp_utc"))
+        extents = read_extents(spark, given.extents, given.format) if given.extents else None
+        rows = rows_from_cells(cells, page_config(spark, pages), ("run_id", "timestamp_utc"), extents)
     config = ReportConfig.from_json(given.config) if given.config else ReportConfig()
     result = run_report(spark, rows, pages, config)
     if given.no_write:
@@ -50,6 +52,7 @@ def main() -> None:
         write_outputs(result, OutputPaths.in_folder(given.output_dir, given.tag, table=given.table))
     else:
         write_outputs(result, OutputPaths(table=given.table))
+    result.release()
 
 
 if __name__ == "__main__":

@@ -4,7 +4,7 @@ import datetime
 import unicodedata
 
 import pytest
-from helpers import grid
+from helpers import grid, rows_of
 from pyspark.sql import functions as F
 from test_report import AS_OF, FINAL, H1, H2, PAGE, data, run, wide
 
@@ -136,11 +136,50 @@ def test_ordinals_of_sparse_positions(spark):
     assert all([o for _, o in sorted(x)] == list(range(len(x))) for x in by.values())
 
 
-def test_parts_of_documents_have_folders_of_their_own(spark, tmp_path):
-    odd = [*PAGE[:9], ["YTD", *H1[1:6], "vs Bdg*", ""], *PAGE[10:]]
-    from reportgrid.sinks.writers import write_quarantine
+def test_quarantine_is_packed_by_bytes(spark, tmp_path):
+    """Many parts in few files, many files for many bytes; the manifest tells where a part is."""
+    from reportgrid.sinks import writers
 
-    folder = write_quarantine(run(spark, {1: odd, 2: odd}).quarantine, str(tmp_path / "q"))
-    found = sorted(str(p.parent.relative_to(folder)) for p in (tmp_path / "q").glob("**/part-*.csv"))
-    assert found == ["doc_id=1/page_num=5/part_idx=1", "doc_id=2/page_num=5/part_idx=1"]
-    assert H2
+    odd = [*PAGE[:9], ["YTD", *H1[1:6], "vs Bdg*", ""], *PAGE[10:]]
+    problems = run(spark, {1: odd, 2: odd, 3: PAGE}).quarantine
+    whole = writers.write_quarantine(problems, str(tmp_path / "q.csv"))
+    assert whole == str(tmp_path / "q") and len(list((tmp_path / "q" / "cells").glob("part-*.csv"))) == 1
+    split = writers.write_quarantine(problems, str(tmp_path / "small"), file_bytes=300)
+    assert len(list((tmp_path / "small" / "cells").glob("part-*.csv"))) > 2
+    read = [rows_of(writers.read_quarantine(spark, folder)) for folder in (whole, split)]
+    assert read[0] == read[1] and len(read[0]) == 48 and {r[:3] for r in read[0]} == {(1, 5, 1), (2, 5, 1)}
+    listed = writers.read_manifest(spark, split).collect()
+    assert sum(r.n_cells for r in listed) == 48 and {(r.doc_id, r.part_idx) for r in listed} == {(1, 1), (2, 1)}
+    second = writers.read_quarantine(spark, split, F.col("doc_id") == 2)
+    assert rows_of(second) == [r for r in read[0] if r[0] == 2]
+    assert len(second.inputFiles()) < len(list((tmp_path / "small" / "cells").glob("part-*.csv")))
+    assert writers.read_quarantine(spark, split, F.col("doc_id") == 3).count() == 0
+    none = writers.write_quarantine(problems.limit(0), str(tmp_path / "none"))
+    assert writers.read_quarantine(spark, none).count() == 0 and writers.read_manifest(spark, none).count() == 0
+
+
+def test_a_failed_run_leaves_the_old_facts(spark):
+    from reportgrid.sinks import writers
+
+    old = spark.range(40).selectExpr("CAST(id % 8 AS BIGINT) AS doc_id", "id AS v")
+    writers.replace_documents(old, "facts_kept", shares=4)
+    fails = spark.range(0, 40, 1, 4).selectExpr("CAST(id % 8 AS BIGINT) AS doc_id", "IF(id = 39, raise_error('midway'), id + 100) AS v")
+    with pytest.raises(Exception, match="midway"):
+        writers.replace_documents(fails, "facts_kept", shares=4)
+    assert rows_of(spark.table("facts_kept").select("doc_id", "v")) == rows_of(old)
+    new = spark.createDataFrame([(3, 1000), (None, 5)], "doc_id bigint, v bigint")
+    for _ in range(2):  # the same run again changes nothing
+        writers.replace_documents(new, "facts_kept", shares=4)
+        found = rows_of(spark.table("facts_kept").select("doc_id", "v"))
+        assert found == sorted([r for r in rows_of(old) if r[0] != 3] + [(3, 1000), (None, 5)], key=repr)
+
+
+def test_profiles_of_batches_add_up(spark):
+    """Types decided over two batches, of which only the second is profiled, are those of both together."""
+    half = {k: [*PAGE[:5], data("Italy", k), ["Spain", "x", "y", "z", "", "", "", ""]] for k in range(1, 5)}
+    first, second = ({k: v for k, v in half.items() if k % 2 == odd} for odd in (0, 1))
+    whole = run(spark, half, CFG, strict_columns=False)
+    before = run(spark, first, CFG, strict_columns=False)
+    after = run(spark, second, CFG, strict_columns=False, history=before.profile)
+    assert after.decisions == whole.decisions
+    assert rows_of(after.profile.select(sorted(after.profile.columns))) == rows_of(whole.profile.select(sorted(whole.profile.columns)))

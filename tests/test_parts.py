@@ -105,14 +105,14 @@ def test_chapters(spark):
     from reportgrid.config import CHAPTERS
 
     pages = spark.createDataFrame([(p,) for p in (3, 4, 61, 62, 71, 72, 73, 76)], "page_num int")
-    out = enrich.with_chapters(pages, enrich.page_map(spark, CHAPTERS))
+    out = enrich.with_chapters(pages, enrich.chapter_index(spark, CHAPTERS))
     got = {r.page_num: (r.capitolo, r.sottocapitolo) for r in out.collect()}
     assert got == {
         3: ("OVERVIEW", "OVERVIEW"), 4: ("PHARMA", "OVERVIEW"), 61: ("PHARMA", "PRODUCTS"),
         62: ("CELL_BIOLOGY", "OVERVIEW"), 71: ("DIAGNOSTIC", "OVERVIEW"),
         72: (None, None), 73: (None, None), 76: (None, None),
     }
-    assert enrich.overlapping_pages(CHAPTERS) == [62, 63, 64, 65]
+    assert enrich.overlapping_ranges(CHAPTERS) == [(62, 65)]
 
 
 def test_projection(spark):
@@ -125,3 +125,31 @@ def test_projection(spark):
         projection.rename_columns(a, ["a"], ["x", "y"])
     with pytest.raises(ValueError):
         projection.select_final(a, ["zz"])
+
+
+def test_ranges_of_any_width(spark):
+    """Random overlapping ranges against a page-by-page lookup, and ranges of 10^9 pages."""
+    import random
+
+    rng = random.Random(4)
+    for n in (0, 1, 3, 12):
+        ranges = []
+        for k in range(n):
+            lo = rng.randrange(0, 60)
+            ranges.append((lo, lo + rng.choice([-1, 0, 1, 5, 30]), "c", f"s{k}"))
+        chapters = {"c": {s: (lo, hi) for lo, hi, _, s in ranges}}
+        want = {p: s for lo, hi, _, s in ranges for p in range(lo, hi + 1)}
+        flat = enrich.disjoint_ranges(enrich.chapter_ranges(chapters))
+        assert [p for lo, hi, *_ in flat for p in range(lo, hi + 1)] == sorted(want)
+        assert {p: s for lo, hi, _, s in flat for p in range(lo, hi + 1)} == want
+        depth = [sum(lo <= p <= hi for lo, hi, *_ in ranges) for p in range(100)]
+        assert [p for lo, hi in enrich.overlapping_ranges(chapters) for p in range(lo, hi + 1)] == [p for p in range(100) if depth[p] > 1]
+        pages = spark.range(-3, 100).withColumnRenamed("id", "page_num")
+        out = enrich.with_chapters(pages, enrich.chapter_index(spark, chapters)).collect()
+        assert {r.page_num: r.sottocapitolo for r in out} == {p: want.get(p) for p in range(-3, 100)}
+    wide = {"a": {"x": (0, 10**9), "y": (10**8, 2 * 10**8)}, "b": {"z": (150_000_000, 10**9 + 7)}}
+    index = enrich.chapter_index(spark, wide)
+    assert index.blocks.count() <= 6
+    pages = spark.createDataFrame([(0,), (10**8,), (10**8 - 1,), (149_999_999,), (150_000_000,), (10**9 + 8,), (None,)], "page_num long")
+    got = {r.page_num: r.sottocapitolo for r in enrich.with_chapters(pages, index).collect()}
+    assert got == {0: "x", 10**8: "y", 10**8 - 1: "x", 149_999_999: "y", 150_000_000: "z", 10**9 + 8: None, None: None}

@@ -107,13 +107,16 @@ def test_sinks(spark, tmp_path):
     odd = [*PAGE[:9], ["YTD", *H1[1:6], "vs Bdg*", ""], *PAGE[10:]]
     out = run(spark, {1: PAGE, 2: odd})
     paths = writers.OutputPaths.in_folder(str(tmp_path), "DEC", table="facts_table")
-    writers.write_outputs(out, paths)
+    written = writers.write_outputs(out, paths)
+    assert written == {"table": 9, "facts": 9, "qc_summary": 4, "errors": 1, "lost_values": 0, "quarantine": 1}
     assert spark.table("facts_table").count() == 9
     assert spark.read.option("header", True).csv(paths.facts).count() == 9
-    problem = spark.read.option("header", True).csv(paths.quarantine)
+    problem = writers.read_quarantine(spark, paths.quarantine)
     assert problem.select("page_num", "part_idx").distinct().count() == 1 and problem.count() == 24
     text = next((tmp_path / "run_report_DEC.json").glob("part-*.json")).read_text()
-    assert json.loads(text)["facts_rows"] == 9
+    said = json.loads(text)
+    assert said["facts_rows"] == 9 and said["outputs"][0] == {"output": "table", "forecast": 9, "written": 9, "agrees": True}
+    assert {o["output"]: o.get("agrees") for o in said["outputs"]} == dict.fromkeys(written, True) | {"lost_values": None}
     for name in ("x.parquet", "x.json"):
         writers.write_file(out.qc_summary, str(tmp_path / name))
     assert spark.read.parquet(str(tmp_path / "x.parquet")).count() == 4
