@@ -117,7 +117,9 @@ def _one(data: bytes, at: int) -> tuple[dict, int] | str:
     """The record that begins at ``at`` and where it ends, or which check failed."""
     if not data.startswith(VERSION, at):
         return "no version line"
-    stop = data.find(b"\r\n\r\n", at)
+    # a header ends before the next version line: one that is cut takes nothing of the record behind it
+    behind = data.find(b"\n" + VERSION, at)
+    stop = data.find(b"\r\n\r\n", at, behind + 1 if behind >= 0 else len(data))
     if stop < 0:
         return "header without end"
     fields = _header(data[at:stop])

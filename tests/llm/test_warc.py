@@ -181,3 +181,26 @@ def test_the_writer_makes_a_member_per_record(spark, pages, tmp_path):
 def test_large_members_end_in_a_zero():
     for size in (0, 10, (1 << 24) - 1, 1 << 24, (1 << 24) + 77):
         assert gzip.decompress(warc.pack(b"x" * size) + b"\0") == b"x" * size
+
+
+def warc_record(n):
+    fields = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x-page:%d:x>\r\nContent-Length: 10\r\n" % n
+    return fields + b"\r\n" + b"x" * 10 + b"\r\n\r\n"
+
+
+def test_a_cut_header_takes_nothing_of_the_next_record():
+    """A header without its blank line is a gap; the record behind it keeps its own fields."""
+    good = warc_record(1)
+    cut = b"WARC/1.1\r\nWARC-Refers-To: <urn:x-page:99:x>\r\n"
+    found = list(warc.salvage(cut + good))
+    assert [(kind, start, end) for kind, start, end, _ in found] == [("gap", 0, len(cut)), ("record", len(cut), len(cut) + len(good))]
+    assert found[0][3] == "header without end" and found[1][3]["page_id"] == 1 and found[1][3]["refers_to"] is None
+
+
+def test_many_lone_version_lines_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    found = list(warc.salvage(b"WARC/1.1\r\n" * 80_000 + warc_record(2)))
+    assert time.perf_counter() - began < 5
+    assert len(found) == 80_001 and found[-1][3]["page_id"] == 2
