@@ -7,8 +7,11 @@ order varies with what the corpus knows. A URL's score is the difference of both
 divided by its length; the threshold is the score that separates best the ruled URLs held out of
 the counting.
 
-The counts lie in ``2 ** HASH_BITS`` slots by the n-gram's hash, so the model has a fixed size however many
-URLs are counted, and can be sent to all executors. All ruled URLs are counted, none is sampled.
+All of it is DataFrames. What a character adds to the score depends on the ``ORDER`` characters that end with it, its window. So
+the windows of all URLs are counted by class, the counts of shorter n-grams and of contexts follow from theirs, and each different
+n-gram gets its probabilities once, from those of its suffix, in ``ORDER`` small joins. The tables grow with what the corpus
+holds; nothing is hashed together, cut off or sent to the driver. The URLs then meet the values of their windows: windows
+that hold at least one character in ``FREQUENT``, of which there can be only so many, by a broadcast, all others by a join, in which no key is hot.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path and no rule; the model
 judges it like any other, and what has no characters at all scores zero. Where one of the classes
@@ -18,21 +21,23 @@ each; ``url`` and the id are the only columns read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reportgrid.functions.cells import let
+from reportgrid.sources.staging import staged
+
 #: The longest n-gram, in characters.
 ORDER = 5
-#: Slots of the count tables, as a power of two.
-HASH_BITS = 20
 #: Symbols that the uniform distribution spreads over.
 ALPHABET = 256
+#: An n-gram is frequent if it ends at one in so many characters; there are at most ``ORDER`` times as many such.
+FREQUENT = 1 << 14
+#: Values are summed in units of 10 ** -9, so that the sums do not depend on their order.
+UNIT = 1_000_000_000
 #: One ruled URL in so many, by its hash, is held out for the threshold.
 HOLD_OUT = 5
 #: Bins of the score histogram from which the threshold is chosen, over scores from -LIMIT to LIMIT.
@@ -73,123 +78,78 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
-def _slots(url: str) -> list[list[int]]:
-    """For each character, the slots of the n-grams that end with it, from one character to ``ORDER``."""
-    text = "^" + url + "$"
-    mask = (1 << HASH_BITS) - 1
-    digest = xxhash.xxh64_intdigest
-    return [
-        [digest(text[max(0, k - n) : k + 1].encode("utf-8", "surrogatepass")) & mask for n in range(min(k + 1, ORDER))]
-        for k in range(1, len(text))
-    ]
-
-
-def _context_slots(url: str) -> list[list[int]]:
-    """For each character, the slots of the contexts before it, from the empty one on."""
-    text = "^" + url + "$"
-    mask = (1 << HASH_BITS) - 1
-    digest = xxhash.xxh64_intdigest
-    return [
-        [digest(b"ctx" + text[max(0, k - n) : k].encode("utf-8", "surrogatepass")) & mask for n in range(min(k + 1, ORDER))]
-        for k in range(1, len(text))
-    ]
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per class, the slots with how often an n-gram or a context was seen; one batch a task."""
-    size = 1 << HASH_BITS
-    seen = {0: np.zeros(size, np.int64), 1: np.zeros(size, np.int64)}
-    for batch in batches:
-        for url, blocked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for of in (_slots(url), _context_slots(url)):
-                np.add.at(seen[blocked], [slot for one in of for slot in one], 1)
-    for blocked, counts in seen.items():
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(at), blocked, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[at])],
-            names=["blocked", "slot", "n"],
-        )
-
-
-def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per class, distinct (context slot, n-gram slot) pairs: how many symbols follow a context."""
-    for batch in batches:
-        pairs = set()
-        for url, blocked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for grams, contexts in zip(_slots(url), _context_slots(url)):
-                pairs.update((blocked, c, g) for c, g in zip(contexts, grams))
-        rows = np.array(sorted(pairs), np.int32).reshape(-1, 3)
-        yield pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(3)], names=["blocked", "slot", "gram"])
-
-
-def log_likelihood(url: str, counts: np.ndarray, kinds: np.ndarray) -> float:
-    """Of the URL and its end, under one class."""
-    total = 0.0
-    for grams, contexts in zip(_slots(url), _context_slots(url)):
-        p = 1.0 / ALPHABET
-        for gram, context in zip(grams, contexts):
-            n, t = counts[context], kinds[context]
-            if not n or not t:
-                break  # no longer context was seen either
-            p = (min(counts[gram], n) + t * p) / (n + t)
-        total += np.log(p)
-    return total
-
-
-class Model:
-    """The counts of both classes; fixed in size."""
+def windows(url: Column) -> Column:
+    """For each character of a URL, and its end, the up to ``ORDER`` characters that end with it; the first ones with the mark of the begin."""
+    marked = F.split(F.concat(F.lit("^"), url, F.lit("$")), "")
 
-    def __init__(self, counts: dict[int, np.ndarray], kinds: dict[int, np.ndarray]):
-        self.counts, self.kinds = counts, kinds
+    def window(chars: Column, k: Column) -> Column:
+        first = F.greatest(k - ORDER, F.lit(0))
+        return F.array_join(F.slice(chars, first + 1, k - first), "")
 
-    def score(self, url: str) -> float:
-        """Above zero: likelier allowed than blocked; per character."""
-        if not url:
-            return 0.0
-        allowed, blocked = (log_likelihood(url, self.counts[k], self.kinds[k]) for k in (0, 1))
-        return (allowed - blocked) / (len(url) + 1)
+    return let(marked, lambda chars: F.transform(F.sequence(F.lit(2), F.size(chars)), lambda k: window(chars, k)))
 
 
-def _dense(rows, value: str) -> dict[int, np.ndarray]:
-    out = {k: np.zeros(1 << HASH_BITS, np.float32) for k in (0, 1)}
-    for k, part in rows.groupby("blocked"):
-        out[int(k)][part["slot"].to_numpy()] = part[value].to_numpy()
-    return out
-
+def ngrams(rows: DataFrame) -> DataFrame:
+    """All n-grams of all URLs: how often each ends a character (``n``), and in the allowed and blocked ones to learn from (``n0, n1``).
 
-def fit(ruled: DataFrame) -> Model | None:
-    """Counts ``url`` by ``blocked``; at most 2 ** (HASH_BITS + 1) rows of each table reach the driver."""
-    counts = (
-        ruled.mapInArrow(_count, "blocked int, slot int, n long")
-        .groupBy("blocked", "slot")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
+    ``rows`` has ``url`` and ``blocked``, null where a URL is not to learn from. With the counts of its context: ``c0, c1``
+    how often it was seen, ``t0, t1`` how many different characters followed.
+    """
+    counted = (
+        rows.select("blocked", F.explode(windows(F.col("url"))).alias("window"))
+        .groupBy("window")
+        .agg(F.count("*").alias("n"), F.count_if(F.col("blocked") == 0).alias("n0"), F.count_if(F.col("blocked") == 1).alias("n1"))
     )
-    kinds = (
-        ruled.mapInArrow(_kinds, "blocked int, slot int, gram int")
-        .distinct()
-        .groupBy("blocked", "slot")
-        .agg(F.count("*").cast("int").alias("n"))
-        .toPandas()
+    size = F.char_length("window")
+    suffixes = F.transform(F.sequence(F.lit(1), size), lambda k: F.substring("window", size - k + 1, k))
+    grams = counted.select(F.explode(suffixes).alias("gram"), "n", "n0", "n1").groupBy("gram")
+    grams = grams.agg(*[F.sum(c).alias(c) for c in ("n", "n0", "n1")]).withColumn("size", F.char_length("gram"))
+    # a context is followed by no more n-grams than there are characters
+    same = Window.partitionBy(F.substring("gram", F.lit(1), F.col("size") - 1), "size")
+    return grams.withColumns(
+        {f"c{k}": F.sum(f"n{k}").over(same) for k in (0, 1)}
+        | {f"t{k}": F.sum((F.col(f"n{k}") > 0).cast("long")).over(same) for k in (0, 1)}
     )
-    if counts["blocked"].nunique() < 2:
-        return None
-    return Model(_dense(counts, "n"), _dense(kinds, "n"))
-
 
-def scored(urls: DataFrame, model: Model) -> DataFrame:
-    """Adds ``score`` to a frame whose column ``url`` holds no nulls."""
-    spark = urls.sparkSession
-    sent = spark.sparkContext.broadcast((model.counts, model.kinds))
-    at = urls.columns.index("url")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Model(*sent.value)
-        for batch in batches:
-            scores = [known.score(url) for url in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
+def values(grams: DataFrame) -> DataFrame:
+    """What each n-gram adds to the score of a URL that has it as a window (``value``), and whether it is ``frequent``.
 
-    return urls.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema) + ", score double")
+    A probability is that of the n-gram's suffix, refined by its own context if that was seen; level by level.
+    """
+    total = grams.filter("size = 1").agg(F.sum("n")).first()[0] or 0
+    uniform = F.lit(1.0 / ALPHABET)
+
+    def refined(k: int) -> Column:
+        n, c, t = F.col(f"n{k}"), F.col(f"c{k}"), F.col(f"t{k}")
+        return F.when(c > 0, (n + t * F.col(f"p{k}")) / (c + t)).otherwise(F.col(f"p{k}"))
+
+    levels = []
+    for size in range(1, ORDER + 1):
+        level = grams.filter(F.col("size") == size)
+        if levels:
+            shorter = levels[-1].select(F.col("gram").alias("suffix"), "p0", "p1")
+            level = level.withColumn("suffix", F.substring("gram", 2, size)).join(shorter, "suffix").drop("suffix")
+        else:
+            level = level.withColumns({"p0": uniform, "p1": uniform})
+        levels.append(staged(level.select("gram", "n", refined(0).alias("p0"), refined(1).alias("p1"))))
+    every = levels[0]
+    for level in levels[1:]:
+        every = every.unionByName(level)
+    value = F.round((F.log("p0") - F.log("p1")) * UNIT).cast("long")
+    return every.select("gram", value.alias("value"), (F.col("n") * FREQUENT >= F.lit(total)).alias("frequent"))
+
+
+def scored(rows: DataFrame, value: DataFrame) -> DataFrame:
+    """Adds ``score`` to rows with a number ``row`` of their own and ``url``: above zero if likelier allowed than blocked; per character."""
+    ends = rows.select("row", F.explode(windows(F.col("url"))).alias("gram"))
+    both = ends.join(F.broadcast(value.filter("frequent").drop("frequent")), "gram", "left")
+    near = both.filter("value IS NOT NULL").select("row", "value")
+    far = both.filter("value IS NULL").select("row", "gram").join(value.filter("NOT frequent"), "gram").select("row", "value")
+    sums = near.unionByName(far).groupBy("row").agg(F.sum("value").alias("__sum"))
+    size = F.char_length("url")
+    score = F.when(size == 0, F.lit(0.0)).otherwise(F.col("__sum") / UNIT / (size + 1))
+    return rows.join(sums, "row").withColumn("score", score).drop("__sum")
 
 
 def threshold(held_out: DataFrame) -> float:
@@ -220,22 +180,20 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
     rows = rows.select(
         "id", "url", "host", "path", F.col("found.place").alias("rule"), F.col("found.verdict").alias("verdict")
     )
-    ruled = rows.filter("rule IS NOT NULL").select(
-        "url",
-        (F.col("verdict") == "block").cast("int").alias("blocked"),
-        (F.pmod(F.xxhash64("url"), F.lit(HOLD_OUT)) == 0).alias("held_out"),
-    )
-    model = fit(ruled.filter("NOT held_out").select("url", "blocked"))
-    named = rows.withColumnRenamed("id", id_col)
-    if model is None:
-        return named.select(
-            id_col, "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"),
+    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()))
+    held_out = F.pmod(F.xxhash64("url"), F.lit(HOLD_OUT)) == 0
+    blocked = F.when(F.col("rule").isNotNull(), (F.col("verdict") == "block").cast("int"))
+    grams = staged(ngrams(rows.select("url", F.when(~held_out, blocked).alias("blocked"))))
+    seen = grams.filter("size = 1").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
+    if not (seen["n0"] and seen["n1"]):
+        return rows.select(
+            F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"),
             F.lit(None).cast("double").alias("score"),
-        )
-    edge = threshold(scored(ruled.filter("held_out").select("url", "blocked"), model))
-    named = scored(named, model)
+        )
+    known = staged(scored(rows, values(grams)))
+    edge = threshold(known.filter(F.col("rule").isNotNull() & held_out).select("score", blocked.alias("blocked")))
     by_model = F.when(F.col("score") < edge, "block").otherwise("allow")
-    return named.select(
-        id_col, "host", "path", "rule", F.coalesce("verdict", by_model).alias("verdict"),
+    return known.select(
+        F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("verdict", by_model).alias("verdict"),
         F.when(F.col("rule").isNull(), F.col("score")).alias("score"),
-    )
+    )

@@ -168,17 +168,58 @@ def test_model_goes_by_what_the_rules_teach(spark):
     assert {r.verdict for r in U.judge(one_class, URL_RULES).collect()} == {"allow"}
 
 
-def test_seen_strings_are_likelier():
-    import numpy as np
-
-    counts, kinds = np.zeros(1 << U.HASH_BITS), np.zeros(1 << U.HASH_BITS)
-    pairs = set()
-    for url in ["abab", "abcc", "ba"]:
-        for grams, contexts in zip(U._slots(url), U._context_slots(url)):
-            for g, c in zip(grams, contexts):
-                counts[g] += 1
-                counts[c] += 1
-                pairs.add((c, g))
-    for c, _ in pairs:
-        kinds[c] += 1
-    assert U.log_likelihood("abab", counts, kinds) > U.log_likelihood("abba", counts, kinds) > U.log_likelihood("zzzz", counts, kinds)
+def slow_scores(rows):
+    """Witten-Bell smoothing from dictionaries, for (url, class to learn or None)."""
+    import math
+    from collections import Counter, defaultdict
+
+    grams, followers = [Counter(), Counter()], [defaultdict(set), defaultdict(set)]
+    for url, blocked in rows:
+        if blocked is None:
+            continue
+        text = "^" + url + "$"
+        for k in range(1, len(text)):
+            for n in range(min(k + 1, U.ORDER)):
+                grams[blocked][text[k - n : k + 1]] += 1
+                followers[blocked][text[k - n : k]].add(text[k])
+
+    def log_likelihood(url, of):
+        text, total = "^" + url + "$", 0.0
+        for k in range(1, len(text)):
+            p = 1 / U.ALPHABET
+            for n in range(min(k + 1, U.ORDER)):
+                context = text[k - n : k]
+                kinds = followers[of][context]
+                if not kinds:
+                    break
+                seen = sum(grams[of][context + c] for c in kinds)
+                p = (grams[of][text[k - n : k + 1]] + len(kinds) * p) / (seen + len(kinds))
+            total += math.log(p)
+        return total
+
+    return [(log_likelihood(u, 0) - log_likelihood(u, 1)) / (len(u) + 1) if u else 0.0 for u, _ in rows]
+
+
+@pytest.mark.parametrize("frequent", [1 << 14, 50, 1])
+def test_scores_against_dictionaries(spark, monkeypatch, frequent):
+    monkeypatch.setattr(U, "FREQUENT", frequent)
+    rng = random.Random(5)
+    urls = ["http://" + "".join(rng.choice("abc/.é東") for _ in range(rng.randrange(0, 30))) for _ in range(80)]
+    urls = [*urls, *urls[:5], "", "x", "http://" + "ab" * 20_000]
+    rows = [(u, rng.choice([0, 1, None])) for u in urls]
+    frame = spark.createDataFrame([(k, u, b) for k, (u, b) in enumerate(rows)], "row long, url string, blocked int")
+    out = U.scored(frame, U.values(U.ngrams(frame)))
+    got = {r.row: r.score for r in out.collect()}
+    assert [got[k] for k in range(len(rows))] == pytest.approx(slow_scores(rows), abs=1e-6)
+
+
+def test_scores_of_the_table(spark, sf_dir):
+    """All scores of the registered query against dictionaries that learn from the same URLs."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    held = {r.page_id: r.h for r in pages.selectExpr("page_id", "pmod(xxhash64(coalesce(url, '')), 5) = 0 AS h").collect()}
+    urls = {r.page_id: r.url or "" for r in pages.collect()}
+    out = {r.page_id: r for r in U.judge(pages, URL_RULES).collect()}
+    learn = {k: None if held[k] or out[k].rule is None else int(out[k].verdict == "block") for k in urls}
+    want = dict(zip(urls, slow_scores([(u, learn[k]) for k, u in urls.items()])))
+    asked = [k for k in urls if out[k].rule is None]
+    assert asked and [out[k].score for k in asked] == pytest.approx([want[k] for k in asked], abs=1e-6)
