@@ -42,10 +42,11 @@ MOST = 4.0
 
 # Fixed values of the language: elements by what they do to the text around them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript textarea title svg math iframe object canvas select head".split())
+RAW = frozenset("script style template noscript textarea title svg iframe select head".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br canvas cite code data del dfn em font i img ins kbd label mark math mfrac mi mn mo mover mroot mrow "
+    "ms msqrt mstyle msub msubsup msup mtext munder object q rp rt ruby s samp semantics small span strike strong sub sup time tt u var "
+    "wbr".split()
 )
 #: Elements that never belong to the main text, and words that say so in a class, id or role: fixed values.
 BOILERPLATE = frozenset("nav header footer aside form menu button dialog fieldset".split())
@@ -130,7 +131,16 @@ def walk(page: str) -> list[tuple[str, object, Place]]:
 def _walk(page: str, places: list[Place]) -> Iterator[tuple[str, object, Place]]:
     """The same before names are decided on; adds the elements to ``places``."""
     stack = places[:1]
+    open_ = Counter()  # how many elements of a tag are open
+    blocks: list[int] = []  # where in the stack the blocks are
     at, n = 0, len(page)
+
+    def close(depth: int) -> None:
+        open_.subtract(place.tag for place in stack[depth:])
+        del stack[depth:]
+        while blocks and blocks[-1] >= depth:
+            blocks.pop()
+
     while at < n:
         found = TOKEN.search(page, at)
         start = found.start() if found else n
@@ -143,9 +153,8 @@ def _walk(page: str, places: list[Place]) -> Iterator[tuple[str, object, Place]]
         if not tag:
             continue
         if found["close"]:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
-            if depth:
-                del stack[depth:]
+            if open_[tag] > 0:  # what is walked over is closed
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             yield ("inline" if tag in INLINE else "block"), tag, stack[-1]
             continue
         if tag in RAW and not found["attrs"].rstrip().endswith("/"):
@@ -157,16 +166,15 @@ def _walk(page: str, places: list[Place]) -> Iterator[tuple[str, object, Place]]
         if tag not in INLINE and tag not in VOID:
             # a block closes a paragraph that is still open, and what stands open in it; an item closes the item before
             closes = ("p", "h1", "h2", "h3", "h4", "h5", "h6") if tag != "li" else ("p", "li")
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in closes:
-                    del stack[k:]
-                    break
-                if stack[k].block:
-                    break
+            if blocks and stack[blocks[-1]].tag in closes:
+                close(blocks[-1])
         place = Place(tag, found["attrs"], stack[-1])
         places.append(place)
         yield ("inline" if tag in INLINE else "block"), tag, place
         if tag not in VOID and not found["attrs"].rstrip().endswith("/"):
+            open_[tag] += 1
+            if place.block:
+                blocks.append(len(stack))
             stack.append(place)
 
 

@@ -223,3 +223,30 @@ def test_scores_of_the_table(spark, sf_dir):
     want = dict(zip(urls, slow_scores([(u, learn[k]) for k, u in urls.items()])))
     asked = [k for k in urls if out[k].rule is None]
     assert asked and [out[k].score for k in asked] == pytest.approx([want[k] for k in asked], abs=1e-6)
+
+
+@pytest.mark.parametrize(
+    "inner, text",
+    [
+        ("so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds", "so x=2 holds"),
+        ("see <object data='f.swf'>the plain text</object> here", "see the plain text here"),
+        ("a <canvas>drawn words</canvas> z", "a drawn words z"),
+    ],
+)
+def test_text_inside_embedded_elements_is_kept(inner, text):
+    page = f"<html><body><article><p>{inner}</p><p>second paragraph</p></article></body></html>"
+    assert H.main_text(page, {}) == f"{text}\nsecond paragraph"
+
+
+def test_an_unclosed_object_loses_no_text():
+    page = "<article><p>first</p><object><p>" + "word " * 200 + "</p><p>last</p></article>"
+    assert H.main_text(page, {}) == "first\n" + " ".join(["word"] * 200) + "\nlast"
+
+
+@pytest.mark.parametrize("page", ["<b>" * 60_000 + "x" + "</i>" * 60_000, "<p><div>" + "<b>" * 60_000 + "<div/>" * 60_000 + "x"])
+def test_tags_without_partner_take_linear_time(page):
+    import time
+
+    began = time.perf_counter()
+    assert H.main_text(page, {}) in ("", "x")
+    assert time.perf_counter() - began < 10
