@@ -158,20 +158,14 @@ def overlapping_ranges(chapters: Mapping[str, Mapping[str, Sequence[int]]]) -> l
     return out
 
 
-def with_chapters(
-    rows: DataFrame, index: ChapterIndex, page: str = "page_num", pages: DataFrame | None = None
-) -> DataFrame:
-    """Adds chapter and sub-chapter. Each different page is looked up once, in one block of each level.
-
-    ``pages`` may name a smaller frame that holds all pages of the rows; else they are read from the rows.
-    """
+def with_chapters(rows: DataFrame, index: ChapterIndex, page: str = "page_num") -> DataFrame:
+    """Adds chapter and sub-chapter. Each different page of the rows is looked up once, in one block of each level."""
     number = F.col(page).cast("long")
     if not index.levels:
         return rows.withColumns({c: F.lit(None).cast("string") for c in ("capitolo", "sottocapitolo")})
     keys = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(number, k).alias("block")) for k in index.levels])
     found = (
-        (rows if pages is None else pages)
-        .select(page)
+        rows.select(page)
         .distinct()
         .select(number.alias("__page"), F.inline(keys))
         .join(index.blocks, ["level", "block"])

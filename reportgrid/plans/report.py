@@ -244,6 +244,7 @@ def part_rows(
         "lo", "width", "table_id", "part_id", "parent_id", "seq", "idx", "ordinal", "first_data",
         "table_end", "names", "data_names", "is_problem", "page_title", "page_subtitle",
         "page_subtitle_1", "period_agg", "period_start",
+        *[c for c in ("capitolo", "sottocapitolo") if c in parts.columns],
     ]
     placed = part_ops.place_parts(
         parts.select(*PAGE, *columns), PAGE, "first_data", "table_end", cfg.bucket_rows
@@ -392,8 +393,9 @@ def _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys, histor
     parts = staged(add_periods(parts, cfg, as_of))
 
     clean = parts.filter(F.col("emitted") & ~F.col("is_problem"))
-    shaped = part_rows(rows, clean, cfg, long_pages)
-    shaped = enrich.with_chapters(shaped, enrich.chapter_index(spark, cfg.chapters), pages=clean)
+    # chapters are looked up for the parts, so that the rows need no join of their own
+    chapters = enrich.chapter_index(spark, cfg.chapters)
+    shaped = part_rows(rows, enrich.with_chapters(clean, chapters), cfg, long_pages)
     if strict_columns:
         check_final_columns(parts, cfg)
 
