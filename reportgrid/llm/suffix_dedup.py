@@ -9,6 +9,11 @@ bucket by multikey sort: word by word, only what is still tied. The lengths of c
 the right and to the left of the anchor, say which strings of ``LENGTH`` bytes around it are equal; all but the earliest
 of these (smaller id, then smaller start) are removed. Suffixes with equal leading bytes are in one bucket, so no comparison has to cross a boundary.
 
+Leading bytes that stand in very many different surroundings (a common phrase) would be one large group. The first pass
+counts the surroundings of each anchor; where they are more than a part of a task's share, the strings of ``LENGTH`` bytes around the anchor
+are sent one by one, by a digest of all their bytes, which parts the group over all tasks: equal strings meet, and nothing else does.
+There are at most ``HOT_PARTS`` such anchors per task, so the list of them is bounded.
+
 Equal texts are worked on once: the copies of a text with larger ids are removed whole. Suffixes that are equal as far as can matter are
 reduced to the earliest of a task before they are shuffled, so a passage in a third of all documents
 sends one row per task to its bucket.
@@ -26,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,10 +45,14 @@ GRAM = 24
 REST = LENGTH - GRAM
 #: Bits of a long that say the place in a text; the others are of the text's digest.
 PLACE_BITS = 28
-#: Rows of texts sampled for the splitters, splitters per partition, and suffixes sorted at once.
-SAMPLE_TEXTS, SPLITTERS, AT_ONCE = 2000, 4, 40_000
+#: Rows of texts sampled for the splitters (expected), anchors taken of each, and suffixes sorted at once.
+SAMPLE_TEXTS, SAMPLE_ANCHORS, AT_ONCE = 2000, 64, 40_000
+#: Surroundings of one gram from which on it can be hot, and the part of a task's share that makes it so.
+HOT_LEAST, HOT_PARTS = 256, 4
 #: Different suffixes that a task holds before it sends them on.
 HELD = 50_000
+#: Different strings around hot anchors that a task holds.
+HELD_STRINGS = 200_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 NO_ID = -(1 << 63)
 
@@ -74,11 +84,12 @@ def gram_hashes(data: bytes) -> np.ndarray:
     return a
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the anchors of a text and their hashes."""
+def anchors(data: bytes, h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the anchors of a text and their hashes; ``h`` are its gram hashes, if known."""
     if len(data) < LENGTH:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = gram_hashes(data)
+    if h is None:
+        h = gram_hashes(data)
     least = _doubled(h, REST + 1, np.minimum)  # of each string, by its start
     # a place is an anchor if it is the least of some string that holds it
     most = _doubled(np.concatenate([np.zeros(REST, np.uint64), least, np.zeros(REST, np.uint64)]), REST + 1, np.maximum)
@@ -86,6 +97,15 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
+def surroundings(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A number for the bytes on both sides of each place, from the gram hashes ``h`` of the text."""
+    out = np.zeros(len(at), np.uint64)
+    for step in (-3 * GRAM, -2 * GRAM, -GRAM, GRAM, 2 * GRAM, 3 * GRAM):
+        out *= MIX
+        out += h[np.clip(at + step, 0, len(h) - 1)]
+    return out ^ (out >> np.uint64(31))
+
+
 def text_number(key: bytes) -> int:
     """The bits of a text's digest that stand beside a place."""
     return int.from_bytes(key[:8], "big") >> PLACE_BITS
@@ -96,52 +116,87 @@ def _rows(columns: list, types: list, names: list[str]) -> pa.RecordBatch:
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(slot, hash, at, known) of all anchors of texts new in this batch.
+    """(slot, at, known, weight) of all anchors of texts new in this batch.
 
-    Of a hash that the batch has more than once, one row goes to where all of its hash meet; the others are known to be repeated
-    and are spread by their own place.
+    Of a hash that the batch has more than once, one row goes to where all of its hash meet, with the number of its different surroundings
+    in the batch as weight; the others are known to be repeated and are spread by their own place.
     """
     for batch in batches:
         seen: set[bytes] = set()
-        hashes, places = [], []
+        hashes, places, around = [], [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             if key in seen:
                 continue
             seen.add(key)
-            at, h = anchors(text.as_py().encode("utf-8"))
+            data = text.as_py().encode("utf-8")
+            if len(data) < LENGTH:
+                continue
+            every = gram_hashes(data)
+            at, h = anchors(data, every)
             hashes.append(h)
+            around.append(surroundings(every, at))
             places.append((np.uint64(text_number(key)) << np.uint64(PLACE_BITS)) + at.astype(np.uint64))
         if not hashes or not sum(map(len, hashes)):
             continue
-        h, at = np.concatenate(hashes), np.concatenate(places)
+        h, at, sides = np.concatenate(hashes), np.concatenate(places), np.concatenate(around)
         _, first, of, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
         known = np.flatnonzero(count[of] > 1)
+        weight = np.ones(len(first), np.int32)
+        if len(known):
+            by = known[np.lexsort((sides[known], of[known]))]
+            another = (of[by][1:] == of[by][:-1]) & (sides[by][1:] != sides[by][:-1])
+            weight += np.bincount(of[by][1:][another], minlength=len(first)).astype(np.int32)
         slots = np.concatenate([h[first], at[known] * MIX])
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(slots.view(np.int64)),
                 pa.array(np.concatenate([at[first], at[known]]).view(np.int64)),
                 pa.array(np.concatenate([np.zeros(len(first), bool), np.ones(len(known), bool)])),
+                pa.array(np.concatenate([weight, np.zeros(len(known), np.int32)])),
             ],
-            names=["slot", "at", "known"],
+            names=["slot", "at", "known", "weight"],
         )
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by slot, the places that are known to be repeated or share their slot with another place."""
+    """Of rows sorted by slot, the places that are known to be repeated or share their slot with another place, with their weight.
+
+    A slot of ``HOT_LEAST`` or more surroundings gives a row of its own, without a place.
+    """
     last_slot = last_at = None
+    last_weight, total = 0, 0
     told = False
+    names, types = ["at", "weight", "slot"], [pa.int64(), pa.int64(), pa.int64()]
     for batch in batches:
-        slots, at, known = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+        slots, at, known, weight = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
         if not len(slots):
             continue
         same = slots[1:] == slots[:-1]
         shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        out = at[shared | known]
-        if last_slot is not None and slots[0] == last_slot:
-            out = np.append(out, [at[0]] if told else [at[0], last_at])
-        yield pa.RecordBatch.from_arrays([pa.array(out)], names=["at"])
-        last_slot, last_at, told = slots[-1], at[-1], bool(shared[-1] | known[-1] | (len(slots) == 1 and slots[0] == last_slot))
+        out, weights = at[shared | known], weight[shared | known]
+        goes_on = last_slot is not None and slots[0] == last_slot
+        if goes_on:
+            more = [(at[0], weight[0])] if not shared[0] | known[0] else []
+            more += [] if told else [(last_at, last_weight)]
+            out = np.append(out, np.array([m[0] for m in more], np.int64))
+            weights = np.append(weights, np.array([m[1] for m in more], np.int64))
+        starts = np.flatnonzero(np.concatenate([[True], ~same]))
+        sums = np.add.reduceat(weight.astype(np.int64), starts)
+        run_slots = slots[starts]
+        if goes_on:
+            sums[0] += total
+        elif total >= HOT_LEAST:
+            run_slots, sums = np.append(last_slot, run_slots), np.append(total, sums)
+        hot = np.flatnonzero(sums[:-1] >= HOT_LEAST)  # the last run may go on
+        yield _rows(
+            [np.append(out, np.zeros(len(hot), np.int64)).tolist(), [*weights.tolist(), *sums[hot].tolist()], [None] * len(out) + run_slots[hot].tolist()],
+            types,
+            names,
+        )
+        last_slot, last_at, last_weight, total = slots[-1], at[-1], weight[-1], int(sums[-1])
+        told = bool(shared[-1] | known[-1] | (len(slots) == 1 and goes_on))
+    if total >= HOT_LEAST:
+        yield _rows([[0], [total], [int(last_slot)]], types, names)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,30 +231,53 @@ SUFFIX_DDL = (
 )
 
 
-def _suffixes(splitters: np.ndarray):
-    """Rows of suffixes, and rows of spans that need no comparison beyond the task (``lead`` is null)."""
+def _suffixes(splitters: np.ndarray, hot: np.ndarray):
+    """Rows of suffixes, of strings around ``hot`` grams (``lead`` is their digest, ``after`` is null), and of spans that need
+    no comparison beyond the task (``lead`` is null). ``hot`` are sorted gram hashes."""
+    buckets = len(splitters) + 1
 
     def bucket_of(lead: bytes) -> int:
         return int(np.searchsorted(splitters, int.from_bytes(lead[:8], "big"), "right"))
 
-    def flush(held: dict, spans: dict) -> Iterator[pa.RecordBatch]:
+    def flush(held: dict, strings: dict, spans: dict) -> Iterator[pa.RecordBatch]:
         rows = [
             (bucket_of(lead), lead, before, after, number, doc, place, None, None)
             for (lead, before, after), (doc, place, number) in held.items()
         ]
+        for digest, (doc, start, number) in strings.items():
+            rows.append((int.from_bytes(digest[:6], "big") % buckets, digest, None, None, number, doc, start, None, None))
+            if len(rows) >= 10_000:
+                yield _rows(list(zip(*rows)), SUFFIX_TYPES, SUFFIX)
+                rows = []
         for (number, doc), found in spans.items():
             for low, high in _joined(found):
-                rows.append((number % (len(splitters) + 1), None, None, None, number, doc, None, low, high))
+                rows.append((number % buckets, None, None, None, number, doc, None, low, high))
         held.clear()
+        strings.clear()
         spans.clear()
         for k in range(0, len(rows), 10_000):
             yield _rows(list(zip(*rows[k : k + 10_000])), SUFFIX_TYPES, SUFFIX)
 
+    def is_hot(data: bytes, places: np.ndarray) -> np.ndarray:
+        if not len(hot) or not len(places):
+            return np.zeros(len(places), bool)
+        grams = np.frombuffer(data, np.uint8)[(places[:, None] + np.arange(GRAM)).ravel()]
+        return np.isin(gram_hashes(grams.tobytes())[::GRAM], hot)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[bytes, bytes, bytes], tuple[int, int, int]] = {}
+        strings: dict[bytes, tuple[int, int, int]] = {}
         spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
         done: set[bytes] = set()
         open_ = zstandard.ZstdDecompressor()
+
+        def add_span(number: int, doc: int, low: int, high: int) -> None:
+            found = spans.setdefault((number, doc), [])
+            if found and found[-1][0] <= low <= found[-1][1]:
+                found[-1] = (found[-1][0], max(high, found[-1][1]))
+            else:
+                found.append((low, high))
+
         for batch in batches:
             for number, key, packed, labels, places in zip(*[batch.column(k) for k in range(5)]):
                 key = key.as_py()
@@ -214,7 +292,22 @@ def _suffixes(splitters: np.ndarray):
                 known = np.unique(places.values.to_numpy(zero_copy_only=False)) if places.as_py() else np.zeros(0, np.int64)
                 if n >> PLACE_BITS:
                     known = np.union1d(known, (at := anchors(data)[0])[at >> PLACE_BITS > 0])
-                for place in known[known <= n - GRAM].tolist():
+                known = known[known <= n - GRAM]
+                split = is_hot(data, known)
+                past = 0  # a string with several hot anchors is sent once
+                for place in known[split].tolist():
+                    for start in range(max(past, place - REST), min(place, n - LENGTH) + 1):
+                        digest = xxhash.xxh3_128_digest(data[start : start + LENGTH])
+                        first, mine = strings.get(digest), (doc, start, number)
+                        if first is None or mine[:2] < first[:2]:
+                            strings[digest] = mine
+                        if first is not None and first[:2] != mine[:2]:
+                            doc_, start_, number_ = max(first, mine)
+                            add_span(number_, doc_, start_, start_ + LENGTH)
+                        if len(strings) > HELD_STRINGS:
+                            yield from flush(held, strings, spans)
+                    past = max(past, place + 1)
+                for place in known[~split].tolist():
                     begin = max(0, place - REST)
                     suffix = data[place : place + LENGTH]
                     what = (suffix[:GRAM], data[begin:place], suffix[GRAM:])
@@ -229,10 +322,10 @@ def _suffixes(splitters: np.ndarray):
                     low = place_ - len(what[1])
                     high = place_ + GRAM + len(what[2])
                     if high - low >= LENGTH:
-                        spans.setdefault((number_, doc_), []).append((low, high))
-                if len(held) > HELD:
-                    yield from flush(held, spans)
-        yield from flush(held, spans)
+                        add_span(number_, doc_, low, high)
+                if len(held) > HELD or len(spans) > HELD:
+                    yield from flush(held, strings, spans)
+        yield from flush(held, strings, spans)
 
     return run
 
@@ -319,6 +412,25 @@ def repeated_spans(
     return order[found], places[found] - most[found], places[found] - least[found] + LENGTH
 
 
+class _Strings:
+    """Of strings sorted by digest, document and start, those whose like came before; one row is kept between batches."""
+
+    def __init__(self):
+        self.digest: bytes | None = None
+        self.first = (0, 0)
+
+    def later(self, rows: pa.Table) -> pa.Table:
+        lead = rows.column("lead").combine_chunks()
+        docs, places = rows.column("doc").to_numpy(), rows.column("place").to_numpy()
+        same = pa.compute.equal(lead[1:], lead[:-1]).to_numpy(zero_copy_only=False)
+        begins = np.concatenate([[lead[0].as_py() != self.digest], ~same])
+        at = np.maximum.accumulate(np.where(begins, np.arange(len(docs)), -1))
+        first_doc = np.where(at < 0, self.first[0], docs[at])
+        first_place = np.where(at < 0, self.first[1], places[at])
+        self.digest, self.first = lead[-1].as_py(), (int(first_doc[-1]), int(first_place[-1]))
+        return rows.filter(pa.array((docs != first_doc) | (places != first_place)))
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(number, doc, low, high) of what is repeated, from rows sorted by their leading bytes."""
     names, types = ["number", "doc", "low", "high"], [pa.int64()] * 4
@@ -331,12 +443,18 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _rows([numbers[at], docs[at], low, high], types, names)
 
     size = 0
+    strings = _Strings()
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         ready = rows.filter(pa.compute.is_null(rows.column("lead")))
         if len(ready):
             yield from ready.select(names).combine_chunks().to_batches()
-        rows = rows.filter(pa.compute.is_valid(rows.column("lead")))
+        single = rows.filter(pa.compute.and_(pa.compute.is_valid(rows.column("lead")), pa.compute.is_null(rows.column("after"))))
+        if len(single):
+            single = strings.later(single)
+            starts = single.column("place").to_numpy()
+            yield _rows([single.column("number").to_numpy(), single.column("doc").to_numpy(), starts, starts + LENGTH], types, names)
+        rows = rows.filter(pa.compute.is_valid(rows.column("after")))
         if not len(rows):
             continue
         waiting.append(rows)
@@ -375,19 +493,30 @@ def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _splitters(texts: DataFrame, n: int) -> np.ndarray:
-    """The first eight bytes, as numbers, that part the suffixes of a bounded sample into ``n`` buckets."""
+def _hot(again: DataFrame, n: int) -> np.ndarray:
+    """The sorted hashes of grams with more surroundings than a ``HOT_PARTS``-th of a task's share: ``HOT_PARTS * n`` of them at most,
+    as each has more than so large a part of the sum."""
+    total = again.filter("slot IS NULL").agg(F.sum("weight")).first()[0] or 0
+    limit = max(HOT_LEAST - 1, total // (HOT_PARTS * n))
+    rows = again.filter(F.col("slot").isNotNull() & (F.col("weight") > limit)).select("slot").toPandas()["slot"]
+    return np.sort(rows.to_numpy().astype(np.int64).view(np.uint64))
+
+
+def _splitters(texts: DataFrame, n_texts: int, n: int) -> np.ndarray:
+    """The first eight bytes, as numbers, that part the suffixes of a random sample of bounded size into ``n`` buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             leads = []
             for text in batch.column(0):
                 data = text.as_py().encode("utf-8")
-                at = anchors(data)[0][:64]  # of the sample only: splitters change where rows go, not what is found
+                at = anchors(data)[0]  # splitters change where rows go, not what is found
+                at = at[:: -(-len(at) // SAMPLE_ANCHORS) or 1]
                 leads += [int.from_bytes(data[p : p + 8], "big") - (1 << 63) for p in at.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(leads, pa.int64())], names=["lead"])
 
-    sample = texts.select("text").limit(SAMPLE_TEXTS).mapInArrow(run, "lead long").toPandas()["lead"].to_numpy()
+    part = texts.select("text").sample(min(1.0, SAMPLE_TEXTS / max(1, n_texts)), seed=7)
+    sample = part.mapInArrow(run, "lead long").toPandas()["lead"].to_numpy()
     if not len(sample):
         return np.zeros(0, np.uint64)
     leads = np.sort(sample.astype(np.int64))
@@ -405,13 +534,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.unhex(F.md5(text)).alias("key"),
         F.octet_length(text).cast("long").alias("size"),
     )
-    firsts = staged(rows.groupBy("key").agg(F.min("doc").alias("first_id")))
+    firsts = staged(rows.groupBy("key").agg(F.min("doc").alias("first_id"), F.count("*").alias("copies")))
     texts = docs.select(F.unhex(F.md5(text)).alias("key"), text.alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    hashed = texts.mapInArrow(_hashed, "slot long, at long, known boolean")
-    again = hashed.repartition("slot").sortWithinPartitions("slot").mapInArrow(_repeated, "at long")
-    places = again.select(
+    hashed = texts.mapInArrow(_hashed, "slot long, at long, known boolean, weight int")
+    again = staged(hashed.repartition("slot").sortWithinPartitions("slot").mapInArrow(_repeated, "at long, weight long, slot long"))
+    places = again.filter("slot IS NULL").select(
         F.shiftrightunsigned("at", PLACE_BITS).alias("number"), F.col("at").bitwiseAND((1 << PLACE_BITS) - 1).alias("place")
     )
     places = places.groupBy("number").agg(F.collect_set("place").alias("places"))
@@ -422,10 +551,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     packed = texts.mapInArrow(_packed, "number long, key binary, packed binary").filter("number IS NOT NULL").repartition("number")
     asked = packed.join(known.filter("places IS NOT NULL"), "number").select("number", "key", "packed", "labels", "places")
-    suffixes = asked.mapInArrow(_suffixes(_splitters(texts, n * SPLITTERS)), SUFFIX_DDL)
-    spans = (
-        suffixes.repartition(n, "bucket").sortWithinPartitions("bucket", "lead").mapInArrow(_compared, "number long, doc long, low long, high long")
-    )
+    n_texts = firsts.agg(F.sum("copies")).first()[0] or 0
+    suffixes = asked.mapInArrow(_suffixes(_splitters(texts, n_texts, n), _hot(again, n)), SUFFIX_DDL)
+    # a bucket is a range of leading bytes and a task; what shares its leading bytes is in one
+    dealt = suffixes.repartitionById(n, F.col("bucket")).sortWithinPartitions("lead", "doc", "place")
+    spans = dealt.mapInArrow(_compared, "number long, doc long, low long, high long")
     spans = spans.groupBy("number").agg(F.collect_list(F.struct("doc", "low", "high")).alias("spans"))
     marked = known.select("number", "labels").join(spans, "number", "left")
     done = (
@@ -433,7 +563,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("key", "packed", "labels", "spans")
         .mapInArrow(_finished, "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     )
-    done = done.dropDuplicates(["key"]).join(firsts, "key")
+    done = done.dropDuplicates(["key"]).join(firsts.drop("copies"), "key")
     copy = (F.col("doc") > F.col("first_id")) & (F.col("size") >= LENGTH)
     empty = hashlib.sha256(b"").hexdigest()
     return rows.join(done, "key").select(

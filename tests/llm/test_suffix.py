@@ -71,6 +71,52 @@ def test_near_copies_in_a_third_of_all_rows(spark, monkeypatch):
     check(spark, rows)
 
 
+@pytest.mark.parametrize("length", [40, 90, 140, 230])
+def test_a_phrase_in_a_third_of_all_rows_with_different_words_around(spark, monkeypatch, length):
+    """Its anchors are hot, the strings around them are parted over the tasks, and no lead fills a task."""
+    monkeypatch.setattr(S, "HOT_LEAST", 30)
+    monkeypatch.setattr(S, "HELD_STRINGS", 3000)
+    rng = random.Random(length)
+
+    def text(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    phrase = text(length)
+    ends = [text(60) for _ in range(4)]  # some of what stands around comes back, too
+    rows = []
+    for k in range(360):
+        if k % 3 == 0:
+            around = text(rng.randint(0, 120)), text(rng.randint(0, 120))
+            if rng.random() < 0.2:
+                around = around[0] + rng.choice(ends), rng.choice(ends) + around[1]
+            rows.append((k, around[0] + phrase + around[1]))
+        else:
+            rows.append((k, text(200)))
+    rows += [(700, phrase * 3), (700, phrase * 3), (None, phrase), (rows[0][0], rows[0][1])]
+    seen = []
+    hot = S._hot
+    monkeypatch.setattr(S, "_hot", lambda again, n: seen.append(hot(again, n)) or seen[-1])
+    check(spark, rows)
+    assert len(seen[0]) and len(seen[0]) <= S.HOT_PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_weights_of_grams_over_batches():
+    """Places that share a slot are told once each, and a slot's surroundings are summed over batches of any size."""
+    rng = random.Random(4)
+    slots = sorted(rng.choice(range(40)) for _ in range(300))
+    rows = [(s, 1000 + k, rng.random() < 0.2, rng.randint(1, 40)) for k, s in enumerate(slots)]
+    cuts = sorted(rng.sample(range(1, 300), 60)) + [300]
+    batches, at = [], 0
+    for cut in cuts:
+        batches.append(S._rows(list(zip(*rows[at:cut])), [S.pa.int64(), S.pa.int64(), S.pa.bool_(), S.pa.int32()], list("sakw")))
+        at = cut
+    got = [r for b in S._repeated(iter(batches)) for r in b.to_pylist()]
+    want = [(a, w) for s, a, known, w in rows if known or slots.count(s) > 1]
+    assert sorted((r["at"], r["weight"]) for r in got if r["slot"] is None) == sorted(want)
+    sums = {s: sum(r[3] for r in rows if r[0] == s) for s in slots}
+    assert {r["slot"]: r["weight"] for r in got if r["slot"] is not None} == {s: w for s, w in sums.items() if w >= S.HOT_LEAST}
+
+
 def test_edges_of_the_table(edge_docs, no_docs):
     rows = S.remove_repeats(edge_docs).collect()
     texts = [(r.doc_id, r.text) for r in edge_docs.collect()]
