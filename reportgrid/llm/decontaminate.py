@@ -16,7 +16,7 @@ The expected recall for an edit at each word with probability MAX_EDITS / 2 is a
 The benchmark is the stated set of questions: it is taken in blocks of about ``BLOCK_WORDS`` words, chosen by hash, each sent to
 all tasks; documents are read once per block and never shuffled. All documents are searched whole.
 
-Defined results: null and blank texts hold nothing; items of one different word say nothing and are not searched;
+Defined results: null and blank texts hold nothing; items without a word are in no document, an item of one word is in all that have it;
 a document with several places of an item has one row with the fewest edits, the first such place; repeated
 rows of documents get the same rows each, repeated items are one; rows without an id are searched and have a null id.
 """
@@ -24,14 +24,14 @@ rows of documents get the same rows each, repeated items are one; rows without a
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,26 +44,68 @@ LEAST_KEYED = 0.5
 BLOCK_WORDS = 200_000
 #: Words of documents that are embedded at once.
 CHUNK_WORDS = 1 << 16
-#: Word hashes that a task remembers.
-REMEMBERED = 500_000
+#: Characters hashed at once, and the base of a word's hash.
+SLICE, BASE = 1 << 17, 0xD1342543DE82EF95
 FILTER_BITS = 22
 WORD = re.compile(r"\w+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Hashes(dict):
-    """The hashes of the words in a piece of text without white space, worked out once for each piece."""
-
-    def __missing__(self, piece: str) -> list[int]:
-        found = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 7) | 1 for w in WORD.findall(piece)]
-        self[piece] = found
-        return found
-
-    def of(self, text: str | None) -> array:
-        """The hashes of all words of a text, lower-cased."""
-        if len(self) > REMEMBERED:
-            self.clear()
-        return array("Q", [h for piece in (text or "").lower().split() for h in self[piece]])
+@cache
+def _word_characters() -> np.ndarray:
+    """Which code points are word characters, as ``WORD`` has them."""
+    return np.fromiter((c.isalnum() or c == "_" for c in map(chr, range(sys.maxunicode + 1))), bool, sys.maxunicode + 1)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+@cache
+def _slice_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(BASE, SLICE + 1), _powers(pow(BASE, -1, 1 << 64), SLICE + 1)
+
+
+def _slices(text: str) -> Iterator[str]:
+    """The text in slices of about ``SLICE`` characters that cut no word."""
+    is_word, low = _word_characters(), 0
+    while low < len(text):
+        high = low + SLICE
+        if high < len(text):
+            while high > low and is_word[ord(text[high - 1])]:
+                high -= 1
+            if high == low:  # one word is longer than a slice
+                high += SLICE
+                while high < len(text) and is_word[ord(text[high])]:
+                    high += 1
+        yield text[low:high]
+        low = high
+
+
+def word_hashes(text: str | None) -> array:
+    """The hashes of all words of a text, lower-cased: sums of its characters' numbers times powers of an odd base, modulo 2**64,
+    as differences of running sums."""
+    out = array("Q")
+    for part in _slices((text or "").lower()):
+        points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+        edges = np.flatnonzero(np.diff(_word_characters()[points], prepend=False, append=False))
+        begin, end = edges[::2], edges[1::2]
+        up, down = _slice_powers()
+        if len(points) > SLICE:
+            up, down = _powers(BASE, len(points)), _powers(pow(BASE, -1, 1 << 64), len(points))
+        sums = np.zeros(len(points) + 1, np.uint64)
+        numbers = (points.astype(np.uint64) + np.uint64(1)) * MIX
+        numbers ^= numbers >> np.uint64(29)
+        numbers *= up[: len(points)]
+        np.cumsum(numbers, out=sums[1:])
+        found = (sums[end] - sums[begin]) * down[begin]
+        found ^= found >> np.uint64(32)
+        found *= MIX
+        found ^= found >> np.uint64(29)
+        out.frombytes((found | np.uint64(1)).tobytes())
+    return out
 
 
 def _walks() -> list[tuple[np.uint64, list[int]]]:
@@ -163,12 +205,15 @@ class Items:
         self.found = found
         self.sorted = [np.array(sorted(f), np.uint64) for f in found]
         mask = np.uint64((1 << FILTER_BITS) - 1)
-        self.filters = []
-        for each in self.sorted:
+
+        def as_filter(each: np.ndarray) -> np.ndarray:
             bits = np.zeros(1 << FILTER_BITS, bool)
             bits[each & mask] = True
-            self.filters.append(bits)
+            return bits
+
+        self.filters = [as_filter(each) for each in self.sorted]
         self.sorted_pieces = {n: np.array(sorted(f), np.uint64) for n, f in self.pieces.items()}
+        self.piece_filters = {n: as_filter(each) for n, each in self.sorted_pieces.items()}
 
     def _add_pieces(self, number: int, item: np.ndarray) -> None:
         for begin, end in pieces(len(item)):
@@ -194,7 +239,8 @@ class Items:
         for n, key in runs(padded, max(self.pieces, default=0)):
             if n not in self.pieces:
                 continue
-            hits = np.flatnonzero(np.isin(key, self.sorted_pieces[n]))
+            hits = np.flatnonzero(self.piece_filters[n][key & mask])
+            hits = hits[np.isin(key[hits], self.sorted_pieces[n])]
             of = np.searchsorted(starts, hits, "right") - 1
             for at, doc in zip(hits.tolist(), of.tolist()):
                 for number, place in self.pieces[n][int(key[at])]:
@@ -202,6 +248,8 @@ class Items:
                     places.add((doc, number, (at - int(starts[doc]) - place) // slack))
         best: dict[tuple[int, int], tuple[int, int]] = {}
         for doc, number, diagonal in sorted(places):
+            if best.get((doc, number), (1, 0))[0] == 0:
+                continue  # an unchanged place further on ends later
             item = self.rows[number][1]
             most = int(MAX_EDITS * len(item))
             first = max(0, diagonal * (most + 1) - most)
@@ -243,14 +291,13 @@ def leaks(
     names = ["doc_id", "item_id", "edits", "item_words", "end_word"]
     found = []
     for block in _blocks(benchmark, item_col, item_text_col):
-        known = Hashes()
-        items = [(i, h) for i, t in block if len(set(h := known.of(t))) > 1]
+        items = [(i, h) for i, t in block if len(h := word_hashes(t))]
         if not items:
             continue
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            asked, hashes = Items(sent.value), Hashes()
+            asked = Items(sent.value)
 
             def flush(ids: list, parts: list[array], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
                 out = [(ids[d], asked.rows[i][0], n, len(asked.rows[i][1]), end) for d, i, n, end in asked.search(parts)]
@@ -262,7 +309,7 @@ def leaks(
                 ids, parts, size = [], [], 0
                 for id_, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                     ids.append(id_)
-                    parts.append(hashes.of(text.as_py()))
+                    parts.append(word_hashes(text.as_py()))
                     size += len(parts[-1])
                     if size >= CHUNK_WORDS:
                         yield from flush(ids, parts, batch.schema.field(0).type)
