@@ -35,13 +35,22 @@ def row_flags(
     keys: Sequence[str],
     tokens: Iterable[str],
     keywords: Sequence[Iterable[str]] = (),
+    heads: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Per row: ``ratio`` of empty cells, ``header`` likeness and one flag per keyword list."""
+    """Per row: ``ratio`` of empty cells, ``header`` likeness and one flag per keyword list.
+
+    With ``heads`` also ``head_text``, the text of a group's first ``heads`` rows, so that titles and split points are both
+    found from the flags and the cells are read once. ``keep`` names further columns of the rows.
+    """
     cells, normed = F.col("cells"), F.col("__normed")
     words = [contains_keyword(cells, w).alias(f"word{i}") for i, w in enumerate(keywords)]
-    return rows.select(*keys, "row_idx", C.norm_row(cells).alias("__normed"), *words).select(
+    text = [] if heads is None else [F.when(F.col("row_idx") < heads, C.row_text(cells)).alias("head_text")]
+    kept = [*keep] if heads is None else [*keep, "head_text"]
+    return rows.select(*keys, "row_idx", *keep, *text, C.norm_row(cells).alias("__normed"), *words).select(
         *keys,
         "row_idx",
+        *kept,
         empty_ratio(normed, normed=True).alias("ratio"),
         looks_like_header(normed, tokens, normed=True).alias("header"),
         *[f"word{i}" for i in range(len(keywords))],
@@ -106,7 +115,39 @@ def split_candidates(
     ``hits`` counts how often a point was found.
     """
     # the flags are few bytes a row: written once, for several passes read them
-    flags = staged(row_flags(rows, keys, tokens, keywords))
+    return flagged_candidates(
+        staged(row_flags(rows, keys, tokens, keywords)),
+        keys,
+        len(keywords),
+        sparse_threshold=sparse_threshold,
+        dense_threshold=dense_threshold,
+        max_lookahead=max_lookahead,
+        confirm_header=confirm_header,
+        leading_title_rows=leading_title_rows,
+        title_threshold=title_threshold,
+        max_scan=max_scan,
+        bucket_rows=bucket_rows,
+        carry=carry,
+    )
+
+
+def flagged_candidates(
+    flags: DataFrame,
+    keys: Sequence[str],
+    n_keywords: int,
+    *,
+    sparse_threshold: float = 0.85,
+    dense_threshold: float = 0.5,
+    max_lookahead: int = 2,
+    confirm_header: bool = True,
+    leading_title_rows: int = 0,
+    title_threshold: float = 0.5,
+    max_scan: int | None = None,
+    bucket_rows: int = BUCKET_ROWS,
+    carry: bool = True,
+) -> DataFrame:
+    """The same from staged ``row_flags`` with ``n_keywords`` keyword lists."""
+    flags = flags.select(*keys, "row_idx", "ratio", "header", *[f"word{i}" for i in range(n_keywords)])
     flags = with_neighbours(flags, "row_idx", max_lookahead, 1, bucket_rows)
     if leading_title_rows:
         flags = drop_leading_rows(
@@ -129,7 +170,7 @@ def split_candidates(
             F.when(is_sparse_point, 1).otherwise(0).alias("hits"),
         )
     ]
-    for i in range(len(keywords)):
+    for i in range(n_keywords):
         hit = F.col(f"word{i}") & ~F.col("header")
         count, clear = F.lit(0), F.lit(True)
         for back in range(1, max_lookahead + 1):

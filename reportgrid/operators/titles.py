@@ -18,6 +18,14 @@ def head_entry(pos: Column, cells: Column, threshold: float) -> Column:
     )
 
 
+def entry_of(rows: DataFrame, threshold: float) -> Column:
+    """The head entry of a row, from its cells, or from the ``ratio`` and ``head_text`` of flagged rows."""
+    if "head_text" not in rows.columns:
+        return head_entry(F.col("row_idx"), F.col("cells"), threshold)
+    sparse = F.coalesce(F.col("ratio") >= threshold, F.lit(False))
+    return F.struct(F.col("row_idx").alias("pos"), sparse.alias("sparse"), F.col("head_text").alias("text"))
+
+
 def leading_sparse(head: Column) -> Column:
     """How many entries stand before the first dense one."""
     dense_at = F.array_position(F.transform(head, lambda h: h["sparse"]), F.lit(False))
@@ -46,11 +54,10 @@ def first_rows(
     The filter reaches the scan, so only these rows are gathered; ``extent`` (all groups, by default found by
     a plain aggregate) keeps the groups without any.
     """
-    pos = F.col("row_idx")
     heads = (
-        rows.filter(pos < size)
+        rows.filter(F.col("row_idx") < size)
         .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(head_entry(pos, F.col("cells"), threshold))).alias("__head"))
+        .agg(F.sort_array(F.collect_list(entry_of(rows, threshold))).alias("__head"))
     )
     groups = rows.select(*keys).distinct() if extent is None else extent
     none = F.array().cast(heads.schema["__head"].dataType)
@@ -103,7 +110,7 @@ def page_heads(
     ``narrow``, ``repeated`` and ``bad_time`` say that some row of the page is flagged so, ``gaps`` that rows are missing.
 
     With ``drop_rows`` the subtitle is read after the title's rows are gone, else both are
-    read from the same rows.
+    read from the same rows. Flagged rows (``splits.row_flags`` with ``heads=2 * max_title_rows``) serve in place of cells.
     """
     size = 2 * max_title_rows
     narrow = F.max(F.when(~F.col("narrow"), 1)).isNull() if "narrow" in rows.columns else F.lit(False)

@@ -799,7 +799,8 @@ def refined_parts(spark, sf_dir):
     """The named cells of every data row, one record per name."""
     rows, config = V.report_grid(spark, sf_dir)
     rows = report.stage_pages(spark, staged(rows), config, CFG)
-    starts = staged(report.find_tables(rows, staged(report.find_pages(rows, CFG)), CFG))
+    flags = staged(report.flag_rows(rows, CFG))
+    starts = staged(report.find_tables(flags, staged(report.find_pages(flags, CFG)), CFG))
     parts = report.add_periods(
         report.check_parts(report.find_parts(rows, starts, CFG), CFG), CFG, F.lit(AS_OF).cast("date")
     )

@@ -1,8 +1,8 @@
 """The whole job: grid rows in, typed fact table and quality artefacts out.
 
-The rows are dealt by page and row bucket once, and written so. Three passes over them, none of which moves a row again: one
-finds the tables of every page, one gathers the head of every table, one shapes the facts. Everything between works on one
-short record per page, table or part.
+The rows are dealt by page and row bucket once, and written so. Three passes over their cells, none of which moves a row again: one
+flags every row, one gathers the head of every table, one shapes the facts. Titles and split points come from the flags, a few
+bytes a row. Everything between works on one short record per page, table or part.
 """
 
 from __future__ import annotations
@@ -120,10 +120,22 @@ class ReportResult:
         return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
-def find_pages(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
+def flag_rows(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """All that titles and split points need of the rows, without their cells."""
+    return splits.row_flags(
+        rows,
+        PAGE,
+        cfg.header_tokens,
+        [cfg.keywords_primary, cfg.keywords_fallback],
+        heads=2 * cfg.max_title_rows,
+        keep=[c for c in ("page_pos", "n_col", "narrow", "repeated", "bad_time") if c in rows.columns],
+    )
+
+
+def find_pages(flags: DataFrame, cfg: ReportConfig) -> DataFrame:
     """One record per page: titles, number of rows, first row below the titles."""
     return titles.page_heads(
-        rows,
+        flags,
         PAGE,
         ["page_pos", "n_col"],
         cfg.max_title_rows,
@@ -133,14 +145,13 @@ def find_pages(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
 
 
 def find_tables(
-    rows: DataFrame, heads: DataFrame, cfg: ReportConfig, long_pages: bool = True
+    flags: DataFrame, heads: DataFrame, cfg: ReportConfig, long_pages: bool = True
 ) -> DataFrame:
     """One record per page and row bucket: titles and the table starts in the bucket."""
-    candidates = splits.split_candidates(
-        rows,
+    candidates = splits.flagged_candidates(
+        flags,
         PAGE,
-        cfg.header_tokens,
-        [cfg.keywords_primary, cfg.keywords_fallback],
+        2,
         sparse_threshold=cfg.split_empty_threshold,
         max_lookahead=cfg.max_lookahead,
         confirm_header=cfg.confirm_header,
@@ -386,9 +397,10 @@ def _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys, histor
     documents = rows.select("doc_id").distinct()
     rows = stage_pages(spark, rows, config, cfg)
 
-    heads = staged(find_pages(rows, cfg))
+    flags = staged(flag_rows(rows, cfg))
+    heads = staged(find_pages(flags, cfg))
     long_pages = reaches(heads, "n_rows", cfg.bucket_rows + 1)
-    starts = staged(find_tables(rows, heads, cfg, long_pages))
+    starts = staged(find_tables(flags, heads, cfg, long_pages))
     parts = staged(check_parts(find_parts(rows, starts, cfg), cfg))
     parts = staged(add_periods(parts, cfg, as_of))
 

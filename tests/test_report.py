@@ -1,4 +1,5 @@
 import json
+import re
 from dataclasses import replace
 
 import pytest
@@ -260,3 +261,31 @@ def test_page_extents_tell_narrow_pages_and_blank_rows(spark):
     beyond = cells.withColumn("row_idx", F.col("row_idx") + 1000)
     assert G.rows_from_cells(beyond, G.page_config(spark, {5: 8}), keep, extents).filter("size(filter(cells, c -> c IS NOT NULL)) > 0").count() == 0
     assert G.rows_from_cells(cells, G.page_config(spark, {5: 8}), keep, extents.limit(0)).count() == 0
+
+
+def test_titles_and_split_points_come_from_the_flags(spark, sf_dir, monkeypatch):
+    """After the rows are laid out their cells are read three times: for flags, table heads and facts."""
+    rows, config = V.report_grid(spark, sf_dir)
+    rows = staging.staged(rows)
+    plans = plans_written(monkeypatch, R, splits)
+    R.run_report(spark, rows, config, ReportConfig(), F.lit(AS_OF).cast("date"), strict_columns=False)
+    reads = [re.findall(r"ReadSchema: (.*)", plan) for plan in plans]
+    reads = [[s for s in schemas if "cells:array<string>" in s] for schemas in reads]
+    assert [len(schemas) for schemas in reads if schemas] == [1, 1, 1, 1], reads  # the layout itself, flags, table heads, facts
+
+
+@pytest.mark.parametrize("most", [0, 1, 2])
+@pytest.mark.parametrize("drop", [True, False])
+def test_flags_serve_in_place_of_cells(spark, most, drop):
+    """Titles and split points from the flags equal those from the cells; blank, null and short pages included."""
+    pages = {1: PAGE, 2: [wide(), wide("x"), *PAGE], 3: [wide()], 4: [[None] * 8, *PAGE[:2]], 5: [data("a", 1)]}
+    rows = G.configured_rows(grid(spark, pages, page=5), G.page_config(spark, {5: 8}))
+    cfg = ReportConfig(max_title_rows=most, drop_title_rows=drop)
+    flags = staging.staged(R.flag_rows(rows, cfg))
+    assert "cells" not in flags.columns
+    heads, want = R.find_pages(flags, cfg), R.find_pages(rows, cfg)
+    assert rows_of(heads) == rows_of(want) and heads.count() == 5
+    words = [cfg.keywords_primary, cfg.keywords_fallback]
+    for bucket_rows in (1024, 5):
+        found = splits.flagged_candidates(flags, R.PAGE, 2, bucket_rows=bucket_rows)
+        assert rows_of(found) == rows_of(splits.split_candidates(rows, R.PAGE, cfg.header_tokens, words, bucket_rows=bucket_rows))
