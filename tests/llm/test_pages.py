@@ -100,6 +100,20 @@ def test_weights_from_labelled_pages(spark):
     assert H.extract(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("change", [(r"</?article>", ""), (r"<(/?)article>", r"<\1div>"), (r"<(/?)(article|nav|footer)>", r"<\1div>")])
+def test_pages_without_their_marks(change):
+    """Weights from one half of the pages find the same text on the other half once its marks are taken off."""
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist()
+    seen = H.Counter()
+    for page in pages[::2]:
+        H.count_blocks(page, seen)
+    known = H.weights(dict(seen))
+    for page in pages[1::2]:
+        assert H.main_text(re.sub(*change, page), known) == H.main_text(page, known) != ""
+
+
 def test_pages_of_the_table(spark):
     import html
 
