@@ -2,7 +2,8 @@
 
 Records are made by SQL expressions, packed as a gzip member each, and written by Spark's text sink, so archives
 can lie in any store that Spark reaches. The sink's line separator is a zero byte, the last byte of every member of less than 16 MB; a larger
-one is followed by an empty member. A file holds ``max_records`` records at most. Of the records with equal payloads of ``MIN_SHARED_BYTES`` or more, that with the largest id is a
+one is followed by an empty member. A file holds ``max_records`` records and ``max_bytes`` bytes at most, unless one record alone has
+more. Of the records with equal payloads of ``MIN_SHARED_BYTES`` or more, that with the largest id is a
 response and the others revisit it.
 
 Reading takes files of records, plain or as gzip members of one or more records. Each record is checked: version line,
@@ -34,9 +35,12 @@ LOG = logging.getLogger(__name__)
 END = "\r\n"
 #: Smaller payloads are stored each time.
 MIN_SHARED_BYTES = 1000
-#: Records in one file at most; a reader holds one file in memory.
+#: Records and packed bytes in one file at most; a reader holds one file in memory.
 MAX_RECORDS = 2000
+MAX_BYTES = 64 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Packed bytes that the writer gives out at a time.
+BATCH_BYTES = 8 << 20
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"
 
@@ -94,15 +98,48 @@ def pack(record: bytes) -> bytes:
     return member[:-1]
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        members = [pack(r.as_buffer().to_pybytes() + b"\r\n\r\n") for r in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array(members, pa.large_binary())], names=["member"])
+def file_numbers(sizes: Iterator[int], max_records: int, max_bytes: int) -> Iterator[int]:
+    """To which file of its task each member of so many bytes goes; files are filled in turn."""
+    number = count = total = 0
+    for size in sizes:
+        if count == max_records or (count and total + size > max_bytes):
+            number, count, total = number + 1, 0, 0
+        count, total = count + 1, total + size
+        yield number
 
 
-def write_archives(pages: DataFrame, folder: str, max_records: int = MAX_RECORDS, **columns: str) -> None:
-    members = records(pages, **columns).mapInArrow(_packed, "member binary").select(F.col("member").cast("string"))
-    members.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", max_records).text(folder)
+def write_archives(
+    pages: DataFrame, folder: str, max_records: int = MAX_RECORDS, max_bytes: int = MAX_BYTES, **columns: str
+) -> None:
+    """Writes the archives below ``folder``, in subfolders by the number of the file in its task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members: list[bytes] = []
+
+        def sizes() -> Iterator[int]:
+            for batch in batches:
+                for r in batch.column(0):
+                    members.append(pack(r.as_buffer().to_pybytes() + b"\r\n\r\n"))
+                    yield len(members[-1]) + 1
+
+        numbers: list[int] = []
+        held = 0
+        for number in file_numbers(sizes(), max_records, max_bytes):
+            numbers.append(number)
+            held += len(members[-1])
+            if held >= BATCH_BYTES:
+                yield _batch(numbers, members)
+                numbers, held = [], 0
+                members.clear()
+        if numbers:
+            yield _batch(numbers, members)
+
+    packed = records(pages, **columns).mapInArrow(run, "file int, member binary").select("file", F.col("member").cast("string"))
+    packed.write.partitionBy("file").option("lineSep", "\0").option("compression", "none").text(folder)
+
+
+def _batch(numbers: list[int], members: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(members, pa.large_binary())], names=["file", "member"])
 
 
 # --- reading ---------------------------------------------------------------------------

@@ -166,7 +166,7 @@ def test_records_without_digest_need_a_whole_member():
 def test_the_writer_makes_a_member_per_record(spark, pages, tmp_path):
     warc.write_archives(pages, str(tmp_path / "m"))
     n = 0
-    for file in (tmp_path / "m").glob("part-*"):
+    for file in (tmp_path / "m").rglob("part-*"):
         data = file.read_bytes()
         found = list(warc.salvage(data))
         starts = [x[1] for x in found]
@@ -204,3 +204,25 @@ def test_many_lone_version_lines_take_linear_time():
     found = list(warc.salvage(b"WARC/1.1\r\n" * 80_000 + warc_record(2)))
     assert time.perf_counter() - began < 5
     assert len(found) == 80_001 and found[-1][3]["page_id"] == 2
+
+
+def test_file_numbers():
+    assert list(warc.file_numbers(iter([5, 5, 5, 20, 1, 9, 1]), 10, 10)) == [0, 0, 1, 2, 3, 3, 4]
+    assert list(warc.file_numbers(iter([1] * 5), 2, 10)) == [0, 0, 1, 1, 2]
+    assert list(warc.file_numbers(iter([]), 2, 10)) == []
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    """No file of several records is larger than the bound, and all records come back from all files."""
+    rng = random.Random(5)
+    sizes = [rng.choice([0, 10, 20_000, 150_000]) for _ in range(60)]
+    rows = [(k, f"http://x/{k}", "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))) for k, n in enumerate(sizes)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    warc.write_archives(pages, str(tmp_path / "b"), max_bytes=100_000)
+    files = list((tmp_path / "b").rglob("part-*"))
+    held = [[k for kind, _, _, k in warc.salvage(f.read_bytes()) if kind == "record"] for f in files]
+    assert len(files) > 10 and all(f.stat().st_size <= 100_000 or len(h) == 1 for f, h in zip(files, held))
+    found, gaps = warc.recovered(spark, str(tmp_path / "b"))
+    assert gaps.count() == 0
+    got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in found.collect()}
+    assert got == {k: (len(html), hashlib.sha1(html.encode()).hexdigest()) for k, _, html in rows}
