@@ -36,10 +36,10 @@ def is_empty(cell: Column) -> Column:
 
 
 def norm_row(cells: Column) -> Column:
-    """All cells normalised; each is stripped once."""
+    """All cells normalised; each is stripped once. Only texts of three bytes can be a ``nan``."""
     return F.transform(
         F.transform(cells, strip),
-        lambda t: F.when(t.isNull() | (F.lower(t) == "nan"), F.lit("")).otherwise(t),
+        lambda t: F.when(t.isNull() | ((F.octet_length(t) == 3) & (F.lower(t) == "nan")), F.lit("")).otherwise(t),
     )
 
 
@@ -71,7 +71,10 @@ def looks_like_header(
     numeric_threshold: float = 0.5,
     normed: bool = False,
 ) -> Column:
-    """At most ``max_unknown`` words outside ``tokens`` and not mostly numbers."""
+    """At most ``max_unknown`` words outside ``tokens`` and not mostly numbers.
+
+    The words are looked at first: few rows of data pass, and only of those each cell is matched with the pattern of a number.
+    """
     known = F.array(*[F.lit(t) for t in known_tokens(tokens)]).cast("array<string>")
 
     def decide(values: Column) -> Column:
@@ -79,8 +82,8 @@ def looks_like_header(
         words = F.split(F.array_join(values, " "), " ")
         return (
             (F.size(values) > 0)
-            & (numeric <= F.size(values) * numeric_threshold)
             & (F.size(F.array_except(words, known)) <= max_unknown)
+            & (numeric <= F.size(values) * numeric_threshold)
         )
 
     return let(F.transform(filled(cells, normed), F.lower), decide)
@@ -109,18 +112,19 @@ def token_class(cell: Column) -> Column:
 
 
 def contains_keyword(cells: Column, keywords: Iterable[str]) -> Column:
-    """Any cell holds any keyword, whatever the case."""
+    """Any cell holds any keyword, whatever the case.
+
+    The cells are searched as one text, with a mark between them that no keyword holds.
+    """
     words = [k.lower() for k in keywords]
     if not words:
         return F.lit(False)
-
-    def hit(cell: Column) -> Column:
-        found = F.contains(cell, F.lit(words[0]))
-        for word in words[1:]:
-            found = found | F.contains(cell, F.lit(word))
-        return found
-
-    return F.coalesce(F.exists(cells, lambda c: hit(F.lower(F.coalesce(c, F.lit(""))))), F.lit(False))
+    mark = next(m for m in ("\n", *map(chr, range(32))) if all(m not in w for w in words))
+    text = F.lower(F.array_join(F.when(F.size(cells) > 0, cells), mark))
+    found = F.contains(text, F.lit(words[0]))
+    for word in words[1:]:
+        found = found | F.contains(text, F.lit(word))
+    return F.coalesce(found, F.lit(False))
 
 
 def row_text(cells: Column) -> Column:

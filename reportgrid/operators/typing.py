@@ -6,12 +6,12 @@ is profiled by one aggregation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportgrid.functions.numbers import parse_eu_number, parse_percent
+from reportgrid.functions.numbers import is_eu_number, is_percent, parse_eu_number, parse_percent
 
 PERCENT, NUMBER, TEXT = "percent", "number", "text"
 
@@ -23,22 +23,27 @@ def column_entries(columns: Sequence[str]) -> Column:
     )
 
 
-def column_profile(rows: DataFrame, entries: Column, keys: Sequence[str] = ()) -> DataFrame:
+def column_profile(
+    rows: DataFrame, entries: Column, keys: Sequence[str] = (), clean: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """Per column: non-null values, how many hold ``%`` or a digit, and how many each parse loses.
 
-    Columns without any value have no record.
+    Columns without any value have no record. ``clean`` is applied to the texts once they are unfolded. What a parse loses is told by
+    patterns, without a cast.
     """
     text = F.col("text")
+    cells = rows.select(*keys, F.inline(entries))
+    if clean is not None:
+        cells = cells.withColumn("text", clean(text))
     return (
-        rows.select(*keys, F.inline(entries))
-        .filter(text.isNotNull())
+        cells.filter(text.isNotNull())
         .groupBy(*keys, "name")
         .agg(
             F.count(F.lit(1)).alias("n_values"),
             F.count_if(F.contains(text, F.lit("%"))).alias("n_percent"),
             F.count_if(text.rlike(r"\p{Nd}")).alias("n_digit"),
-            F.count_if(parse_percent(text).isNull()).alias("lost_percent"),
-            F.count_if(parse_eu_number(text).isNull()).alias("lost_number"),
+            F.count_if(~is_percent(text)).alias("lost_percent"),
+            F.count_if(~is_eu_number(text)).alias("lost_number"),
         )
     )
 
@@ -53,11 +58,11 @@ def wide_profile(rows: DataFrame, columns: Sequence[str], kinds: Sequence[str] =
         text = F.col(f"`{c}`")
         percent = [
             F.count_if(F.contains(text, F.lit("%"))),
-            F.count_if(text.isNotNull() & parse_percent(text).isNull()),
+            F.count_if(~is_percent(text)),
         ]
         number = [
             F.count_if(text.rlike(r"\p{Nd}")),
-            F.count_if(text.isNotNull() & parse_eu_number(text).isNull()),
+            F.count_if(~is_eu_number(text)),
         ]
         none = [F.lit(0).cast("long")] * 2
         (p, lp), (d, ln) = (m if k in kinds else none for k, m in ((PERCENT, percent), (NUMBER, number)))
@@ -171,19 +176,19 @@ def smart_types(
 
 def lost_values(
     rows: DataFrame, entries: Column, decided: DataFrame | dict[str, str], index: Column,
-    keys: Sequence[str] = (),
+    keys: Sequence[str] = (), clean: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Log of the values a percent conversion turns into null: ``column, index, or_val``.
 
-    With the decisions as a dict only the cells of percent columns are unfolded and parsed.
+    With the decisions as a dict only the cells of percent columns are unfolded and parsed. ``clean`` is applied to the unfolded texts.
     """
     if isinstance(decided, dict):
         percent = [c for c, kind in decided.items() if kind == PERCENT]
         entries = F.filter(entries, lambda e: e["name"].isin(percent) if percent else F.lit(False))
-    cells = (
-        rows.select(*keys, index.alias("index"), F.inline(entries))
-        .filter(F.col("text").isNotNull() & parse_percent(F.col("text")).isNull())
-    )
+    cells = rows.select(*keys, index.alias("index"), F.inline(entries))
+    if clean is not None:
+        cells = cells.withColumn("text", clean(F.col("text")))
+    cells = cells.filter(~is_percent(F.col("text")))
     if not isinstance(decided, dict):
         cells = cells.join(
             decided.filter(F.col("kind") == PERCENT).select("name"), "name", "left_semi"

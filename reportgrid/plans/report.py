@@ -71,7 +71,7 @@ class ReportResult:
     def lost_values(self) -> DataFrame:
         decided = self.decisions if self.decided is None else self.decided
         return typing.lost_values(
-            self.shaped, text_entries(self.cfg), decided, F.col("row_ordinal"), ["doc_id"]
+            self.shaped, text_entries(self.cfg), decided, F.col("row_ordinal"), ["doc_id"], null_sentinels
         )
 
     @cached_property
@@ -250,12 +250,20 @@ def add_periods(parts: DataFrame, cfg: ReportConfig, as_of: Column) -> DataFrame
 def part_rows(
     rows: DataFrame, parts: DataFrame, cfg: ReportConfig, long_pages: bool = True
 ) -> DataFrame:
-    """The data rows of the given parts, cells named in a map ``values``."""
+    """The data rows of the given parts, cells named in a map ``values``.
+
+    What depends on the names alone is worked out once a part.
+    """
+    distinct = (F.size(F.array_distinct("data_names")) == F.size("data_names")) & (F.size("data_names") > 0)
+    parts = parts.withColumns({
+        "__item_at": F.array_position("names", "item_agg").cast("int") - 1,
+        "__distinct": F.coalesce(distinct, F.lit(False)),
+    })
     columns = [
         "lo", "width", "table_id", "part_id", "parent_id", "seq", "idx", "ordinal", "first_data",
         "table_end", "names", "data_names", "is_problem", "page_title", "page_subtitle",
         "page_subtitle_1", "period_agg", "period_start",
-        *[c for c in ("capitolo", "sottocapitolo") if c in parts.columns],
+        *[c for c in ("capitolo", "sottocapitolo") if c in parts.columns], "__item_at", "__distinct",
     ]
     placed = part_ops.place_parts(
         parts.select(*PAGE, *columns), PAGE, "first_data", "table_end", cfg.bucket_rows
@@ -265,10 +273,8 @@ def part_rows(
         lambda p: (p["first_data"] <= F.col("row_idx")) & (F.col("row_idx") < p["table_end"]),
     )
     cells = F.slice(F.col("cells"), F.col("lo") + 1, F.col("width"))
-    item = F.get(cells, F.array_position("names", "item_agg").cast("int") - 1)
-    distinct = (F.size(F.array_distinct("data_names")) == F.size("data_names")) & (
-        F.size("data_names") > 0
-    )
+    item = F.get("cells", F.col("lo") + F.col("__item_at"))
+    item = F.when((F.col("__item_at") >= 0) & (F.col("__item_at") < F.col("width")), item)
     shaped = (
         with_bucket(rows, cfg.bucket_rows)
         .join(placed, [*PAGE, "bucket"])
@@ -279,7 +285,7 @@ def part_rows(
         .withColumn("item_raw", item)
         .withColumn(
             "values",
-            F.when(distinct, F.map_from_arrays("data_names", cells)).otherwise(
+            F.when(F.col("__distinct"), F.map_from_arrays("data_names", cells)).otherwise(
                 F.create_map().cast("map<string,string>")
             ),
         )
@@ -289,22 +295,14 @@ def part_rows(
         shaped, [*PAGE, "seq"], "row_idx", F.col("item_raw"), cfg.aggregation_keywords,
         bucket_rows=cfg.bucket_rows, bucket="bucket", carry=long_pages,
     )
-    return labelled.drop("first_data", "table_end", "ordinal", "item_raw", "bucket")
+    return labelled.drop("first_data", "table_end", "ordinal", "item_raw", "bucket", "__item_at", "__distinct")
 
 
 def text_entries(cfg: ReportConfig) -> Column:
-    """All text columns of a shaped row, sentinels nulled: named cells, statics, run id."""
+    """All text columns of a shaped row: named cells, statics, run id. Sentinels are nulled once the entries are unfolded."""
     fixed = [c for c in (*TEXT_STATICS, "run_id") if c not in cfg.typing_exclude]
-    named = F.transform(
-        F.map_entries("values"),
-        lambda e: F.struct(e["key"].alias("name"), null_sentinels(e["value"]).alias("text")),
-    )
-    static = F.array(
-        *[
-            F.struct(F.lit(c).alias("name"), null_sentinels(F.col(c).cast("string")).alias("text"))
-            for c in fixed
-        ]
-    )
+    named = F.map_entries("values").cast("array<struct<name:string,text:string>>")
+    static = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("text")) for c in fixed])
     entries = F.concat(named, static)
     if cfg.typing_exclude:
         return F.filter(entries, lambda e: ~e["name"].isin(*cfg.typing_exclude))
@@ -320,22 +318,33 @@ def static_columns(cfg: ReportConfig) -> set[str]:
 def final_projection(
     rows: DataFrame, cfg: ReportConfig, decisions: dict[str, str], keys: tuple[str, ...]
 ) -> DataFrame:
-    """Typed columns in the configured order."""
-    columns = []
-    for c in cfg.final_columns:
-        if c in ("page_num", "table_id", "capitolo", "sottocapitolo", "period_start"):
-            value = F.col(c)
-        elif c == "timestamp_utc":
-            value = utc_naive(F.col(c), rows.schema[c].dataType.simpleString())
-        elif c == "period_desc":
-            label = null_sentinels(F.col("period_agg"))
-            kind = decisions.get("period_agg", typing.TEXT)
-            value = period_desc(label) if kind == typing.TEXT else typing.convert(label, kind)
-        else:
-            raw = F.col(c) if c in static_columns(cfg) else F.try_element_at("values", F.lit(c))
-            value = typing.convert(null_sentinels(raw), decisions.get(c, typing.TEXT))
-        columns.append(value.alias(c))
-    return rows.select(*keys, *columns)
+    """Typed columns in the configured order.
+
+    Columns of one kind are converted by one expression over their list: an expression a column makes generated code of more than
+    8,000 bytes, which the JVM does not compile. Sentinels are no numbers, so only texts need them nulled.
+    """
+    made = ("page_num", "table_id", "capitolo", "sottocapitolo", "period_start", "timestamp_utc")
+    texts = {
+        c: F.col("period_agg") if c == "period_desc"
+        else F.col(c) if c in static_columns(cfg)
+        else F.try_element_at("values", F.lit(c))
+        for c in cfg.final_columns
+        if c not in made
+    }
+    kinds = {c: decisions.get("period_agg" if c == "period_desc" else c, typing.TEXT) for c in texts}
+    kept = [c for c in dict.fromkeys([*keys, *cfg.final_columns]) if c in keys or c in made]
+    lists, values = {}, {}
+    for kind in sorted(set(kinds.values())):
+        mine = [c for c in texts if kinds[c] == kind]
+        raw = F.array(*[texts[c].cast("string") for c in mine])
+        lists[f"__{kind}"] = F.transform(raw, null_sentinels if kind == typing.TEXT else lambda t: typing.convert(t, kind))  # noqa: B023
+        values |= {c: F.get(f"__{kind}", F.lit(i)) for i, c in enumerate(mine)}
+    if kinds.get("period_desc") == typing.TEXT:
+        values["period_desc"] = period_desc(values["period_desc"])
+    rows = rows.select(*kept, *[v.alias(k) for k, v in lists.items()])
+    if "timestamp_utc" in cfg.final_columns:
+        values["timestamp_utc"] = utc_naive(F.col("timestamp_utc"), rows.schema["timestamp_utc"].dataType.simpleString())
+    return rows.select(*keys, *[values.get(c, F.col(c)).alias(c) for c in cfg.final_columns])
 
 
 def check_final_columns(parts: DataFrame, cfg: ReportConfig) -> None:
@@ -413,9 +422,11 @@ def _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys, histor
 
     decided = profile = None
     if decisions is None:
-        shaped = staged(shaped)
+        # the facts and the profile read the named cells alone
+        shaped = staged(shaped.drop(*[c for c in ("cells", "names", "data_names") if c not in keys]))
         total = clean.agg(F.sum("n_data")).first()[0] or 0
-        profile = typing.with_rows(typing.column_profile(shaped, text_entries(cfg)), F.lit(total))
+        found = typing.column_profile(shaped, text_entries(cfg), clean=null_sentinels)
+        profile = typing.with_rows(found, F.lit(total))
         if history is not None:
             profile = typing.merge_profiles(staged(profile), history)
         decided = typing.decide_types(

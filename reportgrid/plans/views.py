@@ -42,8 +42,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def doc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as pages: each line gives rows of eight words, all words of all lines."""
+#: Bytes of text that one task unfolds into cells, each a record of some hundred bytes that is sorted twice.
+TASK_TEXT = 4 << 20
+
+
+def text_tasks(spark: SparkSession, sf_dir: str, task_bytes: int = TASK_TEXT) -> int:
+    """How many tasks unfold ``documents`` into cells: as many as the bytes of the texts ask for, not fewer than there are cores."""
+    size = table(spark, sf_dir, "documents").agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(spark.sparkContext.defaultParallelism, -(-size // task_bytes))
+
+
+def doc_rows(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """``documents`` as pages: each line gives rows of eight words, all words of all lines. ``tasks`` states how many share them, dealt by page."""
 
     def line_rows(line: Column) -> Column:
         return let(
@@ -58,12 +68,13 @@ def doc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = F.concat("c", F.array_repeat(F.lit(""), F.lit(DOC_WIDTH) - F.size("c")))
     return (
         table(spark, sf_dir, "documents")
-        .select("doc_id", "text")
-        .repartition("doc_id")  # what follows works page by page: dealt once, before the rows unfold
-        .select("doc_id", F.posexplode(rows).alias("row_idx", "c"))
+        .select("doc_id", F.col("doc_id").cast("int").alias("page_num"), "text")
+        # what follows works page by page: dealt once, before the rows unfold
+        .repartition(*([tasks, "doc_id", "page_num"] if tasks else ["doc_id"]))
+        .select("doc_id", "page_num", F.posexplode(rows).alias("row_idx", "c"))
         .select(
             "doc_id",
-            F.col("doc_id").cast("int").alias("page_num"),
+            "page_num",
             "row_idx",
             padded.alias("cells"),
         )
@@ -220,15 +231,12 @@ def _half_row(label: Column) -> Column:
     doc = F.col("doc_id")
     pct = F.concat((a25 % 97 - 48).cast("string"), F.lit("%"))
     odd = (doc % 20 == 2) & (F.col("line") == 1)
+    # one expression over the list of amounts: one for each makes more generated code than the JVM compiles
+    amounts = F.transform(F.array(a25, a24, a25 + a24, a25 - a24, -a24), eu_text)
+    row = F.concat(F.array(label), amounts, F.array(F.concat((a24 % 89).cast("string"), F.lit("%"))))
+    last = F.when(doc % 20 == 18, "n.s.").otherwise(F.get(row, F.lit(5)))
     return F.array(
-        label,
-        eu_text(a25),
-        eu_text(a24),
-        eu_text(a25 + a24),
-        eu_text(a25 - a24),
-        F.when(odd, "n.a.%").otherwise(pct),
-        F.when(doc % 20 == 18, "n.s.").otherwise(eu_text(-a24)),
-        F.concat((a24 % 89).cast("string"), F.lit("%")),
+        *[F.get(row, F.lit(i)) for i in range(5)], F.when(odd, "n.a.%").otherwise(pct), last, F.get(row, F.lit(6))
     )
 
 
@@ -306,7 +314,8 @@ def report_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
     label = _line_label()
     measures = _measures(spark, sf_dir)
-    half = _half_row(label)
+    measures = measures.withColumn("half", _half_row(label))
+    half = F.col("half")
     coded = F.when(F.col("line") % 2 == 0, "HI").otherwise("LO")
     with_code = F.concat(
         F.array(label, coded), F.slice(half, 2, 1), F.slice(half, 4, 5)
