@@ -48,7 +48,8 @@ def _numbers(values: Column) -> Column:
 @query
 def grid_scan(spark, sf_dir):
     """Cells table back to rows, as wide as configured; empty cells have no record, so blank rows have none at all."""
-    rows = V.doc_rows(spark, sf_dir)
+    # cells are many times their text, which is what a shuffle's bytes are measured by
+    rows = V.doc_rows(spark, sf_dir, V.text_tasks(spark, sf_dir))
     cells = rows.select(*PAGE, "row_idx", F.posexplode("cells").alias("col_idx", "value")).filter("value <> ''")
     config = rows.select(*PAGE).distinct().select(
         *PAGE, F.lit(0).alias("page_pos"), (F.col("doc_id") % 4 + 5).cast("int").alias("n_col")
