@@ -40,12 +40,29 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+#: Rows of a share that one task writes.
+TASK_ROWS = 500_000
+
+
+def _dealt(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """A staged frame dealt by share, and inside large shares by all of a row, so that tasks grow in number and not in size."""
+    sizes = df.groupBy(SHARE).agg(F.count(F.lit(1)).alias("n"))
+    size = sizes.agg(F.count(F.lit(1)).alias("shares"), F.max("n").alias("most")).first()
+    pieces = -(-(size["most"] or 0) // task_rows)
+    if pieces <= 1:
+        return df.repartition(SHARE)
+    hashed = [c.name for c in df.schema.fields if "map<" not in c.dataType.simpleString()]
+    return df.repartition(size["shares"] * pieces, SHARE, F.pmod(F.xxhash64(*hashed), F.lit(pieces)))
+
+
 def replace_documents(df: DataFrame, table: str, key: str = "doc_id", shares: int = 64) -> None:
     """Writes the facts of the documents in ``df`` into a managed table, in place of those it holds of them.
 
     Documents are dealt to ``shares`` partitions by their hash. Everything that can fail is done beside the table: the new rows,
     and the kept rows of the partitions they fall in, are written to the shared folder first. Then these partitions alone are
     swapped by a dynamic overwrite, which moves finished files at its commit. A run that fails leaves the old facts.
+
+    A share of many rows is written by several tasks, about one for :data:`TASK_ROWS`: each task sorts what it writes.
     """
     spark = df.sparkSession
     share = F.pmod(F.xxhash64(key), F.lit(shares)).cast("int")
@@ -56,9 +73,9 @@ def replace_documents(df: DataFrame, table: str, key: str = "doc_id", shares: in
         kept = held.join(written.select(key), held[key].eqNullSafe(written[key]), "left_anti")
         whole = after.unionByName(kept, allowMissingColumns=True).select(*spark.table(table).columns)
         with _dynamic_overwrite(spark):
-            staged(whole).repartition(SHARE).write.mode("overwrite").insertInto(table)
+            _dealt(staged(whole)).write.mode("overwrite").insertInto(table)
     else:
-        after.repartition(SHARE).write.partitionBy(SHARE).saveAsTable(table)
+        _dealt(after).write.partitionBy(SHARE).saveAsTable(table)
 
 
 def flat_arrays(df: DataFrame) -> DataFrame:
