@@ -47,13 +47,11 @@ def with_neighbours(
         raise ValueError("the look-around must be shorter than a bucket")
     bucket = bucket_of(pos, bucket_rows)
     place = F.col(pos) % bucket_rows
-    none = F.lit(None).cast("long")
-    homes = F.array_compact(
-        F.array(
-            bucket,
-            F.when(place >= bucket_rows - before, bucket + 1).otherwise(none),
-            F.when((place < after) & (bucket > 0), bucket - 1).otherwise(none),
-        )
+    # no row is near both edges
+    homes = (
+        F.when(place >= bucket_rows - before, F.array(bucket, bucket + 1))
+        .when((place < after) & (bucket > 0), F.array(bucket, bucket - 1))
+        .otherwise(F.array(bucket))
     )
     return df.withColumn("bucket", F.explode(homes)).withColumn(
         "own", F.col("bucket") == bucket_of(pos, bucket_rows)

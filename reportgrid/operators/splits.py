@@ -148,7 +148,10 @@ def flagged_candidates(
 ) -> DataFrame:
     """The same from staged ``row_flags`` with ``n_keywords`` keyword lists."""
     flags = flags.select(*keys, "row_idx", "ratio", "header", *[f"word{i}" for i in range(n_keywords)])
-    flags = with_neighbours(flags, "row_idx", max_lookahead, 1, bucket_rows)
+    if carry:
+        flags = with_neighbours(flags, "row_idx", max_lookahead, 1, bucket_rows)
+    else:  # pages of one bucket have no edges
+        flags = flags.withColumns({"bucket": bucket_of("row_idx", bucket_rows), "own": F.lit(True)})
     if leading_title_rows:
         flags = drop_leading_rows(
             flags, keys, leading_title_rows, F.col("ratio") >= title_threshold
@@ -163,13 +166,8 @@ def flagged_candidates(
     is_sparse_point = sparse & scanned & ends_run & F.col("last_dense").isNotNull() & confirmed
 
     stops = F.col("header") | (F.col("ratio") < dense_threshold)
-    found = [
-        F.struct(
-            F.lit(SPARSE).alias("kind"),
-            F.col("row_idx").alias("point"),
-            F.when(is_sparse_point, 1).otherwise(0).alias("hits"),
-        )
-    ]
+    # hits and the point of each kind; few rows have any, and only those build records of them
+    hits = {"__hits0": F.when(is_sparse_point, 1).otherwise(0)}
     for i in range(n_keywords):
         hit = F.col(f"word{i}") & ~F.col("header")
         count, clear = F.lit(0), F.lit(True)
@@ -178,17 +176,20 @@ def flagged_candidates(
             count = count + F.when(clear & here, 1).otherwise(0)
             clear = clear & ~F.coalesce(F.lag(stops, back).over(near), F.lit(True))
         valid = F.col("header") & F.col("last_data").isNotNull()
-        found.append(
-            F.struct(
-                F.lit(i + 1).alias("kind"),
-                run_start().alias("point"),
-                F.when(valid, count).otherwise(0).alias("hits"),
-            )
+        hits[f"__hits{i + 1}"] = F.when(valid, count).otherwise(0)
+    found = [
+        F.struct(
+            F.lit(SPARSE + k).alias("kind"),
+            (F.col("row_idx") if k == SPARSE else run_start()).alias("point"),
+            F.col(name).alias("hits"),
         )
+        for k, name in enumerate(hits)
+    ]
     return (
-        flags.select(*keys, "own", F.array(*found).alias("__found"))
+        flags.withColumns(hits)
         .filter("own")
-        .select(*keys, F.inline(F.filter("__found", lambda f: f["hits"] > 0)))
+        .filter(F.greatest(*hits, F.lit(0)) > 0)
+        .select(*keys, F.inline(F.filter(F.array(*found), lambda f: f["hits"] > 0)))
         .groupBy(*keys, "kind", "point")
         .agg(F.sum("hits").alias("hits"))
     )

@@ -304,15 +304,26 @@ def split_points_keyword(spark, sf_dir):
     return found.filter("kind > 0").select("doc_id", "kind", "point", "hits")
 
 
-def _doc_points(rows: DataFrame) -> DataFrame:
-    heads = rows.groupBy("doc_id").agg((F.max("row_idx") + 1).cast("long").alias("n_rows")).withColumn("first_row", F.lit(0))
-    return splits.choose_points(staged(_doc_candidates(rows)), heads, ["doc_id"])
+def _doc_flags(spark, sf_dir) -> DataFrame:
+    """The flags of all rows, which are all that the split points need: the cells are never written."""
+    # flags cost far more than the bytes of their text let adaptive merging think
+    rows = V.doc_rows(spark, sf_dir, V.text_tasks(spark, sf_dir))
+    return staged(splits.row_flags(rows, ["doc_id"], V.DOC_TOKENS, [V.DOC_WORDS, V.DOC_WORDS_NEXT]))
+
+
+def _doc_points(flags: DataFrame) -> tuple[DataFrame, bool]:
+    """The points that count, and whether some page reaches into a second bucket."""
+    heads = flags.groupBy("doc_id").agg((F.max("row_idx") + 1).cast("long").alias("n_rows")).withColumn("first_row", F.lit(0))
+    heads = staged(heads)
+    carry = scans.reaches(heads, "n_rows", scans.BUCKET_ROWS + 1)
+    candidates = splits.flagged_candidates(flags, ["doc_id"], 2, carry=carry)
+    return splits.choose_points(staged(candidates), heads, ["doc_id"], carry=carry), carry
 
 
 @query
 def split_cascade(spark, sf_dir):
     """The points that count for each page, thinned where they come too thick."""
-    points = _doc_points(staged(V.doc_rows(spark, sf_dir)))
+    points = _doc_points(_doc_flags(spark, sf_dir))[0]
     return points.select("doc_id", "kind", F.explode("points").alias("point"))
 
 
@@ -327,9 +338,10 @@ def min_distance_points(spark, sf_dir):
 
 @query
 def split_tables(spark, sf_dir):
-    rows = staged(V.doc_rows(spark, sf_dir))
-    starts = splits.table_starts(_doc_points(rows), ["doc_id"])
-    return splits.assign_tables(rows, starts, ["doc_id"]).select(
+    flags = _doc_flags(spark, sf_dir)
+    points, carry = _doc_points(flags)
+    starts = splits.table_starts(points, ["doc_id"], carry)
+    return splits.assign_tables(flags.select("doc_id", "row_idx"), starts, ["doc_id"]).select(
         "doc_id", "row_idx", "table_id", (F.col("row_idx") - F.col("table_start")).alias("new_idx")
     )
 

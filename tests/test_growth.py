@@ -3,14 +3,17 @@
 import re
 
 import pytest
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from reportgrid.functions import numbers as X
 from reportgrid.functions.cells import contains_keyword
-from reportgrid.operators import typing
+from reportgrid.operators import parts as P
+from reportgrid.operators import scans, splits, typing
 from reportgrid.plans import queries as Q
 from reportgrid.plans import views as V
 from reportgrid.sinks import writers
+from reportgrid.sources.staging import staged
 
 
 def largest_method(df, capsys):
@@ -82,3 +85,32 @@ def test_cells_are_unfolded_by_as_many_tasks_as_the_text_asks_for(spark, sf_dir)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert not [line for line in plan.split("\n") if "Exchange" in line and "col_idx" in line]
+
+
+def test_split_points_come_from_the_flags_alone(spark, sf_dir, monkeypatch):
+    wide = []
+    monkeypatch.setattr(Q, "staged", lambda df: wide.extend(df.columns) or staged(df))
+    Q.split_tables(spark, sf_dir)
+    Q.split_cascade(spark, sf_dir)
+    assert "ratio" in wide and "cells" not in wide
+
+
+def test_pages_of_one_bucket_are_not_copied(spark, capsys):
+    flags = spark.range(3000).select(
+        F.floor(F.col("id") / 1000).alias("doc_id"), (F.col("id") % 1000).cast("int").alias("row_idx"),
+        (F.col("id") % 10 / 10).alias("ratio"), (F.col("id") % 3 == 0).alias("header"), (F.col("id") % 7 == 0).alias("word0"),
+    )
+    found = [splits.flagged_candidates(flags, ["doc_id"], 1, sparse_threshold=0.8, carry=c) for c in (True, False)]
+    assert rows_of(found[0]) == rows_of(found[1]) != []
+    capsys.readouterr()
+    found[1].explain(mode="extended")
+    optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1]
+    assert "Generate explode" not in optimized.replace("Generate inline", "")
+
+
+def test_edge_copies(spark):
+    rows = spark.range(12).select(F.col("id").cast("int").alias("row_idx"))
+    found = scans.with_neighbours(rows, "row_idx", 2, 1, 4)
+    assert rows_of(found) == sorted(
+        [(i, i // 4, True) for i in range(12)] + [(i, i // 4 + 1, False) for i in (2, 3, 6, 7, 10, 11)]
+        + [(i, i // 4 - 1, False) for i in (4, 8)], key=repr)
