@@ -33,20 +33,23 @@ def table_heads(
 ) -> DataFrame:
     """One record per table: its extent, its own title and its first rows after the title.
 
-    Of each table only the ``max_title_rows + header_rows`` first rows are gathered.
+    Of each table only the ``max_title_rows + header_rows`` first rows are gathered, in the pass that finds its extent.
     """
     size = max_title_rows + header_rows
     offset = F.col("row_idx") - F.col("table_start")
     entry = F.struct(offset.alias("pos"), F.col("cells").alias("cells"))
-    tables = rows.groupBy(*keys, "table_id", "table_start", *keep).agg(
-        (F.max("row_idx") + 1).alias("table_end")
-    )
-    first = (
-        rows.filter(offset < size)
-        .groupBy(*keys, "table_id")
-        .agg(F.sort_array(F.collect_list(entry)).alias("__head"))
+    tables = (
+        # other rows go without their cells, whatever the aggregate does with them
+        rows.select(
+            *keys, "table_id", "table_start", *keep, "row_idx", F.when(offset < size, entry).alias("__entry")
+        )
+        .groupBy(*keys, "table_id", "table_start", *keep)
+        .agg(
+            (F.max("row_idx") + 1).alias("table_end"),
+            F.sort_array(F.collect_list("__entry")).alias("__head"),
+        )
+        .filter(F.size("__head") > 0)
     )
-    tables = tables.join(first, [*keys, "table_id"])
     heads = F.transform("__head", lambda h: head_entry(h["pos"], h["cells"], threshold))
     titled = tables.withColumn(
         "__t", let(heads, lambda h: title_at(F.slice(h, 1, max_title_rows), F.lit(0), max_title_rows))

@@ -62,7 +62,8 @@ def configured_rows(
         rows = rows.withColumn("bucket", bucket_of("row_idx", bucket_rows))
         if partitions:
             rows = rows.repartition(partitions, *place)
-        joined = rows.join(buckets.drop("n_rows"), place)
+        # one record per page and bucket in a hash table: the rows need no sort to meet it
+        joined = rows.join(buckets.drop("n_rows").hint("shuffle_hash"), place)
     else:
         joined = rows.join(config, "page_num").withColumn("bucket", bucket_of("row_idx", bucket_rows))
         if partitions:

@@ -114,3 +114,14 @@ def test_edge_copies(spark):
     assert rows_of(found) == sorted(
         [(i, i // 4, True) for i in range(12)] + [(i, i // 4 + 1, False) for i in (2, 3, 6, 7, 10, 11)]
         + [(i, i // 4 - 1, False) for i in (4, 8)], key=repr)
+
+
+def test_table_heads_are_found_in_one_pass(spark):
+    rows = spark.createDataFrame(
+        [(1, 1, i, 0, 0, 2, [f"a{i}", "b"]) for i in range(9)] + [(1, 1, 30, 1, 20, 2, ["x", "y"])],
+        "doc_id bigint, page_num int, row_idx int, table_id int, table_start int, n_col int, cells array<string>",
+    )
+    heads = P.table_heads(rows, ["doc_id", "page_num"], ["n_col"], 3, 0.5, True)
+    assert [(r.table_id, r.table_end, r.head) for r in heads.collect()] == [(0, 9, [["a0", "b"], ["a1", "b"]])]
+    plan = heads._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
