@@ -716,7 +716,8 @@ def run_from_cells(spark: SparkSession, sf_dir: str, **options) -> report.Report
     rows, kept = staged(rows), ("run_id", "timestamp_utc")
     cells = rows.select(*PAGE, "row_idx", F.posexplode("cells").alias("col_idx", "value")).filter("value <> ''")
     again = grid.rows_from_cells(cells, config, kept, grid.page_extents(rows, kept))
-    return report.run_report(spark, again, config, CFG, as_of=F.lit(AS_OF).cast("date"), **options)
+    # the job reads its rows more than once: they are gathered from the cells once
+    return report.run_report(spark, staged(again), config, CFG, as_of=F.lit(AS_OF).cast("date"), **options)
 
 
 @query

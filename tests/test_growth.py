@@ -125,3 +125,10 @@ def test_table_heads_are_found_in_one_pass(spark):
     assert [(r.table_id, r.table_end, r.head) for r in heads.collect()] == [(0, 9, [["a0", "b"], ["a1", "b"]])]
     plan = heads._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_rows_of_cells_are_gathered_once(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Q.report, "run_report", lambda spark, rows, *a, **b: seen.append(rows))
+    Q.run_from_cells(spark, sf_dir)
+    assert "Aggregate" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
