@@ -64,8 +64,8 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 @cache
-def _slice_powers() -> tuple[np.ndarray, np.ndarray]:
-    return _powers(BASE, SLICE + 1), _powers(pow(BASE, -1, 1 << 64), SLICE + 1)
+def _slice_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(BASE, size + 1), _powers(pow(BASE, -1, 1 << 64), size + 1)
 
 
 def _slices(text: str) -> Iterator[str]:
@@ -92,7 +92,7 @@ def word_hashes(text: str | None) -> array:
         points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
         edges = np.flatnonzero(np.diff(_word_characters()[points], prepend=False, append=False))
         begin, end = edges[::2], edges[1::2]
-        up, down = _slice_powers()
+        up, down = _slice_powers(SLICE)
         if len(points) > SLICE:
             up, down = _powers(BASE, len(points)), _powers(pow(BASE, -1, 1 << 64), len(points))
         sums = np.zeros(len(points) + 1, np.uint64)
