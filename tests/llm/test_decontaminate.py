@@ -155,3 +155,14 @@ def test_words_are_those_of_the_pattern(monkeypatch):
     assert len(set(known.values())) == len(known) > 1000 and 0 not in known.values()
     D._slice_powers.cache_clear()
     assert len(D.word_hashes(None)) == len(D.word_hashes(" ")) == 0
+
+
+def test_powers_follow_the_slice(monkeypatch):
+    text = "a word " * 40
+    want = list(D.word_hashes(text))
+    with monkeypatch.context() as inside:
+        inside.setattr(D, "SLICE", 50)
+        assert list(D.word_hashes(text)) == want
+        D._slice_powers.cache_clear()
+        D.word_hashes(text)
+    assert list(D.word_hashes(text)) == want
