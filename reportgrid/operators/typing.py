@@ -180,7 +180,8 @@ def lost_values(
 ) -> DataFrame:
     """Log of the values a percent conversion turns into null: ``column, index, or_val``.
 
-    With the decisions as a dict only the cells of percent columns are unfolded and parsed. ``clean`` is applied to the unfolded texts.
+    With the decisions as a dict only the cells of percent columns are unfolded and parsed. A frame of them, best a staged one, is
+    joined by name; texts are looked at once their column is known to hold percentages. ``clean`` is applied to the unfolded texts.
     """
     if isinstance(decided, dict):
         percent = [c for c, kind in decided.items() if kind == PERCENT]
@@ -188,11 +189,14 @@ def lost_values(
     cells = rows.select(*keys, index.alias("index"), F.inline(entries))
     if clean is not None:
         cells = cells.withColumn("text", clean(F.col("text")))
-    cells = cells.filter(~is_percent(F.col("text")))
-    if not isinstance(decided, dict):
-        cells = cells.join(
-            decided.filter(F.col("kind") == PERCENT).select("name"), "name", "left_semi"
-        )
+    lost = ~is_percent(F.col("text"))
+    if isinstance(decided, dict):
+        cells = cells.filter(lost)
+    else:
+        percent = decided.filter(F.col("kind") == PERCENT).select(F.col("name").alias("__name"), F.col("kind").alias("__kind"))
+        # as a part of the join, which names the kind, the pattern is not pushed to the cells of all columns
+        found = (F.col("name") == F.col("__name")) & F.when(F.col("__kind") == PERCENT, lost)
+        cells = cells.join(percent, found, "left_semi")
     return cells.select(*keys, F.col("name").alias("column"), "index", F.col("text").alias("or_val"))
 
 

@@ -426,9 +426,10 @@ def _run(spark, rows, pages, cfg, as_of, decisions, strict_columns, keys, histor
         shaped = staged(shaped.drop(*[c for c in ("cells", "names", "data_names") if c not in keys]))
         total = clean.agg(F.sum("n_data")).first()[0] or 0
         found = typing.column_profile(shaped, text_entries(cfg), clean=null_sentinels)
-        profile = typing.with_rows(found, F.lit(total))
+        # one record per column, which the decisions and the log of lost values both read: the rows are profiled once
+        profile = staged(typing.with_rows(found, F.lit(total)))
         if history is not None:
-            profile = typing.merge_profiles(staged(profile), history)
+            profile = staged(typing.merge_profiles(profile, history))
         decided = typing.decide_types(
             profile,
             F.col("n_rows"),

@@ -132,3 +132,28 @@ def test_rows_of_cells_are_gathered_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(Q.report, "run_report", lambda spark, rows, *a, **b: seen.append(rows))
     Q.run_from_cells(spark, sf_dir)
     assert "Aggregate" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_profiled_once(spark, sf_dir):
+    """The log of lost values reads the profile that decided the types, and moves no cell to the decisions."""
+    result = Q.run(spark, sf_dir)
+    plan = plan_text(result.lost_values)
+    assert "Aggregate" not in plan and "Exchange hashpartitioning" not in plan
+    assert "Aggregate" not in plan_text(result.profile)
+    result.release()
+
+
+def test_lost_values_by_a_frame_of_decisions(spark):
+    rows = spark.createDataFrame([(1, "5%", "a"), (2, "x%", "5%"), (3, None, "")], "i int, p string, t string")
+    decided = spark.createDataFrame([("p", "percent"), ("t", "text")], "name string, kind string")
+    entries = typing.column_entries(["p", "t"])
+    want = [("p", 2, "x%")]
+    assert rows_of(typing.lost_values(rows, entries, decided, F.col("i"))) == want
+    assert rows_of(typing.lost_values(rows, entries, {"p": "percent", "t": "text"}, F.col("i"))) == want
+    # the pattern of a percentage is looked for in the cells that meet such a column, not below the join
+    below = plan_text(typing.lost_values(rows, entries, decided, F.col("i"))).split("Join", 1)[1].split("\n", 1)[1]
+    assert "RLIKE" not in below
