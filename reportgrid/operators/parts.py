@@ -50,10 +50,9 @@ def table_heads(
         )
         .filter(F.size("__head") > 0)
     )
-    heads = F.transform("__head", lambda h: head_entry(h["pos"], h["cells"], threshold))
-    titled = tables.withColumn(
-        "__t", let(heads, lambda h: title_at(F.slice(h, 1, max_title_rows), F.lit(0), max_title_rows))
-    )
+    # only the rows that may be title rows are looked into
+    heads = F.transform(F.slice("__head", 1, max_title_rows), lambda h: head_entry(h["pos"], h["cells"], threshold))
+    titled = tables.withColumn("__t", let(heads, lambda h: title_at(h, F.lit(0), max_title_rows)))
     skip = F.col("__t.taken") if drop_title else F.lit(0)
     return titled.select(
         *keys,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reportgrid.functions.cells import let
@@ -193,16 +193,15 @@ HEAD_2 = ["euro/000", "2025", "2024", "2025", "Eur", "%", "Eur", "%"]
 def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-cent sums per customer, side (0: finished orders, 1: open ones) and line.
 
-    Lines 1 to 5 are the order priorities, line 9 is the total, present on both sides.
+    Lines 1 to 5 are the order priorities, line 9 is the total, present on both sides. The orders are dealt by customer once, before
+    they are added up and again to the totals, which then takes no further exchange.
     """
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     late = F.col("o_orderdate") >= F.lit("1998-07-01").cast("timestamp")
-    side = F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)
-    line = F.substring("o_orderpriority", 1, 1).cast("int")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("doc_id"),
-        side.alias("side"),
-        F.explode(F.array(line, F.lit(9))).alias("line"),
+        F.when(F.col("o_orderstatus") == "O", 1).otherwise(0).alias("side"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("line"),
         F.when(late, cents).otherwise(0).alias("a25"),
         F.when(late, 0).otherwise(cents).alias("a24"),
     )
@@ -213,11 +212,13 @@ def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("bigint").alias("a25"),
         F.lit(0).cast("bigint").alias("a24"),
     )
-    return (
-        orders.unionByName(empty_totals)
-        .groupBy("doc_id", "side", "line")
-        .agg(F.sum("a25").alias("a25"), F.sum("a24").alias("a24"))
-    )
+
+    def added(frame: DataFrame) -> DataFrame:
+        return frame.groupBy("doc_id", "side", "line").agg(F.sum("a25").alias("a25"), F.sum("a24").alias("a24"))
+
+    lines = added(orders.unionByName(empty_totals).repartition("doc_id"))
+    # an empty total counts twice in the total: it is zero
+    return added(lines.withColumn("line", F.explode(F.array("line", F.lit(9)))))
 
 
 def _line_label() -> Column:
@@ -226,18 +227,15 @@ def _line_label() -> Column:
     return F.when(F.col("line") == 9, F.lit("TOTAL")).otherwise(F.element_at(names, F.col("line")))
 
 
-def _half_row(label: Column) -> Column:
-    a25, a24 = F.col("a25"), F.col("a24")
+def _half_row(label: Column, a25: Column, a24: Column) -> Column:
     doc = F.col("doc_id")
     pct = F.concat((a25 % 97 - 48).cast("string"), F.lit("%"))
     odd = (doc % 20 == 2) & (F.col("line") == 1)
     # one expression over the list of amounts: one for each makes more generated code than the JVM compiles
-    amounts = F.transform(F.array(a25, a24, a25 + a24, a25 - a24, -a24), eu_text)
-    row = F.concat(F.array(label), amounts, F.array(F.concat((a24 % 89).cast("string"), F.lit("%"))))
-    last = F.when(doc % 20 == 18, "n.s.").otherwise(F.get(row, F.lit(5)))
-    return F.array(
-        *[F.get(row, F.lit(i)) for i in range(5)], F.when(odd, "n.a.%").otherwise(pct), last, F.get(row, F.lit(6))
-    )
+    amounts = F.transform(F.array(a25, a24, a25 + a24, a25 - a24), eu_text)
+    last = F.when(doc % 20 == 18, "n.s.").otherwise(eu_text(-a24))
+    share = F.concat((a24 % 89).cast("string"), F.lit("%"))
+    return F.concat(F.array(label), amounts, F.array(F.when(odd, "n.a.%").otherwise(pct), last, share))
 
 
 def _cells(*texts: Column | str, width: int) -> Column:
@@ -314,23 +312,26 @@ def report_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
     label = _line_label()
     measures = _measures(spark, sf_dir)
-    measures = measures.withColumn("half", _half_row(label))
     half = F.col("half")
     coded = F.when(F.col("line") % 2 == 0, "HI").otherwise("LO")
     with_code = F.concat(
         F.array(label, coded), F.slice(half, 2, 1), F.slice(half, 4, 5)
     )
-    stacked = measures.filter(narrow_page).select(
+    stacked = measures.filter(narrow_page).withColumn("half", _half_row(label, F.col("a25"), F.col("a24"))).select(
         "doc_id",
         "side",
         F.col("line").alias("rank"),
         F.when((fault == 16) & (F.col("side") == 1), with_code).otherwise(half).alias("cells"),
     )
     blank_half = F.concat(F.array(label), F.array_repeat(F.lit(""), 7))
-    sides = measures.filter(wide_page).groupBy("doc_id", "line").agg(
-        F.max(F.when(F.col("side") == 0, half)).alias("left"),
-        F.max(F.when(F.col("side") == 1, half)).alias("right"),
+    # a page has one record per line and side: both sides' sums come into one, of which the rows are made
+    amounts = [F.max(F.when(F.col("side") == k, F.col(c))).alias(f"{c}_{k}") for k in (0, 1) for c in ("a25", "a24")]
+    held = [F.count_if(F.col("side") == k).alias(f"held_{k}") for k in (0, 1)]
+    sums = measures.filter(wide_page).groupBy("doc_id", "line").agg(*amounts, *held)
+    left, right = (
+        F.when(F.col(f"held_{k}") > 0, _half_row(label, F.col(f"a25_{k}"), F.col(f"a24_{k}"))) for k in (0, 1)
     )
+    sides = sums.select("doc_id", "line", left.alias("left"), right.alias("right"))
     beside = sides.select(
         "doc_id",
         F.lit(0).alias("side"),
@@ -339,12 +340,10 @@ def report_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     )
     placed = frame.unionByName(stacked).unionByName(beside)
 
-    # a page has fewer than thirty rows: its rows are gathered in order to number them
-    gathered = placed.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("side", "rank", "cells"))).alias("all")
-    )
-    cells = F.when(fault == 12, F.slice("r.cells", 1, 7)).otherwise(F.col("r.cells"))
-    rows = gathered.select("doc_id", F.posexplode("all").alias("row_idx", "r")).select(
+    # a page has fewer than thirty rows: they are numbered in one window
+    in_order = Window.partitionBy("doc_id").orderBy("side", "rank", "cells")
+    cells = F.when(fault == 12, F.slice("cells", 1, 7)).otherwise(F.col("cells"))
+    rows = placed.withColumn("row_idx", F.row_number().over(in_order) - 1).select(
         "doc_id",
         (doc % 80).cast("int").alias("page_num"),
         "row_idx",

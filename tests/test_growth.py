@@ -157,3 +157,15 @@ def test_lost_values_by_a_frame_of_decisions(spark):
     # the pattern of a percentage is looked for in the cells that meet such a column, not below the join
     below = plan_text(typing.lost_values(rows, entries, decided, F.col("i"))).split("Join", 1)[1].split("\n", 1)[1]
     assert "RLIKE" not in below
+
+
+def test_orders_are_dealt_once_to_the_report_grid(spark, sf_dir):
+    """Sums, totals and both sides of a page follow from one exchange of the orders; one more gathers the pages."""
+    plan = plan_text(V.report_grid(spark, sf_dir)[0])
+    assert plan.count("Exchange hashpartitioning") <= 3 and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_only_rows_of_titles_are_looked_into(spark):
+    rows = spark.createDataFrame([(1, 0, 0, 0, ["a", ""])], "k int, table_id int, table_start int, row_idx int, cells array<string>")
+    plan = plan_text(P.table_heads(rows, ["k"], [], 1, 0.5, True))
+    assert re.search(r"transform\(slice\(__head#\d+, 1, 1\)", plan)
